@@ -4,12 +4,11 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 from datetime import date
-from decimal import Decimal
+from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterglass import domain
 from meterglass.functions import calendar, values
 
 START_DATE = date(2024, 1, 3)
@@ -39,56 +38,56 @@ class Sample:
     company: DataFrame
 
 
+@lru_cache(maxsize=4)
 def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/events.parquet")
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All events of both segments, with the numeric user ``u`` kept beside the columns."""
-    raw = raw_events(spark, sf_dir).select(
-        "event_id", "ts", F.col("user_id").alias("u"), "event_type",
-        F.get_json_object("props", "$.k").cast("bigint").alias("k"),
-        F.round(F.col("value") * 100).cast("bigint").alias("cents"),
+    b2b_ids = ", ".join(f"'{i}'" for i in B2B_PACKAGE_ORDER)
+    return (
+        raw_events(spark, sf_dir)
+        .selectExpr(
+            "event_id AS n", "ts", "user_id AS u", "event_type",
+            "CAST(get_json_object(props, '$.k') AS BIGINT) AS k",
+            "CAST(round(value * 100) AS BIGINT) AS cents")
+        .selectExpr("*", """
+            CASE WHEN event_type = 'purchase' AND k < 50 AND u % 11 <> 5 THEN 'Subscribe'
+                 WHEN event_type = 'signup' AND k < 30 THEN 'MonthlyReset'
+                 WHEN event_type = 'error' AND k < 25 THEN 'MainExpired'
+                 WHEN k % 10 = 7 THEN 'Token Used (Unsettled)'
+                 ELSE 'Token Used' END AS kind""")
+        .selectExpr("*", """
+            CASE WHEN startswith(kind, 'Token Used')
+                 THEN CAST(cents * CAST('0.00001' AS DECIMAL(10,5)) AS DECIMAL(18,6)) END AS usd""")
+        .select(
+            F.expr("lpad(lower(hex(timestampdiff(SECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', ts))), 8, '0')"
+                   " || lpad(lower(hex(n)), 16, '0')").alias("event_id"),
+            F.col("ts").alias("eventTimeStamp"),
+            calendar.local_date(F.col("ts"), ntz=True).alias("date_id"),
+            F.expr("'u-' || u").alias("userId"),
+            F.col("kind").alias("eventType"),
+            F.expr("'sub-' || u || '-' || IF(u % 4 < 2, 0, k div 10)").alias("subscriptionId"),
+            F.expr(f"""
+                CASE WHEN u % 3 = 0 THEN get(array({b2b_ids}), CAST(k % 11 AS INT))
+                     WHEN u % 4 = 0 THEN '12'
+                     WHEN u % 4 = 1 THEN CAST(1 + k % 3 AS STRING)
+                     WHEN k % 17 = 0 THEN 'n/a'
+                     WHEN k % 5 = 0 THEN '12'
+                     ELSE CAST(1 + k % 3 AS STRING) END""").alias("packageId"),
+            F.expr("""
+                CAST(CASE kind WHEN 'Subscribe' THEN 10000 * (1 + k % 3)
+                               WHEN 'MonthlyReset' THEN 0
+                               WHEN 'MainExpired' THEN -100 * k
+                               ELSE -cents END AS BIGINT)""").alias("eggToken"),
+            F.expr("IF(startswith(kind, 'Token Used'), CAST(floor(-cents / 2) AS BIGINT), NULL)").alias("chatToken"),
+            F.col("usd").alias("totalCostUsd"),
+            values.cost_thb(F.col("usd")).alias("totalCostThb"),
+            F.expr("IF(k % 6 <> 5, 'model-' || (k % 6), NULL)").alias("aiModel"),
+            "u",
+        )
     )
-    u, k, cents = F.col("u"), F.col("k"), F.col("cents")
-    second = F.timestamp_diff("SECOND", F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'"), F.col("ts"))
-    kind = (
-        F.when((F.col("event_type") == "purchase") & (k < 50) & (u % 11 != 5), domain.SUBSCRIBE)
-        .when((F.col("event_type") == "signup") & (k < 30), domain.MONTHLY_RESET)
-        .when((F.col("event_type") == "error") & (k < 25), domain.MAIN_EXPIRED)
-        .when(k % 10 == 7, "Token Used (Unsettled)")
-        .otherwise(domain.TOKEN_USED)
-    )
-    b2c_package = (
-        F.when(u % 4 == 0, "12")
-        .when(u % 4 == 1, (1 + k % 3).cast("string"))
-        .when(k % 17 == 0, "n/a")
-        .when(k % 5 == 0, "12")
-        .otherwise((1 + k % 3).cast("string"))
-    )
-    b2b_package = F.get(F.array(*[F.lit(str(i)) for i in B2B_PACKAGE_ORDER]), (k % 11).cast("int"))
-    typed = raw.select(
-        F.concat(
-            F.lpad(F.lower(F.hex(second)), 8, "0"), F.lpad(F.lower(F.hex("event_id")), 16, "0"),
-        ).alias("event_id"),
-        F.col("ts").alias("eventTimeStamp"),
-        calendar.local_date(F.col("ts"), ntz=True).alias("date_id"),
-        F.concat(F.lit("u-"), u.cast("string")).alias("userId"),
-        kind.alias("eventType"),
-        F.concat(F.lit("sub-"), u.cast("string"), F.lit("-"),
-                 F.when(u % 4 < 2, 0).otherwise(F.floor(k / 10)).cast("string")).alias("subscriptionId"),
-        F.when(u % 3 == 0, b2b_package).otherwise(b2c_package).alias("packageId"),
-        (F.when(kind == domain.SUBSCRIBE, 10000 * (1 + k % 3))
-         .when(kind == domain.MONTHLY_RESET, 0)
-         .when(kind == domain.MAIN_EXPIRED, -100 * k)
-         .otherwise(-cents)).cast("bigint").alias("eggToken"),
-        F.when(kind.startswith(domain.TOKEN_USED), F.floor(-cents / 2)).cast("bigint").alias("chatToken"),
-        F.when(kind.startswith(domain.TOKEN_USED), cents * F.lit(Decimal("0.00001")))
-        .cast(domain.MONEY).alias("totalCostUsd"),
-        F.when(k % 6 != 5, F.concat(F.lit("model-"), (k % 6).cast("string"))).alias("aiModel"),
-        "u",
-    )
-    return typed.withColumn("totalCostThb", values.cost_thb(F.col("totalCostUsd")))
 
 
 def _values(spark: SparkSession, rows: list[tuple], *names: str) -> DataFrame:
@@ -96,31 +95,28 @@ def _values(spark: SparkSession, rows: list[tuple], *names: str) -> DataFrame:
     return spark.sql(f"SELECT * FROM VALUES {text} AS t({', '.join(names)})")
 
 
+@lru_cache(maxsize=4)
 def load(spark: SparkSession, sf_dir: str) -> Sample:
     both = events(spark, sf_dir)
-    people = raw_events(spark, sf_dir).select(F.col("user_id").alias("u")).distinct()
-    u, g = F.col("u"), F.col("g")
-    b2c = people.where(u % 3 != 0).select(
-        F.concat(F.lit("u-"), u.cast("string")).alias("userId"),
-        F.when(u % 17 == 0, True).when(u % 19 == 0, None).otherwise(False).alias("isBanned"),
-    )
-    number = (g % 12).cast("string")
-    b2b = people.where(u % 3 == 0).withColumn("g", (u / 3).cast("bigint")).select(
-        F.concat(F.lit("u-"), u.cast("string")).alias("userId"),
-        F.when(g % 5 != 0, F.concat(F.lit("t-"), number)).alias("teamId"),
-        F.when(g % 5 != 0, F.concat(F.lit("Team "), number)).alias("teamName"),
-    )
+    people = raw_events(spark, sf_dir).selectExpr("user_id AS u").distinct()
+    b2c = people.where("u % 3 <> 0").selectExpr(
+        "'u-' || u AS userId",
+        "CASE WHEN u % 17 = 0 THEN TRUE WHEN u % 19 = 0 THEN NULL ELSE FALSE END AS isBanned")
+    b2b = people.where("u % 3 = 0").selectExpr("u", "u div 3 AS g").selectExpr(
+        "'u-' || u AS userId",
+        "IF(g % 5 <> 0, 't-' || (g % 12), NULL) AS teamId",
+        "IF(g % 5 <> 0, 'Team ' || (g % 12), NULL) AS teamName")
     # VALUES gives a relation of known size, so the planner can weigh it.
     b2c_packages, b2b_packages = (
-        _values(spark, [(i, f"'{name}'", price) for i, name, price in rows], "packageId", "packageName", "priceThb")
-        .select(F.col("packageId").cast("bigint"), "packageName", F.col("priceThb").cast("decimal(18,2)"))
+        _values(spark, [(f"{i}L", f"'{name}'", f"CAST({price} AS DECIMAL(18,2))") for i, name, price in rows],
+                "packageId", "packageName", "priceThb")
         for rows in (B2C_MASTER, B2B_MASTER)
     )
     team = _values(spark, [(f"'t-{t}'", "'c-0'" if t < 2 else "'c-1'" if t < 5 else "'c-2'") for t in range(12)],
                    "teamId", "companyId")
     company = _values(spark, [(f"'c-{c}'", f"'Company {c}'") for c in range(3)], "companyId", "companyName")
     return Sample(
-        b2c_events=both.where(u % 3 != 0).drop("u"), b2b_events=both.where(u % 3 == 0).drop("u"),
+        b2c_events=both.where("u % 3 <> 0").drop("u"), b2b_events=both.where("u % 3 = 0").drop("u"),
         b2c_packages=b2c_packages, b2b_packages=b2b_packages,
         b2c_users=b2c, b2b_users=b2b, team=team, company=company,
     )
