@@ -1,6 +1,6 @@
 """All registered queries and their SQL."""
 
 from meterglass.registry.common import ORACLES, QUERIES
-from meterglass.registry import summary, tracking, behavior, deck, reports  # noqa: F401
+from meterglass.registry import summary, tracking, behavior, deck, reports, ingest  # noqa: F401
 
 __all__ = ["ORACLES", "QUERIES"]

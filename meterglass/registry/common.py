@@ -5,6 +5,8 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from meterglass.sources.sample import Sample, load
 
@@ -29,3 +31,10 @@ def on_sample(name: str, sql: str | None = None) -> Callable[[Callable[[Sample],
     def keep(build: Callable[[Sample], DataFrame]) -> Query:
         return register(name, sql)(lambda spark, sf_dir: build(load(spark, sf_dir)))
     return keep
+
+
+def plain_time(frame: DataFrame) -> DataFrame:
+    """Instants as zone-less UTC times, so that any session shows the same text."""
+    instants = [f.name for f in frame.schema if isinstance(f.dataType, T.TimestampType)]
+    return frame.withColumns({
+        n: F.convert_timezone(F.current_timezone(), F.lit("UTC"), F.col(n).cast("timestamp_ntz")) for n in instants})

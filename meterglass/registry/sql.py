@@ -49,7 +49,7 @@ dom AS (
          THEN CAST(cents * CAST(0.00001 AS DECIMAL(10,5)) AS DECIMAL(18,6)) ELSE 0 END
          * CAST(32.67 AS DECIMAL(4,2)), 6) AS DECIMAL(18,6)) AS "totalCostThb",
     CASE WHEN k % 6 <> 5 THEN 'model-' || (k % 6) END AS "aiModel",
-    u, k, CASE WHEN u % 3 = 0 THEN 'B2B' ELSE 'B2C' END AS seg
+    u, k, n, cents, raw_type, CASE WHEN u % 3 = 0 THEN 'B2B' ELSE 'B2C' END AS seg
   FROM kinds
 ),
 people AS (SELECT DISTINCT user_id AS u FROM events),

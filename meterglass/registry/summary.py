@@ -54,6 +54,8 @@ model_daily AS (
 )
 """
 
+FACT_DAILY = (FACT, DAILY)
+
 
 def args(s):
     return (s.b2c_events, s.b2b_events, s.b2c_packages, s.b2b_packages, s.b2c_users, s.b2b_users, s.team, s.company)

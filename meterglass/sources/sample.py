@@ -43,7 +43,7 @@ def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/events.parquet")
 
 
-def events(spark: SparkSession, sf_dir: str) -> DataFrame:
+def events(spark: SparkSession, sf_dir: str, *extra: str) -> DataFrame:
     """All events of both segments, with the numeric user ``u`` kept beside the columns."""
     b2b_ids = ", ".join(f"'{i}'" for i in B2B_PACKAGE_ORDER)
     return (
@@ -85,11 +85,44 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.col("usd").alias("totalCostUsd"),
             values.cost_thb(F.col("usd")).alias("totalCostThb"),
             F.expr("IF(k % 6 <> 5, 'model-' || (k % 6), NULL)").alias("aiModel"),
-            "u",
+            "u", *extra,
         )
     )
 
 
+def event_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events as source documents: wrapped ids, instants and decimals, nested breakdown."""
+    plain = events(spark, sf_dir, "k", "cents", "event_type")
+    return plain.selectExpr(
+        "named_struct('$oid', event_id) AS _id",
+        "named_struct('$date', date_format(eventTimeStamp, \"yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'\")) AS eventTimeStamp",
+        "userId", "eventType", "subscriptionId", "packageId", "eggToken", "chatToken", "k AS websearchToken",
+        "IF(totalCostUsd IS NULL, NULL, named_struct('$numberDecimal', CAST(totalCostUsd AS STRING))) AS totalCostUsd",
+        "named_struct('$numberDecimal', CAST(cents * CAST('0.0000015' AS DECIMAL(10,7)) AS STRING)) AS chatCostUsd",
+        "CAST(k * CAST('0.01' AS DECIMAL(5,2)) AS STRING) AS externalCostUsd", "-k AS externalToken",
+        "event_type AS externalCostName", "'ref-' || event_id AS externalTransactionReference", "aiModel",
+        "'USER_TOKEN' AS deductType",
+        "IF(totalCostUsd IS NULL, NULL, named_struct('k', k, 'parts', array(cents, k))) AS deductionBreakdown")
+
+
+def package_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts read as package documents; numbers repeat and the price is a wrapped decimal."""
+    return spark.read.parquet(f"{sf_dir}/part.parquet").selectExpr(
+        "CAST(p_partkey % 15 AS STRING) AS packageId", "p_name AS packageName", "p_type AS packageType",
+        "CAST(NULL AS STRING) AS tierName",
+        "named_struct('$numberDecimal', CAST(CAST(p_retailprice AS DECIMAL(18,2)) AS STRING)) AS priceThb",
+        "p_partkey AS eggToken", "CAST(p_size AS BIGINT) AS durationDay",
+        "named_struct('$date', '2025-11-24T13:02:20.481Z') AS updatedAt")
+
+
+def user_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers read as user documents with flags in several spellings."""
+    return spark.read.parquet(f"{sf_dir}/customer.parquet").selectExpr(
+        "CAST(c_custkey AS STRING) AS userId",
+        "element_at(array('TRUE', ' yes ', 'false', 'y', '1', NULL), CAST(c_nationkey % 6 AS INT) + 1) AS isBanned",
+        "CAST(c_nationkey AS STRING) AS teamId", "c_mktsegment AS teamName")
+
+
 def _values(spark: SparkSession, rows: list[tuple], *names: str) -> DataFrame:
     text = ", ".join("(" + ", ".join(map(str, row)) + ")" for row in rows)
     return spark.sql(f"SELECT * FROM VALUES {text} AS t({', '.join(names)})")
