@@ -20,8 +20,8 @@ TRUE_WORDS = ("true", "1", "yes", "t")
 
 # One JSON token: a quoted text, a run of other characters, or a separator.
 _JSON_TOKEN = r'("(?:[^"\\]|\\.)*"|[^",:]+|[,:])'
-_HAS_OFFSET = r"([zZ]|[+-]\d{2}:?\d{2})$"
 _DATE_ONLY = r"^\d{4}-\d{2}-\d{2}$"
+_NO_OFFSET = r"[T ]\d{2}:\d{2}(:\d{2}(\.\d+)?)?$"
 
 
 def _dtype(docs: DataFrame, name: str) -> T.DataType | None:
@@ -42,13 +42,15 @@ def _text(docs: DataFrame, name: str) -> Column:
 
 def _unwrapped(docs: DataFrame, name: str, wrapper: str) -> Column:
     """The bare text of a value that may sit in a one-key wrapper object."""
+    dtype = _dtype(docs, name)
+    if isinstance(dtype, T.StructType) and wrapper in dtype.names:
+        return F.col(f"`{name}`").getField(wrapper).cast("string")
     text = _text(docs, name)
-    inner = F.get_json_object(text, f"$['{wrapper}']")
-    return F.when(text.startswith("{"), F.coalesce(inner, text)).otherwise(text)
+    return F.coalesce(F.get_json_object(text, f"$['{wrapper}']"), text)
 
 
 def _required(value: Column, message: str) -> Column:
-    return F.when(value.isNull(), F.raise_error(F.lit(message))).otherwise(value)
+    return F.coalesce(value, F.raise_error(F.lit(message)))
 
 
 def object_id_string(docs: DataFrame, name: str = "_id") -> Column:
@@ -65,9 +67,8 @@ def to_utc_timestamp(docs: DataFrame, name: str, required: bool = True) -> Colum
             text = F.date_format(F.col(f"`{name}`"), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
         else:
             text = _unwrapped(docs, name, "$date")
-        text = F.when(text.rlike(_DATE_ONLY), F.concat(text, F.lit("T00:00:00"))).otherwise(text)
-        text = F.when(text.rlike(_HAS_OFFSET), text).otherwise(F.concat(text, F.lit("Z")))
-        value = text.cast("timestamp")
+        text = F.regexp_replace(text, _DATE_ONLY, "$0T00:00:00Z")
+        value = F.regexp_replace(text, _NO_OFFSET, "$0Z").cast("timestamp")
     return _required(value, f"document without {name}") if required else value
 
 
@@ -120,9 +121,10 @@ def json_text(docs: DataFrame, name: str) -> Column:
         F.transform(tokens, lambda t: F.when(t.isin(",", ":"), F.concat(t, F.lit(" "))).otherwise(t)),
         "",
     )
+    if isinstance(_dtype(docs, name), _NESTED):
+        return spaced
     quoted = F.regexp_extract(F.to_json(F.struct(text.alias("v"))), r'^\{"v":(.*)\}$', 1)
-    nested = text.startswith("{") | text.startswith("[")
-    return F.when(nested, spaced).when(text.isNotNull(), quoted)
+    return F.when(text.rlike(r"^[\[{]"), spaced).when(text.isNotNull(), quoted)
 
 
 def safe_bigint(value: Column) -> Column:

@@ -63,16 +63,41 @@ def runs_of(key: str) -> W:
     return W.partitionBy(key).orderBy(RUN)
 
 
-def with_previous(rows: DataFrame, cuts: DataFrame, key: str, ts: str, order: list[str],
-                  value: str, name: str) -> DataFrame:
-    """``value`` of the preceding row of the key in ``order`` (``order`` starts with ``ts``)."""
+def _with_inside_and_carry(rows: DataFrame, cuts: DataFrame, key: str, ts: str, order: list[str], name: str,
+                           inside, of_run: Column, carried, merge=F.coalesce) -> DataFrame:
+    """``inside`` over the rows of a run, merged with what ``carried`` brings from other runs."""
     rows = with_runs(rows, cuts, key, ts)
-    last = F.max_by(value, F.struct(*order))
-    carry = rows.where(LONG).groupBy(key, RUN).agg(last.alias("__last")).select(
-        key, RUN, F.lag("__last").over(runs_of(key)).alias("__carried"))
-    inside = F.lag(value).over(W.partitionBy(key, RUN).orderBy(*order))
-    return (with_carry(rows.withColumn(name, inside), carry, key)
-            .withColumn(name, F.coalesce(name, "__carried")).drop("__carried", RUN, LONG))
+    carry = rows.where(LONG).groupBy(key, RUN).agg(of_run.alias("__run_value")).select(
+        key, RUN, carried(F.col("__run_value"), runs_of(key)).alias("__carried"))
+    local = W.partitionBy(key, RUN).orderBy(*order)
+    return (with_carry(rows.withColumn(name, inside(local)), carry, key)
+            .withColumn(name, merge(F.col(name), F.col("__carried"))).drop("__carried", RUN, LONG))
+
+
+def with_previous(rows: DataFrame, cuts: DataFrame, key: str, ts: str, order: list[str],
+                  value: Column, name: str) -> DataFrame:
+    """``value`` (never missing) of the preceding row of the key; ``order`` starts with ``ts``."""
+    return _with_inside_and_carry(
+        rows, cuts, key, ts, order, name, lambda w: F.lag(value).over(w),
+        F.max_by(value, F.struct(*order)), lambda v, w: F.lag(v).over(w))
+
+
+def with_next(rows: DataFrame, cuts: DataFrame, key: str, ts: str, order: list[str],
+              value: Column, name: str) -> DataFrame:
+    """``value`` (never missing) of the following row of the key."""
+    return _with_inside_and_carry(
+        rows, cuts, key, ts, order, name, lambda w: F.lead(value).over(w),
+        F.min_by(value, F.struct(*order)), lambda v, w: F.lead(v).over(w))
+
+
+def with_running_sum(rows: DataFrame, cuts: DataFrame, key: str, ts: str, order: list[str],
+                     value: Column, name: str) -> DataFrame:
+    """Sum of ``value`` (never missing) over the key's rows up to this one."""
+    return _with_inside_and_carry(
+        rows, cuts, key, ts, order, name,
+        lambda w: F.sum(value).over(w.rowsBetween(W.unboundedPreceding, 0)), F.sum(value),
+        lambda v, w: F.sum(v).over(w.rowsBetween(W.unboundedPreceding, -1)),
+        lambda inside, carried: inside + F.coalesce(carried, F.lit(0)))
 
 
 def with_neighbour(rows: DataFrame, key: str, index: str, value: str, name: str,

@@ -55,11 +55,10 @@ def purchases_and_use(events: DataFrame) -> DataFrame:
 
 def user_purchases(events: DataFrame, cuts: DataFrame, packages: DataFrame) -> DataFrame:
     """Per user: subscriptions, gaps between them, list-price revenue, usage cost."""
-    rows = purchases_and_use(events).withColumn(
-        "payer", F.when(F.col("kind") == "paid", F.col("userId")))
+    rows = purchases_and_use(events)
     paid = F.col("kind") == "paid"
     gaps = splitting.with_previous(rows.where(paid), cuts, "userId", "eventTimeStamp",
-                                   ["eventTimeStamp", "event_id"], "eventTimeStamp", "prev_ts")
+                                   ["eventTimeStamp", "event_id"], F.col("eventTimeStamp"), "prev_ts")
     rows = gaps.unionByName(rows.where(~paid), allowMissingColumns=True)
     prices = packages.groupBy("packageId").agg(F.sum("priceThb").alias("price"))
     ts, prev = F.col("eventTimeStamp"), F.col("prev_ts")

@@ -103,18 +103,18 @@ def _quota(mark: str, carried_grant: Column) -> Column:
     return F.when(own, F.col(f"{mark}.egg")).otherwise(F.coalesce(F.col(f"{mark}.grant"), carried_grant))
 
 
-def token_cycles(events: DataFrame, packages: DataFrame, users: DataFrame, *, start_date: date, as_of: date,
-                 rows_per_run: int = splitting.ROWS_PER_RUN) -> DataFrame:
-    """One row per user and cycle."""
+def cycle_rows(events: DataFrame, users: DataFrame, *, start_date: date, as_of: date,
+               rows_per_run: int = splitting.ROWS_PER_RUN) -> DataFrame:
+    """Boundaries and usage, each with its cycle: start, kind, quota, use so far, next boundary."""
     events = window_events(events, start_date, as_of).select(*EVENT_COLUMNS)
     cuts = splitting.long_keys(events, "userId", "eventTimeStamp", rows_per_run)
     events = splitting.with_runs(tables.without_banned(events, users), cuts, "userId", "eventTimeStamp")
     rows = splitting.with_carry(_marked(events), _carried(_marked(events.where(LONG))), "userId")
-
     # Inside the run the boundary is known; before the run's first one it is the carried one.
     here = F.col("cur").isNotNull()
-    rows = rows.select(
-        "*",
+    return rows.select(
+        *EVENT_COLUMNS, "is_use", "used", "kept",
+        F.coalesce("grant", "c_grant").alias("last_grant"),
         F.when(here, F.col("cur.ts")).otherwise(F.col("c_cur.ts")).alias("cycle_ts"),
         F.when(here, F.col("cur.kind")).otherwise(F.col("c_cur.kind")).alias("cycle_kind"),
         F.when(here, _quota("cur", F.col("c_grant"))).otherwise(F.col("c_cur.quota")).alias("cycle_quota"),
@@ -124,6 +124,32 @@ def token_cycles(events: DataFrame, packages: DataFrame, users: DataFrame, *, st
         .otherwise(F.col("run_seen") + F.coalesce("c_seen", F.lit(0))).alias("cum_seen"),
         _next().alias("following"),
         (F.col("starts") + F.coalesce("c_starts", F.lit(0))).alias("cycle_index"))
+
+
+def boundary_rows(rows: DataFrame) -> DataFrame:
+    """Kept boundaries with the grant in force and the next boundary."""
+    return rows.where("kept").select("userId", "event_id", "eventTimeStamp", "eventType", "eggToken", "last_grant",
+                                     F.col("following.ts").alias("next_ts"),
+                                     F.col("following.kind").alias("next_type"),
+                                     F.col("following.egg").alias("next_egg"))
+
+
+def usage_rows(rows: DataFrame) -> DataFrame:
+    """Usage that falls into a cycle, with the cycle's start, quota and use so far."""
+    return rows.where(in_cycle()).select(
+        "userId", "event_id", "eventTimeStamp", F.col("cycle_ts").alias("cycle_start_ts"),
+        F.col("cycle_quota").alias("quota"), "used", "totalCostThb",
+        F.when(F.col("cum_seen") > 0, F.col("cum_used")).alias("cum_used"))
+
+
+def in_cycle() -> Column:
+    return F.col("is_use") & F.col("cycle_kind").isin(*domain.CYCLE_STARTS)
+
+
+def token_cycles(events: DataFrame, packages: DataFrame, users: DataFrame, *, start_date: date, as_of: date,
+                 rows_per_run: int = splitting.ROWS_PER_RUN) -> DataFrame:
+    """One row per user and cycle."""
+    rows = cycle_rows(events, users, start_date=start_date, as_of=as_of, rows_per_run=rows_per_run)
     return _finish(rows, tables.b2c_packages(packages, "packageName").distinct())
 
 
@@ -147,9 +173,8 @@ def _finish(rows: DataFrame, packages: DataFrame) -> DataFrame:
     def started(boundary: str) -> Column:
         return F.max(F.when(F.col("kept") & (kind == boundary), cycle))
 
-    in_cycle = F.col("is_use") & F.col("cycle_kind").isin(*domain.CYCLE_STARTS)
     reached = (F.col("cum_seen") > 0) & (F.col("cum_used") >= figures.exhaust_level(F.col("cycle_quota")))
-    starts = (rows.where(in_cycle | (F.col("kept") & kind.isin(*domain.CYCLE_STARTS)))
+    starts = (rows.where(in_cycle() | (F.col("kept") & kind.isin(*domain.CYCLE_STARTS)))
               .groupBy("userId", F.col("cycle_ts").alias("cycle_start_ts")).agg(
                   F.array(*[started(b) for b in domain.CYCLE_STARTS]).alias("cycles"),
                   F.coalesce(F.sum("used"), F.lit(0)).alias("consumed"),

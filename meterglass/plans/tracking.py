@@ -92,7 +92,7 @@ def latest_day_flag() -> Column:
 
 
 def trial_conversions(events: DataFrame, packages: DataFrame) -> DataFrame:
-    """(userId, date_id) of each user's first paid subscription, if a trial came before it.
+    """(userId, date_id, event_id) of each user's first paid subscription, if a trial came before it.
 
     Only the order of two instants matters, so two minima replace running sums.
     """
@@ -106,7 +106,18 @@ def trial_conversions(events: DataFrame, packages: DataFrame) -> DataFrame:
         F.min(F.when(trial, moment)).alias("trial"),
         F.min(F.when(~trial, F.struct("eventTimeStamp", "event_id", "date_id"))).alias("paid"))
     before = F.col("trial") < F.struct("paid.eventTimeStamp", "paid.event_id")
-    return firsts.where(before).select("userId", F.col("paid.date_id").alias("date_id"))
+    return firsts.where(before).select("userId", "paid.date_id", "paid.event_id")
+
+
+def event_flags(events: DataFrame, packages: DataFrame) -> DataFrame:
+    """Events with their report flag; a conversion shows a second time as a purchase."""
+    converted = trial_conversions(events, packages).select("userId", "event_id", F.lit(True).alias("converted"))
+    kind = F.col("eventType")
+    flag = F.when(kind == domain.TOKEN_USED, "Active").otherwise(kind)
+    flags = (F.when(F.col("converted"), F.array(F.lit(domain.TRIAL_CONVERSION), F.lit(domain.SUBSCRIBE)))
+             .otherwise(F.array(flag)))
+    return (events.join(converted, ["userId", "event_id"], "left")
+            .withColumn("event_flag", F.explode(flags)).drop("converted"))
 
 
 def user_tracking_b2c(events: DataFrame, packages: DataFrame, users: DataFrame, *,
@@ -116,7 +127,7 @@ def user_tracking_b2c(events: DataFrame, packages: DataFrame, users: DataFrame,
     days = with_user_packages(tables.without_banned(user_day_packages(events, packages), users))
     free = (F.col("package_1") == domain.FREE_TRIAL_NAME) & (F.col("packageId") == F.col("top_package"))
     rows = _user_days(days, F.sum(F.when(free, F.col("token_used"))).alias("free_trial_token_used"))
-    converted = trial_conversions(events, packages).withColumn("converted", F.lit(True))
+    converted = trial_conversions(events, packages).select("userId", "date_id", F.lit(True).alias("converted"))
     return (rows.join(converted, ["userId", "date_id"], "left")
             .withColumn("trial_conversion_cnt", F.when(F.col("converted"), 1).otherwise(0).cast("bigint"))
             .join(packages, "packageName")
