@@ -117,10 +117,11 @@ def json_text(docs: DataFrame, name: str) -> Column:
     """Nested value as JSON text with one blank after every comma and colon."""
     text = _text(docs, name)
     tokens = F.regexp_extract_all(text, F.lit(_JSON_TOKEN), F.lit(1))
-    spaced = F.array_join(
-        F.transform(tokens, lambda t: F.when(t.isin(",", ":"), F.concat(t, F.lit(" "))).otherwise(t)),
-        "",
-    )
+    # Outside quoted text the source's own blanks go, then separators get theirs.
+    spaced = F.array_join(F.transform(tokens, lambda t: (
+        F.when(t.isin(",", ":"), F.concat(t, F.lit(" ")))
+        .when(t.startswith('"'), t)
+        .otherwise(F.regexp_replace(t, r"\s+", "")))), "")
     if isinstance(_dtype(docs, name), _NESTED):
         return spaced
     quoted = F.regexp_extract(F.to_json(F.struct(text.alias("v"))), r'^\{"v":(.*)\}$', 1)
