@@ -62,7 +62,8 @@ def _marked(events: DataFrame) -> DataFrame:
         F.sum(F.coalesce("used", F.lit(0))).over(up_to_here).alias("run_used"),
         F.count("used").over(up_to_here).alias("run_seen"))
     rows = rows.withColumn("mark", F.when(F.col("kept"), F.struct(
-        at.alias("ts"), kind.alias("kind"), F.col("eggToken").alias("egg"), "grant", "run_used", "run_seen")))
+        at.alias("ts"), kind.alias("kind"), F.col("eggToken").alias("egg"), "subscriptionId", "packageId",
+        "grant", "run_used", "run_seen")))
     starts = F.count(F.when(F.col("kept") & kind.isin(*domain.CYCLE_STARTS), 1))
     following = F.expr(f"lead(mark) IGNORE NULLS OVER (PARTITION BY userId, {RUN} ORDER BY {', '.join(_ORDER)})")
     return rows.select("*", F.last("mark", True).over(up_to_here).alias("cur"), following.alias("next"),
@@ -87,7 +88,7 @@ def _carried(marked: DataFrame) -> DataFrame:
                        F.expr(f"lead(first) IGNORE NULLS OVER (PARTITION BY userId ORDER BY {RUN})").alias("c_next"))
     # The last boundary of a run, with its quota settled and the user's running totals at it.
     settled = F.when(F.col("last").isNotNull(), F.struct(
-        F.col("last.ts").alias("ts"), F.col("last.kind").alias("kind"),
+        "last.ts", "last.kind", "last.subscriptionId", "last.packageId",
         _quota("last", F.col("c_grant")).alias("quota"),
         (F.col("used_0") + F.col("last.run_used")).alias("used"),
         (F.col("seen_0") + F.col("last.run_seen")).alias("seen")))
@@ -112,11 +113,15 @@ def cycle_rows(events: DataFrame, users: DataFrame, *, start_date: date, as_of:
     rows = splitting.with_carry(_marked(events), _carried(_marked(events.where(LONG))), "userId")
     # Inside the run the boundary is known; before the run's first one it is the carried one.
     here = F.col("cur").isNotNull()
+
+    def boundary(field: str) -> Column:
+        return F.when(here, F.col(f"cur.{field}")).otherwise(F.col(f"c_cur.{field}"))
+
     return rows.select(
         *EVENT_COLUMNS, "is_use", "used", "kept",
         F.coalesce("grant", "c_grant").alias("last_grant"),
-        F.when(here, F.col("cur.ts")).otherwise(F.col("c_cur.ts")).alias("cycle_ts"),
-        F.when(here, F.col("cur.kind")).otherwise(F.col("c_cur.kind")).alias("cycle_kind"),
+        boundary("ts").alias("cycle_ts"), boundary("kind").alias("cycle_kind"),
+        boundary("subscriptionId").alias("cycle_subscription"), boundary("packageId").alias("cycle_package"),
         F.when(here, _quota("cur", F.col("c_grant"))).otherwise(F.col("c_cur.quota")).alias("cycle_quota"),
         F.when(here, F.col("run_used") - F.col("cur.run_used"))
         .otherwise(F.col("run_used") + F.coalesce("c_used", F.lit(0))).alias("cum_used"),
@@ -159,31 +164,40 @@ def _next() -> Column:
                       for f in ("ts", "kind", "egg")])
 
 
+def _cycle_sums(rows: DataFrame) -> DataFrame:
+    """One row per cycle, made of its start row and its usage.
+
+    All rows of a cycle carry the same description of it, so the description is the
+    grouping key and only numbers are folded: a hash aggregate, with no further sort
+    of the events and one row per cycle and task to shuffle.
+    """
+    is_start = F.col("kept") & F.col("eventType").isin(*domain.CYCLE_STARTS)
+    reached = (F.col("cum_seen") > 0) & (F.col("cum_used") >= figures.exhaust_level(F.col("cycle_quota")))
+    return rows.where(in_cycle() | is_start).groupBy(
+        "userId", "cycle_index", F.col("cycle_ts").alias("cycle_start_ts"), F.col("cycle_kind").alias("start_type"),
+        F.col("cycle_subscription").alias("subscriptionId"), F.col("cycle_package").alias("packageId"),
+        F.col("cycle_quota").alias("quota"), F.col("following.ts").alias("cycle_end_ts"),
+        F.col("following.kind").alias("next_kind"), F.col("following.egg").alias("next_egg"),
+    ).agg(
+        F.sum("used").alias("consumed"),
+        F.count_if("is_use").alias("usage_event_cnt"),
+        F.sum(F.when(F.col("is_use"), F.col("totalCostThb"))).alias("cost"),
+        F.min(F.when(F.col("is_use") & reached, F.col("eventTimeStamp"))).alias("exhaust_ts"))
+
+
 def _finish(rows: DataFrame, packages: DataFrame) -> DataFrame:
-    """Sum usage per cycle start and lay out the cycles of that start.
+    """Cycles with their measures.
 
     A purchase and a reset of the same instant are two cycles with one start; both
     show the usage found there.
     """
-    kind = F.col("eventType")
-    cycle = F.struct("subscriptionId", "packageId", kind.alias("start_type"), "cycle_index",
-                     F.col("cycle_quota").alias("quota"), F.col("following.ts").alias("cycle_end_ts"),
-                     F.col("following.kind").alias("next_kind"), F.col("following.egg").alias("next_egg"))
-
-    def started(boundary: str) -> Column:
-        return F.max(F.when(F.col("kept") & (kind == boundary), cycle))
-
-    reached = (F.col("cum_seen") > 0) & (F.col("cum_used") >= figures.exhaust_level(F.col("cycle_quota")))
-    starts = (rows.where(in_cycle() | (F.col("kept") & kind.isin(*domain.CYCLE_STARTS)))
-              .groupBy("userId", F.col("cycle_ts").alias("cycle_start_ts")).agg(
-                  F.array(*[started(b) for b in domain.CYCLE_STARTS]).alias("cycles"),
-                  F.coalesce(F.sum("used"), F.lit(0)).alias("consumed"),
-                  F.count(F.when(F.col("is_use"), 1)).alias("usage_event_cnt"),
-                  F.coalesce(F.sum(F.when(F.col("is_use"), F.col("totalCostThb"))), F.lit(0))
-                  .cast(domain.MONEY_SUM).alias("serving_cost_thb"),
-                  F.min(F.when(F.col("is_use") & reached, F.col("eventTimeStamp"))).alias("exhaust_ts")))
-    cycles = (starts.withColumn("cycle", F.explode("cycles")).where(F.col("cycle").isNotNull())
-              .select("*", "cycle.*").join(packages, "packageId", "left"))
+    same_start = W.partitionBy("userId", "cycle_start_ts")
+    cycles = _cycle_sums(rows).withColumns({
+        "consumed": F.coalesce(F.sum("consumed").over(same_start), F.lit(0)),
+        "usage_event_cnt": F.sum("usage_event_cnt").over(same_start),
+        "serving_cost_thb": F.coalesce(F.sum("cost").over(same_start), F.lit(0)).cast(domain.MONEY_SUM),
+        "exhaust_ts": F.min("exhaust_ts").over(same_start),
+    }).join(packages, "packageId", "left")
     next_kind, quota, consumed = F.col("next_kind"), F.col("quota"), F.col("consumed")
     end_type = (F.when(next_kind == domain.SUBSCRIBE, "repurchase")
                 .when(next_kind == domain.MONTHLY_RESET, "monthly_reset")
