@@ -53,8 +53,9 @@ def _required(value: Column, message: str) -> Column:
     return F.coalesce(value, F.raise_error(F.lit(message)))
 
 
-def object_id_string(docs: DataFrame, name: str = "_id") -> Column:
-    return _required(_unwrapped(docs, name, "$oid"), f"document without {name}")
+def object_id_string(docs: DataFrame, name: str = "_id", required: bool = True) -> Column:
+    value = _unwrapped(docs, name, "$oid")
+    return _required(value, f"document without {name}") if required else value
 
 
 def to_utc_timestamp(docs: DataFrame, name: str, required: bool = True) -> Column:

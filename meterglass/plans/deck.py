@@ -61,7 +61,7 @@ def conversion_packages(subs: DataFrame, packages: DataFrame) -> DataFrame:
             .select("userId", F.col("packageName").alias("to_package")))
 
 
-def _counts() -> dict[str, Column]:
+def user_counts() -> dict[str, Column]:
     """Measure of every user metric over (version, package) rows."""
     version, package = F.col("version"), F.col("package")
 
@@ -95,7 +95,7 @@ def slide_metrics(b2c_events: DataFrame, b2b_events: DataFrame, b2c_packages: Da
     """18 headline figures in long form, with the last day of data."""
     subs = subscriptions(b2c_events, b2b_events, b2c_users)
     packages = all_packages(b2c_packages, b2b_packages)
-    users = _counts()
+    users = user_counts()
     user_row = current_packages(subs, packages).agg(*[c.alias(k) for k, c in users.items()])
     to = F.col("to_package")
     conversions = {"free_trial_conversion": F.count(F.lit(1)), "to_starter": F.count_if(to == "Starter"),

@@ -81,19 +81,19 @@ def tiles(kpi_row: DataFrame) -> DataFrame:
 
 def weekly(summary: DataFrame, since: date = domain.WEEKLY_SINCE) -> DataFrame:
     """Money and purchases per Monday, with the gross profit."""
-    weeks = summary.where(F.col("date_id") >= F.lit(since)).groupBy(_week()).agg(
+    weeks = summary.where(F.col("date_id") >= F.lit(since)).groupBy(week_text()).agg(
         whole(F.sum("revenue_thb_est")).alias("revenue"), whole(F.sum("serving_cost_thb")).alias("cost"),
         F.sum("new_paid_subscriptions").alias("paid_subs"), F.sum("new_trial_subscriptions").alias("trials"))
     return weeks.withColumn("profit", F.col("revenue") - F.col("cost")).orderBy("wk")
 
 
-def _week() -> Column:
+def week_text() -> Column:
     return F.date_format(calendar.monday(F.col("date_id")), "yyyy-MM-dd").alias("wk")
 
 
 def weekly_users(tracking: DataFrame, since: date = domain.WEEKLY_SINCE) -> DataFrame:
     """Distinct users per Monday and segment; folded to (week, segment, user) first."""
-    folded = tracking.where(F.col("date_id") >= F.lit(since)).select(_week(), "version", "userId").distinct()
+    folded = tracking.where(F.col("date_id") >= F.lit(since)).select(week_text(), "version", "userId").distinct()
     return folded.groupBy("wk").agg(*[
         F.count(F.when(F.col("version") == v, F.col("userId"))).alias(f"{v.lower()}_users") for v in ("B2C", "B2B")
     ]).orderBy("wk")
@@ -158,19 +158,19 @@ def daily_users(tracking: DataFrame) -> DataFrame:
 
 
 def daily_money(summary: DataFrame) -> DataFrame:
-    return summary.groupBy("date_id").agg(_money("revenue_thb_est"), _money("serving_cost_thb"))
+    return summary.groupBy("date_id").agg(money_sum("revenue_thb_est"), money_sum("serving_cost_thb"))
 
 
-def _money(name: str) -> Column:
+def money_sum(name: str) -> Column:
     return F.sum(name).cast(domain.MONEY_SUM).alias(name)
 
 
 def cost_by_version(summary: DataFrame) -> DataFrame:
-    return summary.groupBy("version").agg(_money("serving_cost_thb"))
+    return summary.groupBy("version").agg(money_sum("serving_cost_thb"))
 
 
 def revenue_by_package(summary: DataFrame) -> DataFrame:
-    return summary.groupBy("packageName").agg(_money("revenue_thb_est"))
+    return summary.groupBy("packageName").agg(money_sum("revenue_thb_est"))
 
 
 def repeat_rate(behavior: DataFrame) -> DataFrame:
@@ -195,7 +195,7 @@ def by_first_package(behavior: DataFrame) -> DataFrame:
 
 def cost_by(events: DataFrame, column: str) -> DataFrame:
     """Cost of the raw events by one column (day, model, event type)."""
-    return events.groupBy(column).agg(_money("totalCostThb"))
+    return events.groupBy(column).agg(money_sum("totalCostThb"))
 
 
 def top_users(events: DataFrame, k: int) -> DataFrame:

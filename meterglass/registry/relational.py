@@ -253,7 +253,7 @@ on_sample("agg_segment_counts", query("""
     count(*) FILTER (WHERE seg = 'B2C' AND name NOT IN ('Starter', 'Standard', 'Pro')) AS b2c_free_trial,
     count(*) FILTER (WHERE seg = 'B2B' AND name = 'Biz Pro') AS b2b_biz_pro FROM cur""", decks.SUBS))(
     lambda s: deck.current_packages(decks.subs(s), decks.packages(s)).agg(
-        *[deck._counts()[n].alias(n) for n in ("total_users", "b2c_users", "b2c_free_trial", "b2b_biz_pro")]))
+        *[deck.user_counts()[n].alias(n) for n in ("total_users", "b2c_users", "b2c_free_trial", "b2b_biz_pro")]))
 on_sample("agg_company_histogram", query("""
   SELECT company_size_range, min(number_of_user_bin) AS bin_order, count(DISTINCT "companyId") AS companies
   FROM tracking_b2b GROUP BY ALL""", tracked.B2B))(
@@ -326,7 +326,7 @@ on_sample("agg_kpi_30d", query("""
         "data_end", "cur_rev", "prev_rev", "cur_subs", "prev_subs", "all_rev", "all_cost", "first_date"))
 on_sample("agg_weekly_money", query(f"""
   SELECT {reported.WEEK}, CAST(round(sum("totalCostThb"), 0) AS BIGINT) AS cost FROM dom GROUP BY ALL"""))(
-    lambda s: both(s).groupBy(reports._week()).agg(figures.whole(F.sum("totalCostThb")).alias("cost")))
+    lambda s: both(s).groupBy(reports.week_text()).agg(figures.whole(F.sum("totalCostThb")).alias("cost")))
 on_sample("agg_weekly_users", query(f"""
   SELECT {reported.WEEK}, count(DISTINCT CASE WHEN seg = 'B2C' THEN "userId" END) AS b2c_users,
     count(DISTINCT CASE WHEN seg = 'B2B' THEN "userId" END) AS b2b_users
@@ -346,12 +346,12 @@ on_sample("agg_by_package", query("""
 on_sample("agg_by_model", query("""
   SELECT "aiModel", CAST(sum(serving_cost_thb) AS DECIMAL(38,6)) AS serving_cost_thb FROM model_daily
   GROUP BY ALL""", *reported.MODELS))(
-    lambda s: reported.models(s).groupBy("aiModel").agg(reports._money("serving_cost_thb")))
+    lambda s: reported.models(s).groupBy("aiModel").agg(reports.money_sum("serving_cost_thb")))
 on_sample("agg_by_user_type", query("""
   SELECT user_type, count(*) AS users, CAST(sum(revenue_thb) AS DECIMAL(38,6)) AS revenue_thb FROM behavior
   GROUP BY ALL""", *PURCHASES))(
     lambda s: behaviour.repeat_behavior(s).groupBy("user_type").agg(
-        F.count(F.lit(1)).alias("users"), reports._money("revenue_thb")))
+        F.count(F.lit(1)).alias("users"), reports.money_sum("revenue_thb")))
 on_sample("agg_repeat_ratios", query("""
   SELECT count(*) FILTER (WHERE is_repeat) AS repeat_users, count(*) FILTER (WHERE paid_subscribe_cnt >= 1) AS paid_users,
     round(100::DOUBLE * (count(*) FILTER (WHERE is_repeat)::DOUBLE

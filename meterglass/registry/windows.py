@@ -16,6 +16,7 @@ from meterglass.registry.common import on_sample
 from meterglass.registry.ingest import both
 from meterglass.registry.relational import PURCHASES, b2c_live, cycle_rows, paid_subscriptions
 from meterglass.registry.sql import query
+from meterglass.sources import tables
 
 MOMENT = ["eventTimeStamp", "event_id"]
 
@@ -62,18 +63,18 @@ on_sample("current_package_flag", query("""
 
 
 def ranked(s, key: str, name: str):
-    events = tables_window(s)
+    events = listed_events(s)
     members = tracking.sized_members(s.b2b_users, s.team, s.company)
-    days = tracking.active_days(events, tracking.tables.b2b_packages(s.b2b_packages, "packageName"), members)
+    days = tracking.active_days(events, tables.b2b_packages(s.b2b_packages, "packageName"), members)
     rows = events.select("userId", "date_id").distinct().join(members.select("userId", key).distinct(), "userId")
     return rows.join(tracking.ranked_days(days, key, name), [key, "date_id"]).select("userId", "date_id", key, name)
 
 
-def tables_window(s):
+def listed_events(s):
     """B2B events of listed packages inside the window."""
-    events = s.b2b_events.where(tracking.tables.in_window(tracked.START_DATE, tracked.TODAY))
-    listed = tracking.tables.b2b_packages(s.b2b_packages).distinct()
-    return tracking.tables.with_package_number(events).join(listed, "packageId", "left_semi")
+    events = s.b2b_events.where(tables.in_window(**tracked.WINDOW))
+    listed = tables.b2b_packages(s.b2b_packages).distinct()
+    return tables.with_package_number(events).join(listed, "packageId", "left_semi")
 
 
 for _name, _key in (("company_first_event_row", "companyId"), ("team_first_event_row", "teamId")):

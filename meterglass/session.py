@@ -19,6 +19,7 @@ def build_session(cores: int | str = "*", app: str = "meterglass", **conf: str)
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "128k")
     )
     for key, value in conf.items():
         builder = builder.config(key, value)

@@ -56,14 +56,23 @@ def id_range(object_id: Column, first: date, last: date, tz: str, buffer_hours:
             & (object_id < calendar.object_id_floor(end + room)))
 
 
+def _id_in_range(docs: DataFrame, first: date, last: date, tz: str, buffer_hours: int) -> Column:
+    """Id range on the stored column where it is plain text, so that the files can skip on it."""
+    bare = id_range(values.object_id_string(docs, required=False), first, last, tz, buffer_hours)
+    if not isinstance(docs.schema["_id"].dataType, T.StringType):
+        return bare
+    wrapped = F.col("_id").startswith("{")
+    return (id_range(F.col("_id"), first, last, tz, buffer_hours) | wrapped) & bare
+
+
 def extract_days(docs: DataFrame, first: date, last: date, *, tz: str = domain.TIME_ZONE,
                  id_buffer_hours: int = domain.ID_BUFFER_HOURS) -> DataFrame:
     """Event documents of the local days first..last (``id_buffer_hours=0`` drops the id range)."""
-    ntz = isinstance(docs.schema["eventTimeStamp"].dataType, T.TimestampNTZType)
-    ts = F.col("eventTimeStamp") if ntz else values.to_utc_timestamp(docs, "eventTimeStamp")
+    ntz = calendar.is_ntz(docs, "eventTimeStamp")
+    ts = F.col("eventTimeStamp") if ntz else values.to_utc_timestamp(docs, "eventTimeStamp", required=False)
     keep = day_range(ts, first, last, tz, ntz=ntz)
     if id_buffer_hours > 0:
-        keep = id_range(values.object_id_string(docs), first, last, tz, id_buffer_hours) & keep
+        keep = _id_in_range(docs, first, last, tz, id_buffer_hours) & keep
     return project(docs.where(keep), domain.EVENT_FIELDS)
 
 

@@ -48,9 +48,10 @@ def events(spark: SparkSession, sf_dir: str, *extra: str) -> DataFrame:
     b2b_ids = ", ".join(f"'{i}'" for i in B2B_PACKAGE_ORDER)
     return (
         raw_events(spark, sf_dir)
+        # A generator reads the JSON once per row; later filters on k stay above it.
+        .select("event_id", "ts", "user_id", "event_type", "value", F.json_tuple("props", "k").alias("k"))
         .selectExpr(
-            "event_id AS n", "ts", "user_id AS u", "event_type",
-            "CAST(get_json_object(props, '$.k') AS BIGINT) AS k",
+            "event_id AS n", "ts", "user_id AS u", "event_type", "CAST(k AS BIGINT) AS k",
             "CAST(round(value * 100) AS BIGINT) AS cents")
         .selectExpr("*", """
             CASE WHEN event_type = 'purchase' AND k < 50 AND u % 11 <> 5 THEN 'Subscribe'

@@ -103,6 +103,29 @@ def test_window_prunes_partitions(spark, typed):
     assert "PartitionFilters: [isnotnull(date_id" in plan
 
 
+def test_extract_reaches_the_files(spark, sf_dir):
+    path = scratch_path(spark, "docs")
+    docs = sample.event_documents(spark, sf_dir)
+    plain = docs.withColumn("_id", F.col("_id").getField("$oid")).withColumn(
+        "eventTimeStamp", F.to_timestamp(F.col("eventTimeStamp").getField("$date")))
+    plain.write.parquet(path)
+    found = documents.extract_day(spark.read.parquet(path), DAY)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    pushed = plan[plan.index("PushedFilters"):].splitlines()[0]
+    assert "GreaterThanOrEqual(eventTimeStamp" in pushed and "GreaterThanOrEqual(_id" in pushed
+    assert found.count() == documents.extract_day(docs, DAY).count() > 0
+
+
+def test_catalog_tables(spark, typed):
+    lake.ensure_database(spark, "usage")
+    path = scratch_path(spark, "events")
+    lake.replace_day(day_rows(typed), path, DAY)
+    for _ in range(2):
+        lake.ensure_event_table(spark, "usage.events", path)
+    assert spark.table("usage.events").count() == day_rows(typed).count()
+    assert spark.catalog.listColumns("usage.events")[-1].isPartition
+
+
 def test_extract_uses_ids_only_inside_the_buffer(spark, sf_dir):
     docs = sample.event_documents(spark, sf_dir)
     early = docs.withColumn("_id", F.struct(F.lit("5" + "0" * 23).alias("$oid")))
