@@ -43,7 +43,8 @@ def kpi(summary: DataFrame, tracking: DataFrame, days: int = domain.ROLLING_DAYS
     """Current and previous window and all time, in one row.
 
     The summary is folded to one row per day first; its last day is then a maximum
-    over those few rows. The user counts come in as one scalar subquery.
+    over those few rows. The finished row is one scalar subquery, which gives the
+    user count its last day too, so neither input is computed twice.
     """
     by_day = (summary.groupBy("date_id").agg(*[F.sum(c).alias(k) for k, c in KPI_SUMS.items()])
               .withColumn("data_end", F.max("date_id").over(W.partitionBy(F.lit(0)))))
@@ -52,8 +53,9 @@ def kpi(summary: DataFrame, tracking: DataFrame, days: int = domain.ROLLING_DAYS
         F.max("date_id").alias("data_end"), F.min("date_id").alias("first_date"),
         *[F.sum(F.when(c, F.col(k))).cast(_kind(k)).alias(f"{n}_{k}") for n, c in windows.items() for k in KPI_SUMS],
         *[F.sum(k).cast(_kind(k)).alias(f"all_{k}") for k in ("rev", "cost", "subs")])
-    users = active_users(tracking, last_day(summary), days).select(F.struct("cur_users", "prev_users")).scalar()
-    return sums.withColumn("users", users).select("*", "users.*").drop("users")
+    row = sums.select(F.struct("*")).scalar()
+    users = active_users(tracking, row.getField("data_end"), days)
+    return users.select(row.alias("row"), "*").select("row.*", *users.columns)
 
 
 def _kind(name: str) -> str:
