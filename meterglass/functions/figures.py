@@ -21,6 +21,12 @@ def safe_divide(top: Column, bottom: Column) -> Column:
     return F.try_divide(top.cast("double"), bottom.cast("double"))
 
 
+def exact_mean(total: Column, n: Column, places: int) -> Column:
+    """Mean rounded half up in decimals, so that a tie never depends on a double's last bit."""
+    quotient = F.try_divide(total.cast("decimal(38,12)"), n.cast("decimal(20,0)"))
+    return F.round(quotient, places).cast("double")
+
+
 def share_percent(part: Column, total: Column) -> Column:
     return F.round(F.lit(100.0) * safe_divide(part, total), 2)
 

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from meterglass import domain
-from meterglass.functions import calendar
+from meterglass.functions import calendar, figures
 from meterglass.operators import dedup, splitting
 from meterglass.plans.cycles import window_events
 from meterglass.plans.summary import is_usage
@@ -75,6 +75,10 @@ def user_purchases(events: DataFrame, cuts: DataFrame, packages: DataFrame) -> D
         F.sum(F.when(F.col("kind") == "use", F.col("tokens"))).alias("tokens"))
 
 
+def mean_gap_days() -> Column:
+    return figures.exact_mean(F.col("gap_hours"), 24 * F.col("gaps"), 1)
+
+
 def cycle_rollup(cycles: DataFrame) -> DataFrame:
     """Per user: cycle counts, averages, last ending, win-backs and the commonest segment.
 
@@ -109,7 +113,7 @@ def cycle_rollup(cycles: DataFrame) -> DataFrame:
         return F.sum(F.when(segment == name, F.col("paid")).otherwise(0))
 
     def mean(top: str, bottom: str, places: int) -> Column:
-        return F.round(F.try_divide(F.sum(top).cast("double"), F.sum(bottom).cast("double")), places)
+        return figures.exact_mean(F.sum(top), F.sum(bottom), places)
 
     return per_segment.groupBy("userId").agg(
         F.sum("total").alias("cycles_total"), F.sum("completed").alias("cycles_completed"),
@@ -159,7 +163,7 @@ def repeat_behavior(cycles: DataFrame, events: DataFrame, packages: DataFrame, u
         first_day.alias("first_paid_date"),
         calendar.local_date(F.col("last_paid_ts"), tz, ntz=ntz).alias("last_paid_date"),
         F.coalesce(first_day <= F.date_sub("data_end", mature_days), F.lit(False)).alias("is_mature_cohort"),
-        F.round(F.try_divide(F.col("gap_hours"), F.lit(24.0) * F.col("gaps")), 1).alias("avg_days_between_paid"),
+        mean_gap_days().alias("avg_days_between_paid"),
         revenue.alias("revenue_thb"), cost.alias("serving_cost_thb"),
         (revenue - cost).cast(domain.MONEY_SUM).alias("margin_thb"),
         filled("tokens").alias("tokens_used_total"),

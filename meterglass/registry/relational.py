@@ -288,7 +288,7 @@ on_sample("agg_paid_subscriptions", query("""
     gap AS avg_days_between_paid FROM payer""", *PURCHASES))(
     lambda s: purchases(s).where("paid_subscribe_cnt > 0").select(
         "userId", "paid_subscribe_cnt", "first_paid_ts", "last_paid_ts",
-        F.round(F.try_divide(F.col("gap_hours"), F.lit(24.0) * F.col("gaps")), 1).alias("avg_days_between_paid")))
+        behavior.mean_gap_days().alias("avg_days_between_paid")))
 on_sample("agg_revenue", query('SELECT "userId", CAST(revenue AS DECIMAL(38,6)) AS revenue_thb FROM payer', *PURCHASES))(
     lambda s: paid_subscriptions(s).join(priced(s), "packageId").groupBy("userId")
     .agg(F.sum("priceThb").cast(domain.MONEY_SUM).alias("revenue_thb")))
