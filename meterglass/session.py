@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -31,13 +30,10 @@ def build_session(cores: int | str = "*", app: str = "meterglass", **conf: str)
 def shared_root(spark: SparkSession) -> str:
     """Folder every executor can reach: ``spark.checkpoint.dir``.
 
-    A machine-local folder is used only where the setting is absent, as in tests.
+    Where that is unset, a folder below the warehouse, which is shared as well.
     """
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if root is None:
-        root = tempfile.mkdtemp(prefix="meterglass-")
-        spark.sparkContext.setCheckpointDir(root)
-    return root.rstrip("/")
+    return (root or f"{spark.conf.get('spark.sql.warehouse.dir')}/_scratch").rstrip("/")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
