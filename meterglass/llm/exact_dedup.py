@@ -145,14 +145,16 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     settled = []
     while True:
         # Which entries may form a group, and the one that would stay.
-        groups = left.groupBy(*keys).agg(pick(F.struct("doc_id", "text_sha256")).alias("keep"),
-                                         F.count("*").alias("members")).select(
-            *(F.col(k).alias(f"g_{k}") for k in keys), F.col("keep.doc_id").alias("keep_id"),
-            F.col("keep.text_sha256").alias("keep_sha"), "members")
-        same = F.lit(True)
-        for k in keys:
-            same = same & (F.col(k) == F.col(f"g_{k}"))
-        proposed = stored(left.join(groups, same).drop(*(f"g_{k}" for k in keys)), "proposed")
+        # Groups of one need no join, and a group of a third of all rows is a skewed join that is split as it runs.
+        groups = stored(left.groupBy(*keys).agg(pick(F.struct("doc_id", "text_sha256")).alias("keep"), F.count("*").alias("members"))
+                        .where("members > 1"), "groups").select(
+            *(F.col(k).alias(f"g_{k}") for k in keys), F.col("keep.doc_id").alias("k_id"), F.col("keep.text_sha256").alias("k_sha"), "members")
+        same = (F.col("f0") == F.col("g_f0")) & (F.col("f1") == F.col("g_f1")) & (F.col("n_bytes") == F.col("g_n_bytes"))
+        grouped = F.col("members").isNotNull()
+        proposed = stored(left.join(groups, same, "left").select(
+            *left.columns, F.when(grouped, F.col("k_id")).otherwise(F.col("doc_id")).alias("keep_id"),
+            F.when(grouped, F.col("k_sha")).otherwise(F.col("text_sha256")).alias("keep_sha"),
+            F.coalesce("members", F.lit(1)).alias("members")), "proposed")
         wrong = stored(differing(texts, proposed.where("members > 1")), "differing").select(
             F.col("doc_id").alias("w_id"), F.col("text_sha256").alias("w_sha"))
         is_wrong = F.col("doc_id").eqNullSafe(F.col("w_id")) & (F.col("text_sha256") == F.col("w_sha"))
@@ -164,10 +166,11 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     found = settled[0]
     for more in settled[1:]:
         found = found.unionByName(more)
-    sizes = found.groupBy("keep_id", "keep_sha").agg(F.sum("copies").alias("group_size")).select(
-        F.col("keep_id").alias("s_id"), F.col("keep_sha").alias("s_sha"), "group_size")
+    sizes = stored(found.where("members > 1").groupBy("keep_id", "keep_sha").agg(F.sum("copies").alias("size")), "sizes").select(
+        F.col("keep_id").alias("s_id"), F.col("keep_sha").alias("s_sha"), "size")
     keeper = F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("text_sha256") == F.col("keep_sha"))
-    return (found.join(sizes, F.col("keep_id").eqNullSafe(F.col("s_id")) & (F.col("keep_sha") == F.col("s_sha")))
+    return (found.join(sizes, F.col("keep_id").eqNullSafe(F.col("s_id")) & (F.col("keep_sha") == F.col("s_sha")), "left")
+            .withColumn("group_size", F.coalesce("size", "copies"))
             .withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))))
             .select("doc_id", "keep_id", "group_size", (keeper & (F.col("copy") == 1)).alias("kept"), "text_sha256", "n_bytes"))
 

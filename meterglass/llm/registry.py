@@ -1,6 +1,6 @@
 """The queries of this subpackage and their SQL."""
 
-from meterglass.llm import exact_dedup, mixing, sharding  # noqa: F401
+from meterglass.llm import bpe, exact_dedup, mixing, sharding, warc  # noqa: F401
 from meterglass.llm.common import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

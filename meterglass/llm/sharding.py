@@ -93,7 +93,7 @@ def hilbert_shards(docs: DataFrame, shards: int = 16, id_col: str = "doc_id", te
 
     before = (Window.unboundedPreceding, -1)
     slices = placed.groupBy("cell", "slice").agg(F.sum("size").alias("bytes"), F.count("*").alias("n"))
-    # At most 2 ** (3 * bits) rows, whatever the input.
+    # At most 2 ** (3 * bits) rows, whatever the input: one task may order them and all tasks may hold them.
     low = (1 << bits) - 1
     levels = [F.shiftright("cell", 2 * bits), F.shiftright("cell", bits).bitwiseAND(low), F.col("cell").bitwiseAND(low)]
     cells = slices.groupBy("cell").agg(F.sum("bytes").alias("bytes")).withColumn("curve", hilbert_index(levels, bits))
@@ -103,7 +103,7 @@ def hilbert_shards(docs: DataFrame, shards: int = 16, id_col: str = "doc_id", te
     slices = slices.select("cell", "slice", F.coalesce(F.sum("bytes").over(within), F.lit(0)).alias("slice_at"))
     rank = Window.partitionBy("cell", "slice").orderBy("doc_id", "text_crc32", "size")
     ends = (placed.withColumn("end", F.sum("size").over(rank.rowsBetween(Window.unboundedPreceding, 0)))
-            .join(slices, ["cell", "slice"]).join(cells, "cell"))
+            .join(slices, ["cell", "slice"]).join(F.broadcast(cells), "cell"))
     ends = ends.withColumn("end", F.col("end") + F.col("slice_at") + F.col("cell_at"))
     middle = F.col("end") - F.expr("size div 2") - 1
     cut = ends.withColumn("shard", F.least(F.floor(middle.cast("decimal(38,0)") * shards / total), F.lit(shards - 1)).cast("int"))
@@ -111,13 +111,14 @@ def hilbert_shards(docs: DataFrame, shards: int = 16, id_col: str = "doc_id", te
     # Rows of a shard before a slice: again cells first, then slices, then rows.
     counts = cut.groupBy("curve", "slice", "shard").agg(F.count("*").alias("n"))
     by_cell = counts.groupBy("curve", "shard").agg(F.sum("n").alias("n"))
+    # At most a row for each cell and for each cut.
     by_cell = by_cell.select("curve", "shard", F.coalesce(
         F.sum("n").over(Window.partitionBy("shard").orderBy("curve").rowsBetween(*before)), F.lit(0)).alias("cell_slot"))
     counts = counts.select("curve", "slice", "shard", F.coalesce(
         F.sum("n").over(Window.partitionBy("shard", "curve").orderBy("slice").rowsBetween(*before)), F.lit(0)).alias("slice_slot"))
     order = Window.partitionBy("curve", "slice", "shard").orderBy("doc_id", "text_crc32", "size")
     numbered = (cut.withColumn("place", F.row_number().over(order) - 1)
-                .join(counts, ["curve", "slice", "shard"]).join(by_cell, ["curve", "shard"]))
+                .join(counts, ["curve", "slice", "shard"]).join(F.broadcast(by_cell), ["curve", "shard"]))
     return numbered.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard",
                            (F.col("place") + F.col("slice_slot") + F.col("cell_slot")).cast("long").alias("slot"),
                            F.lit(None).cast("int").alias("grown_shard"), "curve", "source", "lang")
