@@ -13,6 +13,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -21,13 +22,13 @@ from meterglass.session import scratch_path
 
 #: Bytes of text in a block; a longer text is a block of its own.
 BLOCK_BYTES = 4 << 20
-#: Words of the corpus for each bucket of hashes.
-BUCKET_WORDS = 1 << 20
+#: Bytes of text for each bucket of hashes: about a million words.
+BUCKET_BYTES = 6 << 20
 LEAST_BUCKETS = 48
 
 
 def stage(docs: DataFrame, id_col: str, text_col: str, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """Rows (block, row, doc_id, text) in a table bucketed by block, in the shared folder.
+    """Rows (block, row, n_bytes, doc_id, text) in a table bucketed by block, in the shared folder.
 
     ``row`` numbers the texts of a block, so equal ids stay apart.
     """
@@ -36,27 +37,29 @@ def stage(docs: DataFrame, id_col: str, text_col: str, block_bytes: int = BLOCK_
     chosen = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
 
     def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block, row, size = TaskContext.get().partitionId() << 32, 0, 0
+        block, row, size = TaskContext.get().partitionId() << 20, 0, 0
         for batch in batches:
             blocks, rows = [], []
-            for n in pa.compute.binary_length(batch.column(1)).fill_null(0).to_pylist():
-                if size and size + n > block_bytes:
+            sizes = pa.compute.binary_length(batch.column(1)).cast(pa.int64()).fill_null(0)
+            for n in sizes.to_pylist():
+                if size and size + n + 1 > block_bytes:
                     block, row, size = block + 1, 0, 0
                 blocks.append(block)
                 rows.append(row)
                 row, size = row + 1, size + n + 1
             yield pa.RecordBatch.from_arrays(
-                [pa.array(blocks, pa.int64()), pa.array(rows, pa.int32()), *batch.columns], ["block", "row", "doc_id", "text"])
+                [pa.array(blocks, pa.int64()), pa.array(rows, pa.int32()), sizes, *batch.columns],
+                ["block", "row", "n_bytes", "doc_id", "text"])
 
     name = f"blocks_{uuid.uuid4().hex}"
-    (chosen.mapInArrow(number, f"block long, row int, doc_id {kind}, text string")
+    (chosen.mapInArrow(number, f"block long, row int, n_bytes long, doc_id {kind}, text string")
         .write.bucketBy(int(spark.conf.get("spark.sql.shuffle.partitions")), "block").sortBy("block")
         .option("compression", "zstd").option("path", scratch_path(spark, "blocks")).saveAsTable(name))
     return spark.table(name)
 
 
-def bucket_count(words: int) -> int:
-    return max(LEAST_BUCKETS, -(-words // BUCKET_WORDS))
+def bucket_count(blocks: DataFrame) -> int:
+    return max(LEAST_BUCKETS, -(-(blocks.agg(F.sum("n_bytes")).first()[0] or 0) // BUCKET_BYTES))
 
 
 def split(hashes: np.ndarray, n: int) -> np.ndarray:
@@ -65,12 +68,12 @@ def split(hashes: np.ndarray, n: int) -> np.ndarray:
     return np.concatenate(([0], np.searchsorted(hashes, cuts), [len(hashes)]))
 
 
-def asked(block: int, cuts: np.ndarray, *columns: tuple[np.ndarray, int]) -> Iterator[tuple[int, int, bytes]]:
-    """(bucket, block, payload) of what a block asks; columns: values with the low bytes to send of each."""
+def asked(block: int, level: int, cuts: np.ndarray, *columns: tuple[np.ndarray, int]) -> Iterator[tuple[int, int, int, bytes]]:
+    """(level, bucket, block, payload) of what a block asks; columns: values with the low bytes to send of each."""
     low = [np.ascontiguousarray(v).view(np.uint8).reshape(len(v), -1)[:, :width] for v, width in columns]
     for bucket, (a, b) in enumerate(zip(cuts[:-1], cuts[1:])):
         if b > a:
-            yield bucket, block, b"".join(np.ascontiguousarray(x[a:b]).tobytes() for x in low)
+            yield level, bucket, block, b"".join(np.ascontiguousarray(x[a:b]).tobytes() for x in low)
 
 
 def unpack(payload: bytes, *widths: int) -> list[np.ndarray]:
@@ -85,34 +88,70 @@ def unpack(payload: bytes, *widths: int) -> list[np.ndarray]:
     return out
 
 
-ASK = "bucket int, block long, payload binary"
-_ASK = pa.schema([("bucket", pa.int32()), ("block", pa.int64()), ("payload", pa.binary())])
+ASK = "level int, bucket int, block long, payload binary"
+_ASK = pa.schema([("level", pa.int32()), ("bucket", pa.int32()), ("block", pa.int64()), ("payload", pa.binary())])
 
 
-def ask_rows(rows: Iterator[tuple[int, int, bytes]]) -> pa.Table:
+def ask_rows(rows: Iterator[tuple[int, int, int, bytes]]) -> pa.Table:
     rows = list(rows)
-    return pa.table([pa.array(c, t.type) for c, t in zip(zip(*rows) if rows else ([], [], []), _ASK)], _ASK)
+    return pa.table([pa.array(c, t.type) for c, t in zip(zip(*rows) if rows else ([],) * 4, _ASK)], schema=_ASK)
+
+
+def in_order(rows: pa.Table) -> pa.Table:
+    return rows.take(pa.compute.sort_indices(rows["row"]))
 
 
 def per_block(blocks: DataFrame, fn: Callable[[pa.Table], pa.Table], schema: str) -> DataFrame:
     """fn over the rows of each block."""
-    return blocks.groupBy("block").applyInArrow(fn, schema)
+    return blocks.groupBy("block").applyInArrow(lambda rows: fn(in_order(rows)), schema)
 
 
 def answered(questions: DataFrame, fn: Callable[[list[bytes]], list[bytes | None]]) -> DataFrame:
     """Each bucket's answers, one for each payload; None: nothing to tell."""
     def answer(bucket: pa.Table) -> pa.Table:
         told = fn(bucket["payload"].to_pylist())
-        return ask_rows((b, k, a) for b, k, a in zip(bucket["bucket"].to_pylist(), bucket["block"].to_pylist(), told)
-                        if a is not None)
+        return ask_rows((level, b, block, a) for level, b, block, a in zip(
+            bucket["level"].to_pylist(), bucket["bucket"].to_pylist(), bucket["block"].to_pylist(), told) if a is not None)
     return questions.groupBy("bucket").applyInArrow(answer, ASK)
 
 
-def with_answers(blocks: DataFrame, answers: DataFrame, fn: Callable[[pa.Table, dict[int, bytes]], pa.Table],
+def with_rows(blocks: DataFrame, marks: DataFrame, fn: Callable[[pa.Table, pa.Table], pa.Table], schema: str) -> DataFrame:
+    """fn over the rows of each block and the marks that name it."""
+    return (blocks.groupBy("block").cogroup(marks.groupBy("block"))
+            .applyInArrow(lambda rows, own: fn(in_order(rows), own), schema))
+
+
+def with_answers(blocks: DataFrame, answers: DataFrame, fn: Callable[[pa.Table, dict[tuple[int, int], bytes]], pa.Table],
                  schema: str) -> DataFrame:
-    """fn over the rows of each block and its answers by bucket."""
-    def both(left: pa.Table, right: pa.Table) -> pa.Table:
-        order = pa.compute.sort_indices(left["row"]) if left.num_rows else []
-        return fn(left.take(order) if left.num_rows else left,
-                  dict(zip(right["bucket"].to_pylist(), right["payload"].to_pylist())))
+    """fn over the rows of each block and its answers by (level, bucket)."""
+    def both(rows: pa.Table, told: pa.Table) -> pa.Table:
+        keys = zip(told["level"].to_pylist(), told["bucket"].to_pylist())
+        return fn(in_order(rows), dict(zip(keys, told["payload"].to_pylist())))
     return blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(both, schema)
+
+
+def shared_elsewhere(*widths: int) -> Callable[[list[bytes]], list[bytes | None]]:
+    """For each hash of a payload a bit: whether another payload has it too. A payload holds a hash once."""
+    def answer(payloads: list[bytes]) -> list[bytes | None]:
+        parts = [unpack(p, *widths) for p in payloads]
+        columns = [np.concatenate(c) for c in zip(*parts)]
+        order = np.lexsort(columns[::-1]) if len(columns) > 1 else np.argsort(columns[0], kind="stable")
+        same = np.ones(len(order) - 1, bool)
+        for c in columns:
+            same &= c[order[1:]] == c[order[:-1]]
+        found = np.zeros(len(order), bool)
+        found[order[1:]] |= same
+        found[order[:-1]] |= same
+        ends = np.cumsum([0] + [len(p[0]) for p in parts])
+        return [np.packbits(found[a:b]).tobytes() if found[a:b].any() else None for a, b in zip(ends[:-1], ends[1:])]
+    return answer
+
+
+def bits(answers: dict[tuple[int, int], bytes], level: int, cuts: np.ndarray) -> np.ndarray:
+    """The bits of all buckets, in the order of the hashes that were sent."""
+    out = np.zeros(cuts[-1], bool)
+    for bucket, (a, b) in enumerate(zip(cuts[:-1], cuts[1:])):
+        told = answers.get((level, bucket))
+        if told is not None:
+            out[a:b] = np.unpackbits(np.frombuffer(told, np.uint8), count=b - a).view(bool)
+    return out

@@ -149,6 +149,10 @@ class Words:
         self.first = np.searchsorted(self.starts, offsets)
         self.counts = np.diff(self.first)
         self.of = np.repeat(np.arange(len(texts)), self.counts)
+        self.offsets = offsets
+
+    def text_of_byte(self) -> np.ndarray:
+        return np.repeat(np.arange(len(self.counts)), np.diff(self.offsets))
 
     def hashes(self) -> np.ndarray:
         return word_hashes(self.data, self.starts, self.ends)
