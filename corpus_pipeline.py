@@ -1,3 +1,61 @@
-"""Quality rules, exact dedup, near-duplicate join, mixing and encoding of documents, one stage after the other."""
+"""A training corpus from raw documents: quality rules, exact dedup, near-duplicate join, mixing of sources, encoding.
 
-STAGES = []
+Each stage takes what the stage before it kept, as (spark, docs, sf_dir), and all but the last return the columns of documents.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+
+from meterglass.llm.bpe import encode_texts
+from meterglass.llm.common import register, ship, stored, table
+from meterglass.llm.exact_dedup import without_copies
+from meterglass.llm.mixing import mixed
+from meterglass.llm.ngram_join import without_near_copies
+from meterglass.llm.quality import kept_documents
+
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+
+
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    ship(spark)
+    return kept_documents(docs)
+
+
+def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    ship(spark)
+    return without_copies(docs)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each component of texts that share 80 % of their five-word shingles."""
+    ship(spark)
+    return without_near_copies(docs, n=5, percent=80)
+
+
+def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Sources by temperature, under a budget of all tokens: some documents go, some appear more than once."""
+    return mixed(docs)
+
+
+def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """A row for each appearance, with its ids."""
+    ship(spark)
+    return encode_texts(docs, with_ids=True)
+
+
+STAGES: list[tuple[str, Stage]] = [
+    ("quality", quality_rules), ("exact_dedup", exact_dedup), ("near_duplicates", near_duplicates), ("mixing", mixing), ("encoding", encoding)]
+
+#: The vocabulary's merges and the references' distances aren't SQL; a test runs a plain version of all stages instead.
+ORACLE_SQL = None
+
+
+@register("pipeline")
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES[:-1]:
+        docs = stored(stage(spark, docs, sf_dir), name)
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -15,7 +15,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from meterglass.llm.common import register, stored, table
@@ -175,6 +175,18 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             .select("doc_id", "keep_id", "group_size", (keeper & (F.col("copy") == 1)).alias("kept"), "text_sha256", "n_bytes"))
 
 
+def without_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options: object) -> DataFrame:
+    """The documents of which one of each group of equal texts stays, with all their columns."""
+    keep = exact_groups(docs, id_col, text_col, **options).where("kept").select(
+        F.col("doc_id").alias("keep_id"), F.col("text_sha256").alias("keep_sha"))
+    sha = F.sha2(F.coalesce(F.col(text_col).cast("string"), F.lit("")).cast("binary"), 256)
+    rows = docs.select(F.col(id_col).alias("id"), sha.alias("sha"), F.struct("*").alias("whole"))
+    rows = rows.join(keep, F.col("id").eqNullSafe(F.col("keep_id")) & (F.col("sha") == F.col("keep_sha")), "left_semi")
+    # Of repeated rows one stays as well.
+    first = Window.partitionBy("id", "sha").orderBy("id")
+    return rows.withColumn("nth", F.row_number().over(first)).where("nth = 1").select("whole.*")
+
+
 SQL = """
 SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
        doc_id = max(doc_id) OVER w AS kept, sha256(coalesce(text, '')) AS text_sha256,

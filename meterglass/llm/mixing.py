@@ -134,8 +134,8 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 def mixed(docs: DataFrame, **options: object) -> DataFrame:
     """The documents as they appear in the mixed stream: all their columns, a row for each appearance."""
-    shown = mix_sources(docs, also=tuple(c for c in docs.columns if c not in ("doc_id", "source")), **options)
-    return shown.select(*docs.columns)
+    whole = docs.withColumn("whole", F.struct(*docs.columns))
+    return mix_sources(whole, also=("whole",), **options).select("whole.*")
 
 
 @register("op4_mix_sources")

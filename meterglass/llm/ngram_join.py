@@ -289,6 +289,17 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         F.coalesce("members", F.lit(1).cast("long")).alias("class_size"))
 
 
+def without_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 5, percent: int = 80) -> DataFrame:
+    """The documents of which one of each component stays, that with the smallest id, with all their columns.
+
+    Rows that share that id stay together; texts without words all stay.
+    """
+    found = jaccard_components(docs, id_col, text_col, n, percent)
+    keep = found.where((F.col("n_shingles") == 0) | F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("keep_id")).distinct()
+    rows = docs.select(F.col(id_col).alias("id"), F.struct("*").alias("whole"))
+    return rows.join(keep, F.col("id").eqNullSafe(F.col("keep_id")), "left_semi").select("whole.*")
+
+
 SQL = r"""
 WITH RECURSIVE w AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
