@@ -69,8 +69,8 @@ def split(hashes: np.ndarray, n: int) -> np.ndarray:
 
 
 def asked(block: int, level: int, cuts: np.ndarray, *columns: tuple[np.ndarray, int]) -> Iterator[tuple[int, int, int, bytes]]:
-    """(level, bucket, block, payload) of what a block asks; columns: values with the low bytes to send of each."""
-    low = [np.ascontiguousarray(v).view(np.uint8).reshape(len(v), -1)[:, :width] for v, width in columns]
+    """(level, bucket, block, payload) of what a block asks; columns: 64-bit values, and how many of their low bytes to send."""
+    low = [np.ascontiguousarray(v).view(np.uint8).reshape(len(v), 8)[:, :width] for v, width in columns]
     for bucket, (a, b) in enumerate(zip(cuts[:-1], cuts[1:])):
         if b > a:
             yield level, bucket, block, b"".join(np.ascontiguousarray(x[a:b]).tobytes() for x in low)
@@ -98,6 +98,7 @@ def ask_rows(rows: Iterator[tuple[int, int, int, bytes]]) -> pa.Table:
 
 
 def in_order(rows: pa.Table) -> pa.Table:
+    """The rows of a block by number. A side of a cogroup that has no rows has no columns either."""
     return rows.take(pa.compute.sort_indices(rows["row"]))
 
 
@@ -125,6 +126,8 @@ def with_answers(blocks: DataFrame, answers: DataFrame, fn: Callable[[pa.Table,
                  schema: str) -> DataFrame:
     """fn over the rows of each block and its answers by (level, bucket)."""
     def both(rows: pa.Table, told: pa.Table) -> pa.Table:
+        if not told.num_rows:
+            return fn(in_order(rows), {})
         keys = zip(told["level"].to_pylist(), told["bucket"].to_pylist())
         return fn(in_order(rows), dict(zip(keys, told["payload"].to_pylist())))
     return blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(both, schema)

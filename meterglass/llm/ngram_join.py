@@ -112,6 +112,8 @@ def forest(ids: np.ndarray, sets: list[np.ndarray], inner: np.ndarray, percent:
 
 
 def unpacked(rows: pa.Table) -> tuple[np.ndarray, list[np.ndarray]]:
+    if not rows.num_rows:
+        return np.empty(0, np.int64), []
     return np.array(rows["class"].to_pylist(), np.int64), [np.frombuffer(s.as_buffer(), U64) for s in rows["grams"]]
 
 
@@ -122,13 +124,15 @@ def group_links(rows: DataFrame, percent: int, group_classes: int = GROUP_CLASSE
         links = forest(ids, sets, np.array(group["inner"].to_pylist(), bool), percent)
         return pa.table([pa.array(c, pa.int64()) for c in (zip(*links) if links else ([], []))], ["a", "b"])
 
-    def cells(texts: pa.Table, pivots: pa.Table) -> pa.Table:
+    def cells(texts: pa.Table, pivots: pa.Table) -> pa.Table | None:
         ids, sets = unpacked(texts)
-        inner = texts["inner"].to_pylist()
         p_ids, p_sets = unpacked(pivots)
-        if not len(ids) or not len(p_ids):
-            return texts.select([]) if not len(ids) else pa.table({"row": pa.array(range(len(ids)), pa.int32()), "cell": pa.array([0] * len(ids), pa.int64()),
-                                                                   "class": texts["class"], "n": texts["n"], "grams": texts["grams"], "inner": texts["inner"]})
+        if not len(ids):
+            return None
+        if not len(p_ids):
+            # No pivot was drawn: the group stays whole and counts as not shrunk.
+            return texts.select(["class", "n", "grams", "inner"]).append_column("cell", pa.array([0] * len(ids), pa.int64()))
+        inner = texts["inner"].to_pylist()
         order = np.argsort(p_ids)
         p_ids, postings = p_ids[order], Postings([p_sets[i] for i in order])
         take, cell, role = [], [], []
@@ -144,8 +148,8 @@ def group_links(rows: DataFrame, percent: int, group_classes: int = GROUP_CLASSE
                     cell.append(int(p_ids[q]))
                     role.append(bool(inner[i] and q == near))
         part = texts.take(pa.array(take, pa.int64()))
-        return pa.table({"row": pa.array(take, pa.int32()), "cell": pa.array(cell, pa.int64()), "class": part["class"], "n": part["n"],
-                         "grams": part["grams"], "inner": pa.array(role)})
+        return pa.table({"class": part["class"], "n": part["n"], "grams": part["grams"], "inner": pa.array(role),
+                         "cell": pa.array(cell, pa.int64())})
 
     links = None
     for depth in range(DEPTH + 1):
@@ -181,17 +185,19 @@ def group_links(rows: DataFrame, percent: int, group_classes: int = GROUP_CLASSE
         cut = (salted.select("group", "salt", "class", "n", "grams", "inner").groupBy("group", "salt")
                .cogroup(pivots.select("group", "salt", "class", "grams").groupBy("group", "salt"))
                .applyInArrow(lambda key, texts, pivots: with_group(key, cells(texts, pivots)),
-                             "parent long, row int, cell long, class long, n long, grams binary, inner boolean"))
+                             "parent long, class long, n long, grams binary, inner boolean, cell long"))
         was = named.select("s_group", "classes")
         rows = stored(cut.join(was, F.col("parent") == F.col("s_group"))
                       .select(F.xxhash64("parent", "cell").alias("group"), "class", "n", "grams", "inner", F.col("classes").alias("was")), "cells")
     return links
 
 
-def with_group(key: tuple, rows: pa.Table) -> pa.Table:
-    if not rows.num_columns:
-        return pa.table({c: pa.array([], t) for c, t in (("parent", pa.int64()), ("row", pa.int32()), ("cell", pa.int64()), ("class", pa.int64()),
-                                                         ("n", pa.int64()), ("grams", pa.binary()), ("inner", pa.bool_()))})
+_CELLS = pa.schema([("parent", pa.int64()), ("class", pa.int64()), ("n", pa.int64()), ("grams", pa.binary()), ("inner", pa.bool_()), ("cell", pa.int64())])
+
+
+def with_group(key: tuple, rows: pa.Table | None) -> pa.Table:
+    if rows is None:
+        return _CELLS.empty_table()
     return rows.add_column(0, "parent", pa.array([key[0].as_py()] * rows.num_rows, pa.int64()))
 
 
@@ -223,7 +229,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         return [c for c, _ in chosen], gram_sets([t.as_py() for _, t in chosen], n) if chosen else []
 
     def ask(rows: pa.Table, own: pa.Table) -> pa.Table:
-        ids, sets = own_sets(rows, own)
+        ids, sets = own_sets(rows, own) if own.num_rows else ([], [])
         if not ids:
             return B.ask_rows(iter(()))
         values, counts = np.unique(np.concatenate(sets), return_counts=True)
@@ -240,8 +246,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     answers = stored(B.answered(B.with_rows(staged, firsts, ask, B.ASK), frequencies), "frequencies")
 
     def survivors(rows: pa.Table, told: pa.Table) -> pa.Table:
-        own = told.filter(pa.compute.is_valid(told["class"]))
-        ids, sets = own_sets(rows, own)
+        ids, sets = own_sets(rows, told.filter(pa.compute.is_valid(told["class"]))) if told.num_rows else ([], [])
         out = []
         if ids:
             values = np.unique(np.concatenate(sets))
