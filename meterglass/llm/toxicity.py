@@ -31,6 +31,8 @@ from meterglass.llm.quality import Bare, groups
 MAX_LABELLED, MAX_TERMS = 8000, 1000
 FOLDS, HELD_OUT, THRESHOLD = 4, 2, 0.3
 STEMS = (4, 5)
+#: How many times as frequent among toxic texts a term must be.
+LEAST_RATIO = 8
 TREES, DEPTH = 20, 3
 #: Words on each side of a lexicon word that are searched for a second person.
 NEAR = 6
@@ -86,7 +88,7 @@ def lexicon(labelled: DataFrame, max_terms: int) -> np.ndarray:
     ratio = F.log(((F.col("bad") + 0.5) / (bad + 1)) / ((F.col("n") - F.col("bad") + 0.5) / (n - bad + 1)))
     # The evidence asked for grows with the number of texts, and so with the number of chance finds.
     rows = (labelled.mapInArrow(terms, "term long, n long, bad long").groupBy("term").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
-            .withColumn("evidence", F.col("bad") * ratio).where(F.col("evidence") > 10 + np.log(n + 1.0))
+            .withColumn("evidence", F.col("bad") * ratio).where((F.col("evidence") > 10 + np.log(n + 1.0)) & (ratio > float(np.log(LEAST_RATIO))))
             .orderBy(F.desc("evidence"), "term").limit(max_terms).collect())
     return np.sort(np.array([r["term"] for r in rows], np.int64).view(U64))
 
