@@ -24,6 +24,11 @@ _DATE_ONLY = r"^\d{4}-\d{2}-\d{2}$"
 _NO_OFFSET = r"[T ]\d{2}:\d{2}(:\d{2}(\.\d+)?)?$"
 
 
+def raw_name(name: str) -> str:
+    """Column that holds the source's JSON text of a field."""
+    return f"{name}__json"
+
+
 def _dtype(docs: DataFrame, name: str) -> T.DataType | None:
     return docs.schema[name].dataType if name in docs.columns else None
 
@@ -37,15 +42,24 @@ def _text(docs: DataFrame, name: str) -> Column:
         return field
     if isinstance(dtype, _NESTED):
         return F.to_json(field, {"ignoreNullFields": "false"})
+    if isinstance(dtype, T.VariantType):
+        return F.try_variant_get(field, "$", "string")
     return field.cast("string")
 
 
+def _kind(docs: DataFrame, name: str) -> Column:
+    """STRING, BOOLEAN, OBJECT<..>, ARRAY<..>, VOID or a number's type, of a variant."""
+    return F.schema_of_variant(F.col(f"`{name}`"))
+
+
 def _unwrapped(docs: DataFrame, name: str, wrapper: str) -> Column:
     """The bare text of a value that may sit in a one-key wrapper object."""
     dtype = _dtype(docs, name)
     if isinstance(dtype, T.StructType) and wrapper in dtype.names:
         return F.col(f"`{name}`").getField(wrapper).cast("string")
     text = _text(docs, name)
+    if isinstance(dtype, T.VariantType):
+        return F.coalesce(F.try_variant_get(F.col(f"`{name}`"), f"$['{wrapper}']", "string"), text)
     return F.coalesce(F.get_json_object(text, f"$['{wrapper}']"), text)
 
 
@@ -93,10 +107,15 @@ def cost_thb(usd: Column, rate: Decimal = domain.EXCHANGE_RATE) -> Column:
 
 
 def to_int(docs: DataFrame, name: str) -> Column:
-    """Whole number; text that is not one fails the job."""
+    """Whole number: numbers lose their fraction, text that is not a whole number fails the job."""
     dtype = _dtype(docs, name)
+    field = F.col(f"`{name}`")
     if isinstance(dtype, T.NumericType):
-        return F.col(f"`{name}`").cast("bigint")
+        return field.cast("bigint")
+    if isinstance(dtype, T.VariantType):
+        return (F.when(_kind(docs, name) == "STRING", _text(docs, name).cast("bigint"))
+                .when(_kind(docs, name) == "BOOLEAN", F.try_variant_get(field, "$", "boolean").cast("bigint"))
+                .otherwise(F.variant_get(field, "$", "decimal(38,9)").cast("bigint")))
     return _text(docs, name).cast("bigint")
 
 
@@ -111,21 +130,29 @@ def to_boolean(docs: DataFrame, name: str) -> Column:
         return F.col(f"`{name}`")
     if isinstance(dtype, T.NumericType):
         return F.col(f"`{name}`") != 0
+    if isinstance(dtype, T.VariantType):
+        text = _text(docs, name)
+        number = F.try_variant_get(F.col(f"`{name}`"), "$", "double") != 0
+        return F.when(_kind(docs, name).isin("STRING", "BOOLEAN"), F.lower(F.trim(text)).isin(*TRUE_WORDS)).otherwise(
+            F.coalesce(number, ~text.isin("{}", "[]")))
     return F.lower(F.trim(_text(docs, name))).isin(*TRUE_WORDS)
 
 
 def json_text(docs: DataFrame, name: str) -> Column:
     """Nested value as JSON text with one blank after every comma and colon."""
     text = _text(docs, name)
-    tokens = F.regexp_extract_all(text, F.lit(_JSON_TOKEN), F.lit(1))
+    raw = F.col(f"`{raw_name(name)}`") if raw_name(name) in docs.columns else text
+    tokens = F.regexp_extract_all(raw, F.lit(_JSON_TOKEN), F.lit(1))
     # Outside quoted text the source's own blanks go, then separators get theirs.
     spaced = F.array_join(F.transform(tokens, lambda t: (
         F.when(t.isin(",", ":"), F.concat(t, F.lit(" ")))
         .when(t.startswith('"'), t)
         .otherwise(F.regexp_replace(t, r"\s+", "")))), "")
+    quoted = F.regexp_extract(F.to_json(F.struct(text.alias("v"))), r'^\{"v":(.*)\}$', 1)
     if isinstance(_dtype(docs, name), _NESTED):
         return spaced
-    quoted = F.regexp_extract(F.to_json(F.struct(text.alias("v"))), r'^\{"v":(.*)\}$', 1)
+    if isinstance(_dtype(docs, name), T.VariantType):
+        return F.when(_kind(docs, name) == "STRING", quoted).when(_kind(docs, name) != "VOID", spaced)
     return F.when(text.rlike(r"^[\[{]"), spaced).when(text.isNotNull(), quoted)
 
 

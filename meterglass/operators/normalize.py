@@ -85,5 +85,5 @@ def empty(docs: DataFrame, normalize=normalize_events) -> DataFrame:
 
 def split_rejects(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(usable, rejected) event documents, for loads that must not stop on a bad one."""
-    usable = F.col("_id").isNotNull() & F.col("eventTimeStamp").isNotNull()
+    usable = values.to_string(docs, "_id").isNotNull() & values.to_string(docs, "eventTimeStamp").isNotNull()
     return docs.where(usable), docs.where(~usable)

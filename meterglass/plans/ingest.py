@@ -7,11 +7,14 @@ from datetime import date, datetime, timezone
 from decimal import Decimal
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from meterglass import domain
 from meterglass.functions import calendar
 from meterglass.operators import normalize
 from meterglass.plans import behavior, cycles, deck, summary, tracking
+from meterglass.session import scratch_path
 from meterglass.sources import documents, lake
 
 SUMMARY_SCHEMA = "stage string, rows bigint, first_day date, last_day date"
@@ -26,19 +29,33 @@ def ingest_events(docs: DataFrame, events_path: str, state_path: str, *, name: s
                   days_per_job: int = DAYS_PER_JOB) -> dict[date, int]:
     """Bring the event table up to yesterday; gives rows per processed day.
 
-    A block of days is read, normalised and replaced as one job. The watermark moves
-    after the block is in place, so a failure is repeated from the last good block.
+    A block of days is read, normalised and replaced as one job, and the watermark moves when the block is in place.
+    If a block fails its days are done one by one, so the watermark stands at the day before the one that fails,
+    whatever the size of a block. Documents that more than one job reads are landed first, by local day.
     """
     spark = docs.sparkSession
     window = calendar.date_window(watermark=lake.get_watermark(spark, state_path, name), start_date=start_date,
                                   lookback_days=lookback_days, today=today)
     days, written = lake.days_of(window), {}
-    for at in range(0, len(days), days_per_job):
-        block = days[at:at + days_per_job]
-        found = documents.extract_days(docs, block[0], block[-1], tz=tz, id_buffer_hours=id_buffer_hours)
+    options = {"tz": tz, "id_buffer_hours": id_buffer_hours}
+
+    def put(found: DataFrame, block: list[date]) -> None:
         rows = normalize.normalize_events(found, rate=rate, tz=tz, ingested_at=ingested_at)
-        written |= lake.replace_days(rows, events_path, block)
+        written.update(lake.replace_days(rows, events_path, block))
         lake.set_watermark(spark, state_path, name, block[-1])
+
+    blocks = [days[at:at + days_per_job] for at in range(0, len(days), days_per_job)]
+    landed = documents.land(docs, days[0], days[-1], scratch_path(spark, "landed"), **options) if len(blocks) > 1 else None
+    for block in blocks:
+        found = documents.extract_days(docs, block[0], block[-1], **options) if landed is None else documents.landed_days(landed, block)
+        try:
+            put(found, block)
+        except Exception:
+            if len(block) == 1:
+                raise
+            landed = landed or documents.land(docs, block[0], block[-1], scratch_path(spark, "landed"), **options)
+            for day in block:
+                put(documents.landed_days(landed, [day]), [day])
     return written
 
 
@@ -71,12 +88,13 @@ MASTERS = {
 def daily_run(sources: Mapping[tuple[str, str], DataFrame], root: str, *, today: date | None = None,
               start_date: date = domain.START_DATE, lookback_days: int = domain.LOOKBACK_DAYS,
               rate: Decimal = domain.EXCHANGE_RATE, tz: str = domain.TIME_ZONE,
-              id_buffer_hours: int = domain.ID_BUFFER_HOURS, mature_days: int = domain.MATURE_DAYS) -> DataFrame:
+              id_buffer_hours: int = domain.ID_BUFFER_HOURS, mature_days: int = domain.MATURE_DAYS,
+              database: str = "usage") -> DataFrame:
     """Everything one day needs, in order; gives the run summary.
 
     ``sources`` holds the document frame of each (segment, collection): ``events`` and
-    the masters above. Derived tables are written once and read back, so the views
-    never repeat the work on events that built them.
+    the masters above. Derived tables and both summaries are written once and read back, so reports
+    never repeat the work on events that built them. Every table has a catalog view, in database ``database``, that follows its versions.
     """
     spark = next(iter(sources.values())).sparkSession
     today = today or calendar.today_local(tz)
@@ -87,11 +105,21 @@ def daily_run(sources: Mapping[tuple[str, str], DataFrame], root: str, *, today:
         return table_path(root, segment, table)
 
     def table(segment: str, name: str) -> DataFrame:
-        return spark.read.parquet(path(segment, name))
+        return lake.read_table(spark, path(segment, name))
+
+    def gold(stage: str, segment: str, frame: DataFrame, **options) -> None:
+        stages[stage] = lake.rebuild_gold(frame, path(segment, stage), name=f"{database}.{stage}", **options)
+
+    lake.ensure_database(spark, database)
+    for segment in ("B2C", "B2B"):
+        suffix = segment.lower()
+        lake.ensure_event_table(spark, f"{database}.{STREAM}_{suffix}", path(segment, STREAM))
+        lake.ensure_state_table(spark, f"{database}.state_{suffix}", path(segment, "state"))
 
     for (segment, collection), (normalizer, schema) in MASTERS.items():
         rows = normalizer(sources[segment, collection], ingested_at=now)
-        stages[f"{segment} {collection}"] = lake.replace_table(rows, path(segment, collection), schema)
+        stages[f"{segment} {collection}"] = lake.replace_table(
+            rows, path(segment, collection), schema, name=f"{database}.{collection}_{segment.lower()}")
     for segment in ("B2C", "B2B"):
         stages[f"{segment} events"] = ingest_events(
             sources[segment, "events"], path(segment, STREAM), path(segment, "state"), start_date=start_date,
@@ -100,39 +128,48 @@ def daily_run(sources: Mapping[tuple[str, str], DataFrame], root: str, *, today:
 
     b2c, b2b = (lake.read_events(spark, path(segment, STREAM)) for segment in ("B2C", "B2B"))
     bounds = {"start_date": start_date, "as_of": today}
-    stages["user_tracking_b2c"] = lake.rebuild_gold(
-        tracking.user_tracking_b2c(b2c, table("B2C", "package"), table("B2C", "users"), **bounds),
-        path("B2C", "user_tracking_b2c"), partition="date_id")
-    stages["user_token_cycle"] = lake.rebuild_gold(
-        cycles.token_cycles(b2c, table("B2C", "package"), table("B2C", "users"), **bounds),
-        path("B2C", "user_token_cycle"), cluster=("userId", "cycle_index"))
-    stages["user_repeat_behavior"] = lake.rebuild_gold(
-        behavior.repeat_behavior(table("B2C", "user_token_cycle"), b2c, table("B2C", "package"),
-                                 table("B2C", "users"), tz=tz, mature_days=mature_days, **bounds),
-        path("B2C", "user_repeat_behavior"))
-    stages["user_tracking_b2b"] = lake.rebuild_gold(
-        tracking.user_tracking_b2b(b2b, table("B2B", "package"), table("B2B", "users"), table("B2B", "team"),
-                                   table("B2B", "company"), **bounds),
-        path("B2B", "user_tracking_b2b"), partition="date_id", cluster=("companyId", "userId"))
-
-    lake.create_views(views(b2c, b2b, table))
+    gold("user_tracking_b2c", "B2C", tracking.user_tracking_b2c(
+        b2c, table("B2C", "package"), table("B2C", "users"), **bounds), partition="date_id")
+    cycle_days = cycles.token_cycles(b2c, table("B2C", "package"), table("B2C", "users"), **bounds).withColumn(
+        "cycle_start_date", F.to_date("cycle_start_ts"))
+    gold("user_token_cycle", "B2C", cycle_days, partition="cycle_start_date", cluster=("userId", "cycle_index"))
+    gold("user_repeat_behavior", "B2C", behavior.repeat_behavior(
+        table("B2C", "user_token_cycle"), b2c, table("B2C", "package"), table("B2C", "users"), tz=tz, mature_days=mature_days, **bounds))
+    gold("user_tracking_b2b", "B2B", tracking.user_tracking_b2b(
+        b2b, table("B2B", "package"), table("B2B", "users"), table("B2B", "team"), table("B2B", "company"), **bounds),
+        partition="date_id", cluster=("companyId", "userId"))
+
+    day_b2b = table("B2B", "user_tracking_b2b")
+    base = (b2c, b2b, table("B2C", "package"), table("B2B", "package"), table("B2C", "users"))
+    mapping = (table("B2B", "users"), table("B2B", "team"), table("B2B", "company"))
+    gold("summary_daily", "total", summary.summary_daily(*base, *mapping), partition="date_id", cluster=("version",))
+    gold("summary_model_daily", "total", summary.summary_model_daily(*base, *mapping), partition="date_id", cluster=("version",))
+    gold("slide_metrics", "total", deck.slide_metrics(*base, day_b2b), cluster=())
+    gold("slide_company_size", "total", deck.company_size(day_b2b), cluster=())
+    gold("slide_new_users_weekly", "total", deck.new_users_weekly(deck.subscriptions(b2c, b2b, base[4])), cluster=())
+    lake.create_views(spark, tracking_views(database, table("B2C", "user_tracking_b2c").schema, day_b2b.schema))
     return run_summary(spark, stages)
 
 
-def views(b2c: DataFrame, b2b: DataFrame, table) -> dict[str, DataFrame]:
-    """Report views over the stored tables; ``table(segment, name)`` reads one."""
-    day_b2c, day_b2b = table("B2C", "user_tracking_b2c"), table("B2B", "user_tracking_b2b")
-    total = tracking.user_tracking_total(day_b2c, day_b2b)
-    base = (b2c, b2b, table("B2C", "package"), table("B2B", "package"), table("B2C", "users"))
-    mapping = (table("B2B", "users"), table("B2B", "team"), table("B2B", "company"))
-    return {
-        "user_tracking_total": total,
-        "user_tracking_b2c_compat": tracking.numeric_keys(day_b2c.select(*tracking.B2C_COLUMNS)),
-        "user_tracking_b2b_compat": tracking.numeric_keys(day_b2b.select(*tracking.B2B_COLUMNS)),
-        "user_tracking_total_compat": tracking.numeric_keys(total),
-        "summary_daily": summary.summary_daily(*base, *mapping),
-        "summary_model_daily": summary.summary_model_daily(*base, *mapping),
-        "slide_metrics": deck.slide_metrics(*base, day_b2b),
-        "slide_company_size": deck.company_size(day_b2b),
-        "slide_new_users_weekly": deck.new_users_weekly(deck.subscriptions(b2c, b2b, base[4])),
-    }
+def tracking_views(database: str, b2c: T.StructType, b2b: T.StructType) -> dict[str, str]:
+    """Union and compatibility views over the stored tracking tables, by name."""
+    kinds = {"version": "string"} | {f.name: f.dataType.simpleString() for f in (*b2c, *b2b)}
+
+    def listed(columns: tuple[str, ...], own: tuple[str, ...], segment: str) -> str:
+        out = []
+        for c in columns:
+            value = f"'{segment}'" if c == "version" else f"`{c}`" if c in own else "NULL"
+            value = f"CAST({value} AS {kinds[c]})"
+            out.append(f"{value} AS `{c}`" if kinds[c] != "string" else f"coalesce({value}, '{domain.NULL_TEXT}') AS `{c}`")
+        return ", ".join(out)
+
+    def compat(source: str) -> str:
+        columns = (f"try_cast({c} AS BIGINT) AS {c}" if c in ("month_id", "week_id") else f"`{c}`" for c in COMPAT[source])
+        return f"SELECT {', '.join(columns)} FROM {database}.{source}"
+
+    total = " UNION ALL ".join(f"SELECT {listed(tracking.TOTAL_COLUMNS, own, segment)} FROM {database}.user_tracking_{segment.lower()}"
+                               for segment, own in (("B2C", tracking.B2C_COLUMNS), ("B2B", tracking.B2B_COLUMNS)))
+    return {f"{database}.user_tracking_total": total} | {f"{database}.{source}_compat": compat(source) for source in COMPAT}
+
+
+COMPAT = {"user_tracking_b2c": tracking.B2C_COLUMNS, "user_tracking_b2b": tracking.B2B_COLUMNS, "user_tracking_total": tracking.TOTAL_COLUMNS}

@@ -125,7 +125,9 @@ def summary_daily(b2c_events: DataFrame, b2b_events: DataFrame, b2c_packages: Da
               .withColumn("is_trial", is_trial(F.col("packageName"))))
     subs, paid = F.col("subs"), ~F.col("is_trial")
     # Rows that are not paid subscriptions add zero, unpriced ones add nothing at all.
-    revenue = (F.when(paid & (subs > 0) & F.col("priceThb").isNotNull(), subs * F.col("priceThb"))
+    # Nine places of the price survive the product, as 18 + 18 digits fit a decimal.
+    price = subs.cast("decimal(18,0)") * F.col("priceThb").cast("decimal(18,9)")
+    revenue = (F.when(paid & (subs > 0) & F.col("priceThb").isNotNull(), price)
                .when(F.col("is_trial") | (F.col("others") + F.col("expirations") > 0), 0))
     tokens = F.when(F.col("tokens").isNull() & (subs + F.col("expirations") > 0), 0).otherwise(F.col("tokens"))
     return priced.groupBy("version", "date_id", "packageId", "packageName", "is_trial", "has_company_mapping").agg(

@@ -22,6 +22,7 @@ from meterglass.sources import tables
 EVENT_COLUMNS = ("event_id", "date_id", "eventTimeStamp", "userId", "eventType", "packageId",
                  "eggToken", "chatToken", "totalCostThb")
 
+# The output columns and their order are a contract with the reports.
 B2C_COLUMNS = ("month_id", "week_id", "date_id", "userId", "packageName", "trial_conversion_cnt", "token_used",
                "totalCostThb", "free_trial_token_used", "package_1", "package_2", "event_row",
                "current_package_flag", "packageId", "run_date")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from datetime import date, datetime, timezone
 from decimal import Decimal
 
@@ -109,7 +110,7 @@ def _(spark, sf_dir):
     path = scratch_path(spark, "tracking")
     lake.rebuild_gold(tracked.b2b(sample.load(spark, sf_dir)), path, partition="date_id",
                       cluster=("companyId", "userId"))
-    return spark.read.parquet(path).groupBy("companyId").agg(
+    return lake.read_table(spark, path).groupBy("companyId").agg(
         F.count(F.lit(1)).alias("rows"), F.count_distinct("userId").alias("users"))
 
 
@@ -169,40 +170,56 @@ def _(spark, sf_dir):
     rows = normalize.normalize_users(sample.user_documents(spark, sf_dir), ingested_at=NOW)
     for _ in range(2):
         lake.replace_table(rows, path, domain.USERS_SCHEMA)
-    return spark.read.parquet(path).drop("_ingested_at")
+    return lake.read_table(spark, path).drop("_ingested_at")
 
 
 @register("rebuild_gold_table", query("SELECT segment, count(*) AS rows FROM cycles GROUP BY ALL", behaviour.CYCLES))
 def _(spark, sf_dir):
     path = scratch_path(spark, "cycles")
     lake.rebuild_gold(behaviour.token_cycles(sample.load(spark, sf_dir)), path, cluster=("userId", "cycle_index"))
-    return spark.read.parquet(path).groupBy("segment").agg(F.count(F.lit(1)).alias("rows"))
+    return lake.read_table(spark, path).groupBy("segment").agg(F.count(F.lit(1)).alias("rows"))
 
 
 @register("create_views", query("""
   SELECT version, CAST(sum(usage_events) AS BIGINT) AS usage_events FROM daily GROUP BY ALL""", *facts.FACT_DAILY))
 def _(spark, sf_dir):
-    s = sample.load(spark, sf_dir)
-    lake.create_views({"summary_daily": summary.summary_daily(*facts.args(s))})
-    return spark.sql("SELECT version, sum(usage_events) AS usage_events FROM summary_daily GROUP BY version")
+    """The view is made over half of the rows and read after the table's next version."""
+    name = "daily_" + uuid.uuid4().hex
+    path, rows = scratch_path(spark, "daily"), summary.summary_daily(*facts.args(sample.load(spark, sf_dir)))
+    lake.rebuild_gold(rows.where("version = 'B2C'"), path, cluster=(), name=name)
+    lake.create_views(spark, {f"{name}_use": f"SELECT version, sum(usage_events) AS usage_events FROM {name} GROUP BY version"})
+    lake.rebuild_gold(rows, path, cluster=(), name=name)
+    return spark.table(f"{name}_use")
 
 
-@on_sample("upsert_watermark", query("""
+def _log(spark, path: str, frame: DataFrame, day: date | None = None) -> None:
+    """Positions added to the stored log, by the writer that the run uses."""
+    for row in frame.orderBy("pipeline_name").collect():
+        lake.set_watermark(spark, path, row.pipeline_name, day or row.last_processed_date)
+
+
+@register("upsert_watermark", query("""
   SELECT pipeline_name, CASE WHEN pipeline_name LIKE 'Token%' THEN DATE '2024-02-01' ELSE last_processed_date END
     AS last_processed_date FROM state""", STATE))
-def _(s):
-    old = state(s)
-    new = old.where(F.col("pipeline_name").startswith("Token")).withColumn(
-        "last_processed_date", F.lit(date(2024, 2, 1)))
-    return lake.merge_watermark(old, new).drop("updated_at")
+def _(spark, sf_dir):
+    path, old = scratch_path(spark, "state"), state(sample.load(spark, sf_dir))
+    _log(spark, path, old)
+    _log(spark, path, old.where(F.col("pipeline_name").startswith("Token")), date(2024, 2, 1))
+    return lake.latest_state(spark.read.parquet(path)).drop("updated_at")
 
 
-@on_sample("merge_match", query("""
-  SELECT o.pipeline_name, o.last_processed_date AS before, n.last_processed_date AS after
-  FROM state o JOIN state n ON n.pipeline_name = o.pipeline_name""", STATE))
-def _(s):
-    old = state(s).select("pipeline_name", F.col("last_processed_date").alias("before"))
-    return old.join(state(s).select("pipeline_name", F.col("last_processed_date").alias("after")), "pipeline_name")
+@register("merge_match", query("""
+  SELECT pipeline_name, count(*) AS before, count(*) FILTER (WHERE pipeline_name LIKE 'Token%') AS replaced
+  FROM state GROUP BY ALL""", STATE))
+def _(spark, sf_dir):
+    """Which stored positions an upsert replaces: the log's rows by name, less the one in force."""
+    path, old = scratch_path(spark, "state"), state(sample.load(spark, sf_dir))
+    _log(spark, path, old)
+    _log(spark, path, old.where(F.col("pipeline_name").startswith("Token")), date(2024, 2, 1))
+    log = spark.read.parquet(path)
+    replaced = log.groupBy("pipeline_name").agg((F.count(F.lit(1)) - 1).alias("replaced"))
+    kept = lake.latest_state(log).groupBy("pipeline_name").agg(F.count(F.lit(1)).alias("before"))
+    return kept.join(replaced, "pipeline_name")
 
 
 @register("ensure_event_table", query(f"SELECT {PER_DAY} FROM dom GROUP BY ALL"))
@@ -405,6 +422,27 @@ def _(spark, sf_dir):
     return docs.select("userId", values.to_boolean(docs, "isBanned").alias("isBanned"))
 
 
+@register("json_value_types", """
+  SELECT o_orderkey AS id, CAST(trunc(o_totalprice) AS BIGINT) AS whole, CAST(o_custkey AS BIGINT) AS from_text,
+    CASE o_orderkey % 4 WHEN 0 THEN TRUE WHEN 1 THEN o_custkey % 2 = 1 WHEN 2 THEN o_orderstatus = 'O' END AS flag,
+    '"[' || o_orderstatus || '] note"' AS plain_text, '{"b": 1, "a": [' || o_custkey || ', null]}' AS nested
+  FROM orders""")
+def _(spark, sf_dir):
+    """Documents whose numbers, flags, texts and objects must stay apart on their way through JSON."""
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    key = F.col("o_orderkey") % 4
+    flag = (F.when(key == 0, F.lit("7")).when(key == 1, (F.col("o_custkey") % 2).cast("string"))
+            .when(key == 2, F.when(F.col("o_orderstatus") == "O", '" TRUE "').otherwise('"n"')).otherwise("null"))
+    line = F.format_string('{"id": %d, "whole": %s, "from_text": "%d", "flag": %s, "plain": "[%s] note", "deductionBreakdown": {"b":1, "a":[%d,null]}}',
+                           "o_orderkey", F.col("o_totalprice").cast("decimal(18,2)").cast("string"), "o_custkey", flag, "o_orderstatus", "o_custkey")
+    path = scratch_path(spark, "docs")
+    orders.select(line.alias("value")).write.text(path)
+    docs = documents.read_json(spark, path, ("id", "whole", "from_text", "flag", "plain", "deductionBreakdown"))
+    return docs.select(values.to_int(docs, "id").alias("id"), values.to_int(docs, "whole").alias("whole"),
+                       values.to_int(docs, "from_text").alias("from_text"), values.to_boolean(docs, "flag").alias("flag"),
+                       values.json_text(docs, "plain").alias("plain_text"), values.json_text(docs, "deductionBreakdown").alias("nested"))
+
+
 @on_sample("day_bounds_utc", query("""
   SELECT DISTINCT date_id, CAST(date_id AS TIMESTAMP) - INTERVAL 7 HOUR AS day_start,
     CAST(date_id AS TIMESTAMP) + INTERVAL 17 HOUR AS day_end FROM dom"""))

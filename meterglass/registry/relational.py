@@ -164,9 +164,7 @@ def cycle_rows(s):
 
 
 on_sample("interval_join_usage", query("""
-  SELECT g."userId", u.event_id, g.t0 AS cycle_start_ts, g.quota, abs(u."eggToken") AS used
-  FROM begun g JOIN ev u ON u."userId" = g."userId" AND u."eventType" LIKE 'Token Used%'
-   AND u."eventTimeStamp" >= g.t0 AND (g.t1 IS NULL OR u."eventTimeStamp" < g.t1)""", behaviour.CYCLES))(
+  SELECT "userId", event_id, began AS cycle_start_ts, quota, used FROM meter""", behaviour.CYCLES))(
     lambda s: cycles.usage_rows(cycle_rows(s)).select("userId", "event_id", "cycle_start_ts", "quota", "used"))
 on_sample("cross_join_asof", query('SELECT DISTINCT "userId", (SELECT max(date_id) FROM ev) AS data_end FROM ev',
                                    behaviour.CYCLES))(
@@ -266,8 +264,8 @@ on_sample("agg_new_users_week", query("SELECT * FROM weekly_new", decks.SUBS, de
 on_sample("agg_conversion", query('SELECT "userId", ts AS first_paid_ts FROM conv', decks.SUBS))(
     lambda s: deck.converted_users(decks.subs(s)))
 on_sample("agg_cycle_usage", query("""
-  SELECT "userId", t0 AS cycle_start_ts, consumed, n AS usage_event_cnt, CAST(cost AS DECIMAL(38,6)) AS cost,
-    exhaust_ts FROM spent""", behaviour.CYCLES))(
+  SELECT "userId", began AS cycle_start_ts, consumed, n AS usage_event_cnt, CAST(cost AS DECIMAL(38,6)) AS cost,
+    exhaust_ts FROM bill""", behaviour.CYCLES))(
     lambda s: cycles.usage_rows(cycle_rows(s)).groupBy("userId", "cycle_start_ts").agg(
         F.sum("used").alias("consumed"), F.count(F.lit(1)).alias("usage_event_cnt"),
         F.sum("totalCostThb").cast(domain.MONEY_SUM).alias("cost"),

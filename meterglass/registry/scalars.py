@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime, timezone
+
 from pyspark.sql import functions as F
 
 from meterglass import domain
@@ -54,10 +56,14 @@ on_orders("direction_label", """CASE WHEN o_totalprice / 1e5 - 1 > 0.05 THEN '
           direction=lambda: figures.direction(F.col("o_totalprice") / 1e5 - 1))
 
 
-@register("generated_at")
+@register("generated_at", "SELECT o_orderkey, TRUE AS one_stamp, TRUE AS in_run FROM orders")
 def _(spark, sf_dir):
-    """The time of the run on every row; nothing to compare it with."""
-    return spark.read.parquet(f"{sf_dir}/orders.parquet").select("o_orderkey", F.current_timestamp().alias("generated_at"))
+    """The time of the run: the same on every row, and not before the run began."""
+    began = datetime.now(timezone.utc)
+    rows = spark.read.parquet(f"{sf_dir}/orders.parquet").select("o_orderkey", F.current_timestamp().alias("generated_at"))
+    span = rows.agg(F.min("generated_at").alias("first"), F.max("generated_at").alias("last"))
+    return rows.select("o_orderkey", (F.col("generated_at") == span.select("first").scalar()).alias("one_stamp"),
+                       ((F.col("generated_at") >= F.lit(began)) & (F.col("generated_at") == span.select("last").scalar())).alias("in_run"))
 
 
 def on_events(name: str, sql: str, source: str = "dom", parts: tuple[str, ...] = (), rows=both, key: str = "event_id"):

@@ -117,13 +117,13 @@ def _(s):
 on_sample("dedup_paid_subscription", query("""
   SELECT "userId", "subscriptionId", ts AS "eventTimeStamp" FROM paid""", *PURCHASES))(
     lambda s: paid_subscriptions(s).select("userId", "subscriptionId", "eventTimeStamp"))
-on_sample("last_grant", query('SELECT event_id, granted AS last_grant FROM bound', behaviour.CYCLES))(
+on_sample("last_grant", query('SELECT event_id, latest_grant AS last_grant FROM edge', behaviour.CYCLES))(
     lambda s: cycles.boundary_rows(cycle_rows(s)).select("event_id", "last_grant"))
 on_sample("next_boundary", query("""
-  SELECT event_id, nxt[1] AS next_ts, nxt[2] AS next_type, nxt[3] AS next_egg FROM bound""", behaviour.CYCLES))(
+  SELECT event_id, until AS next_ts, closed_by AS next_type, closing_egg AS next_egg FROM edge""", behaviour.CYCLES))(
     lambda s: cycles.boundary_rows(cycle_rows(s)).select("event_id", "next_ts", "next_type", "next_egg"))
 on_sample("cum_used", query("""
-  SELECT "userId", t0 AS cycle_start_ts, ts AS "eventTimeStamp", CAST(so_far AS BIGINT) AS cum_used FROM spend""",
+  SELECT "userId", began AS cycle_start_ts, moment AS "eventTimeStamp", CAST(reading AS BIGINT) AS cum_used FROM meter""",
     behaviour.CYCLES))(
     lambda s: cycles.usage_rows(cycle_rows(s)).select("userId", "cycle_start_ts", "eventTimeStamp", "cum_used"))
 on_sample("cycle_index", query('SELECT "userId", cycle_start_ts, cycle_index FROM cycles', behaviour.CYCLES))(

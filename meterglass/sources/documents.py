@@ -1,4 +1,8 @@
-"""Reading raw documents: JSON lines or parquet, one local day at a time."""
+"""Reading raw documents: JSON lines or parquet, one local day at a time.
+
+JSON values keep their types: each asked field is a variant, so a number, a flag, a text and an object stay apart. A line that isn't
+a JSON document fails the job; ``split_lines`` sets such lines aside where that is wanted.
+"""
 
 from __future__ import annotations
 
@@ -13,13 +17,34 @@ from meterglass import domain
 from meterglass.functions import calendar, values
 
 
+#: Fields of which the source's own JSON text is kept as well, for the order of their keys.
+NESTED_FIELDS = ("deductionBreakdown",)
+_BROKEN = "malformed JSON document"
+
+
 def text_schema(fields: Sequence[str]) -> T.StructType:
-    """Every field as text: values may be plain or wrapped, and nested ones stay as JSON."""
+    """Every field as text, for frames that never were JSON."""
     return T.StructType([T.StructField(name, T.StringType()) for name in fields])
 
 
+def parse_lines(lines: DataFrame, fields: Sequence[str]) -> DataFrame:
+    """Documents of the text lines in ``value``: a variant for each field, NULL where a document lacks it."""
+    value = F.col("value")
+    names = ", ".join(f"`{name}` variant" for name in fields)
+    whole = F.from_json(value, names, {"mode": "FAILFAST"})
+    raw = {values.raw_name(n): F.from_json(value, f"`{n}` string", {"mode": "FAILFAST"})[n] for n in NESTED_FIELDS if n in fields}
+    return lines.where(F.trim(value) != "").select(whole.alias("doc"), *(c.alias(n) for n, c in raw.items())).select("doc.*", *raw)
+
+
 def read_json(spark: SparkSession, path: str, fields: Sequence[str]) -> DataFrame:
-    return spark.read.schema(text_schema(fields)).json(path)
+    return parse_lines(spark.read.text(path), fields)
+
+
+def split_lines(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(documents, rejected lines) of text lines, for loads that must not stop on a bad one."""
+    good = F.schema_of_variant(F.try_parse_json("value")).startswith("OBJECT")
+    filled = lines.where(F.trim("value") != "")
+    return filled.where(good), filled.where(~F.coalesce(good, F.lit(False)))
 
 
 def read_full(spark: SparkSession, path: str, fields: Sequence[str], form: str = "json") -> DataFrame:
@@ -34,7 +59,7 @@ def project(docs: DataFrame, fields: Sequence[str]) -> DataFrame:
     return docs.select(*[
         F.col(f"`{name}`") if name in docs.columns else F.lit(None).cast("string").alias(name)
         for name in fields
-    ])
+    ], *[name for name in map(values.raw_name, fields) if name in docs.columns])
 
 
 def day_range(ts: Column, first: date, last: date, tz: str, *, ntz: bool = False) -> Column:
@@ -78,3 +103,35 @@ def extract_days(docs: DataFrame, first: date, last: date, *, tz: str = domain.T
 
 def extract_day(docs: DataFrame, day: date, **options) -> DataFrame:
     return extract_days(docs, day, day, **options)
+
+
+DAY = "__local_day"
+
+
+def _with_day(docs: DataFrame, tz: str) -> DataFrame:
+    return docs.withColumn(DAY, calendar.local_date(values.to_utc_timestamp(docs, "eventTimeStamp", required=False), tz))
+
+
+def land(docs: DataFrame, first: date, last: date, path: str, *, tz: str = domain.TIME_ZONE,
+         id_buffer_hours: int = domain.ID_BUFFER_HOURS) -> DataFrame:
+    """The documents of some days as parquet by local day, for readers of one day at a time."""
+    found = _with_day(extract_days(docs, first, last, tz=tz, id_buffer_hours=id_buffer_hours), tz)
+    found.write.partitionBy(DAY).parquet(path)
+    return docs.sparkSession.read.schema(found.schema).parquet(path)
+
+
+def land_batch(docs: DataFrame, path: str, batch: int, tz: str = domain.TIME_ZONE) -> list[date]:
+    """Add a batch to landed documents, once however often it is repeated; gives the local days it touches.
+
+    A document without a time fails the job, as it has no day.
+    """
+    rows = docs.withColumn(DAY, calendar.local_date(values.to_utc_timestamp(docs, "eventTimeStamp"), tz))
+    folder = f"{path}/batch={batch}"
+    rows.write.mode("overwrite").partitionBy(DAY).parquet(folder)
+    # One value for each calendar day, from the names of the folders.
+    return sorted(r[0] for r in docs.sparkSession.read.schema(rows.schema).parquet(folder).select(DAY).distinct().collect())
+
+
+def landed_days(landed: DataFrame, days: Sequence[date]) -> DataFrame:
+    """Landed documents of those days; other days' files are not read."""
+    return landed.where(F.col(DAY).isin(*days)).drop(DAY, "batch")

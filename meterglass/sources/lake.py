@@ -1,17 +1,22 @@
 """Stored tables: whole-day replacement, full reload, gold rebuild, watermark.
 
-Tables are parquet folders. Event days are replaced with dynamic partition
-overwrite: new files are staged and take the place of the day's folder only when
-the job commits, so a lost executor or a failed job leaves the old day readable.
+Event days are replaced with dynamic partition overwrite: new files are staged and
+take the place of the day's folder only when the job commits. Masters and derived
+tables are written as a new version beside the old one; one appended pointer row,
+and the catalog view of the table, then switch to it. In both cases a lost executor
+or a failed job leaves the old rows readable.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import uuid
+from collections.abc import Iterator, Mapping, Sequence
+from contextlib import contextmanager
 from datetime import date, datetime, timedelta
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -28,6 +33,10 @@ class WrongDay(ValueError):
     """Rows belong to a day outside the replaced ones."""
 
 
+class MissingValue(ValueError):
+    """A required column has no value."""
+
+
 def days_of(window: tuple[date, date] | None) -> list[date]:
     if window is None:
         return []
@@ -74,19 +83,68 @@ def _clustered(frame: DataFrame, partition: str | None, cluster: Sequence[str])
     return frame.sortWithinPartitions(*([partition] if partition else []), *cluster)
 
 
+def _or_fail(good: Column, value: Column, kind: type, message: str) -> Column:
+    """The value of good rows; any other row fails the job, before anything is committed."""
+    return F.when(good, value).otherwise(F.raise_error(F.lit(f"{kind.__name__}: {message}")))
+
+
+def guarded(frame: DataFrame, schema: T.StructType) -> DataFrame:
+    """The frame with its required columns checked as they are written."""
+    check_columns(frame, schema)
+    return frame.withColumns({
+        f.name: _or_fail(F.col(f.name).isNotNull(), F.col(f.name), MissingValue, f"no value in required column {f.name}")
+        for f in schema if not f.nullable})
+
+
+@contextmanager
+def _guard_errors() -> Iterator[None]:
+    """Failures that a guard raised in a task, as the guard's own error."""
+    try:
+        yield
+    except Exception as error:
+        for kind in (WrongDay, MissingValue):
+            at = str(error).find(f"{kind.__name__}: ")
+            if at >= 0:
+                raise kind(str(error)[at:].split(": ", 1)[1].splitlines()[0]) from error
+        raise
+
+
+def _observed(counts: Observation, frame: DataFrame) -> dict[str, int]:
+    """What was counted in the pass that wrote the frame; a plan known to be empty counts nothing."""
+    try:
+        return counts.get
+    except Py4JJavaError:
+        if not frame.isEmpty():
+            raise
+        return {}
+
+
 def replace_days(frame: DataFrame, path: str, days: Sequence[date],
                  schema: T.StructType = domain.EVENT_SCHEMA) -> dict[date, int]:
-    """Replace whole days; a day with no rows ends up empty. Gives rows per day."""
-    rows = validate_days(frame, days, schema)
-    if any(rows.values()):
-        (_clustered(frame, "date_id", CLUSTER).write.mode("overwrite")
+    """Replace whole days; a day with no rows ends up empty. Gives rows per day.
+
+    The frame is computed once: days and required columns are checked, and rows counted, in the
+    pass that writes.
+    """
+    if not days:
+        check_columns(frame, schema)
+        return {}
+    inside = F.coalesce(F.col("date_id").isin(*days), F.lit(False))
+    rows = guarded(frame, schema).withColumn("date_id", _or_fail(
+        inside, F.col("date_id"), WrongDay, "rows with a date_id outside the replaced days"))
+    counts = Observation()
+    rows = rows.observe(counts, *(F.count_if(F.col("date_id") == F.lit(day)).alias(str(day)) for day in days))
+    with _guard_errors():
+        (_clustered(rows, "date_id", CLUSTER).write.mode("overwrite")
          .option("partitionOverwriteMode", "dynamic").partitionBy("date_id").parquet(path))
+    seen = _observed(counts, frame)
+    found = {day: seen.get(str(day), 0) for day in days}
     spark = frame.sparkSession
     nothing = spark.createDataFrame([], T.StructType([f for f in schema if f.name != "date_id"]))
-    for day in (d for d, n in rows.items() if n == 0):
+    for day in (d for d, n in found.items() if n == 0):
         # An overwrite of partitions leaves a day untouched if it brings no rows for it.
         nothing.write.mode("overwrite").parquet(f"{path}/date_id={day}")
-    return rows
+    return found
 
 
 def replace_day(frame: DataFrame, path: str, day: date) -> int:
@@ -98,25 +156,66 @@ def read_events(spark: SparkSession, path: str, schema: T.StructType = domain.EV
     return spark.read.schema(schema).parquet(path).select(*schema.names)
 
 
-def replace_table(frame: DataFrame, path: str, schema: T.StructType) -> int:
+VERSIONS = "version string, at timestamp"
+
+
+def publish(frame: DataFrame, path: str, *, partition: str | None = None, cluster: Sequence[str] = (),
+            name: str | None = None) -> int:
+    """Write a new version of a table and switch to it; gives its row count, taken as it is written.
+
+    The old version stays until the new one is whole, and readers of it are not disturbed. ``name``: catalog view
+    over the current version, so views that read it by name follow.
+    """
+    spark = frame.sparkSession
+    version, counts = uuid.uuid4().hex, Observation()
+    folder = f"{path}/data/{version}"
+    rows = frame.observe(counts, F.count(F.lit(1)).alias("rows"))
+    rows = _clustered(rows, partition, cluster) if partition or cluster else rows
+    with _guard_errors():
+        (rows.write.partitionBy(partition) if partition else rows.write).parquet(folder)
+    spark.range(1).select(F.lit(version).alias("version"), F.current_timestamp().alias("at")).write.mode("append").parquet(f"{path}/versions")
+    if name:
+        columns = ", ".join(f"CAST(`{f.name}` AS {f.dataType.simpleString()}) AS `{f.name}`" for f in frame.schema)
+        spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT {columns} FROM parquet.`{folder}`")
+    return _observed(counts, frame).get("rows", 0)
+
+
+def current_version(spark: SparkSession, path: str) -> str:
+    """Folder of the version published last."""
+    last = spark.read.schema(VERSIONS).parquet(f"{path}/versions").agg(F.max_by("version", "at")).first()[0]
+    return f"{path}/data/{last}"
+
+
+def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+    reader = spark.read if schema is None else spark.read.schema(schema)
+    return reader.parquet(current_version(spark, path))
+
+
+def drop_old_versions(spark: SparkSession, path: str, keep: int = 2) -> int:
+    """Remove all but the versions published last; for use when no reader can still hold an older one."""
+    log = spark.read.schema(VERSIONS).parquet(f"{path}/versions").orderBy(F.desc("at")).collect()
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/data")
+    files = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    kept = {row.version for row in log[:keep]}
+    old = [f.getPath() for f in files.listStatus(folder) if f.getPath().getName() not in kept]
+    return sum(files.delete(p, True) for p in old)
+
+
+def replace_table(frame: DataFrame, path: str, schema: T.StructType, name: str | None = None) -> int:
     """Full reload of a master table."""
-    check_columns(frame, schema)
-    frame.write.mode("overwrite").parquet(path)
-    return frame.sparkSession.read.schema(schema).parquet(path).count()
+    return publish(guarded(frame, schema), path, name=name)
 
 
 def rebuild_gold(frame: DataFrame, path: str, *, partition: str | None = None,
-                 cluster: Sequence[str] = ("userId",)) -> int:
-    """Create or replace a derived table; gives its row count (read from file footers)."""
-    writer = _clustered(frame, partition, cluster).write.mode("overwrite")
-    (writer.partitionBy(partition) if partition else writer).parquet(path)
-    return frame.sparkSession.read.parquet(path).count()
+                 cluster: Sequence[str] = ("userId",), name: str | None = None) -> int:
+    """Create or replace a derived table; gives its row count."""
+    return publish(frame, path, partition=partition, cluster=cluster, name=name)
 
 
-def create_views(views: dict[str, DataFrame]) -> list[str]:
-    """Late-bound views over the builders' frames."""
-    for name, frame in views.items():
-        frame.createOrReplaceTempView(name)
+def create_views(spark: SparkSession, views: Mapping[str, str]) -> list[str]:
+    """Catalog views by their SQL; they read tables by name, so they follow every rebuild."""
+    for name, text in views.items():
+        spark.sql(f"CREATE OR REPLACE VIEW {name} AS {text}")
     return list(views)
 
 
@@ -126,6 +225,8 @@ def ensure_database(spark: SparkSession, name: str) -> None:
 
 
 def _ensure_table(spark: SparkSession, name: str, path: str, schema: T.StructType, partition: str | None) -> None:
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(folder)
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
     by = f" PARTITIONED BY (`{partition}`)" if partition else ""
     spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet{by} LOCATION '{path}'")
@@ -142,11 +243,6 @@ def ensure_state_table(spark: SparkSession, name: str, path: str) -> None:
 
 
 # ---------------------------------------------------------------- watermark
-def merge_watermark(state: DataFrame, update: DataFrame) -> DataFrame:
-    """Rows of ``update`` replace those of the same name; the others stay."""
-    return state.join(update, "pipeline_name", "left_anti").unionByName(update)
-
-
 def latest_state(log: DataFrame) -> DataFrame:
     """One row per name: the last one written."""
     moment = F.struct("updated_at", "last_processed_date")
@@ -160,11 +256,15 @@ def find_watermark(state: DataFrame, name: str) -> DataFrame:
 
 
 def get_watermark(spark: SparkSession, path: str, name: str) -> date | None:
+    """None before the first run; a state that can't be read is an error."""
     try:
-        log = spark.read.schema(domain.STATE_SCHEMA).parquet(path)
-    except AnalysisException:
-        return None
-    row = find_watermark(latest_state(log), name).first()
+        log = spark.read.parquet(path)
+    except AnalysisException as error:
+        # No folder, or one without files, as set up before the first run.
+        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return None
+        raise
+    row = find_watermark(latest_state(log.select(*domain.STATE_SCHEMA.names)), name).first()
     return row.last_processed_date if row else None
 
 

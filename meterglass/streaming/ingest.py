@@ -1,49 +1,39 @@
 """Streaming face of the ingest: new document files, whole days replaced.
 
-Every micro-batch finds the days its files touch and replaces those days from the
-full source, so a late event never leaves half a day behind and a repeated batch
-changes nothing.
+Every micro-batch lands its documents by local day and replaces the days it touches from all that has landed for
+them, so a late event never leaves half a day behind, a repeated batch changes nothing, and only the touched days are
+read again.
 """
 
 from __future__ import annotations
 
-from datetime import date
 from decimal import Decimal
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from meterglass import domain
-from meterglass.functions import calendar, values
 from meterglass.operators import normalize
 from meterglass.sources import documents, lake
 
 
-def touched_days(docs: DataFrame, tz: str = domain.TIME_ZONE) -> list[date]:
-    """Distinct local days of a batch: one value per calendar day, however many rows."""
-    day = calendar.local_date(values.to_utc_timestamp(docs, "eventTimeStamp"), tz)
-    return sorted(r.day for r in docs.select(day.alias("day")).distinct().collect())
-
-
-def replace_touched(source: DataFrame, batch: DataFrame, path: str, *, tz: str = domain.TIME_ZONE,
-                    rate: Decimal = domain.EXCHANGE_RATE) -> dict[date, int]:
-    days = touched_days(batch, tz)
+def replace_touched(batch: DataFrame, number: int, landed: str, path: str, *, tz: str = domain.TIME_ZONE,
+                    rate: Decimal = domain.EXCHANGE_RATE) -> dict:
+    days = documents.land_batch(batch, landed, number, tz)
     if not days:
         return {}
-    docs = documents.extract_days(source, days[0], days[-1], tz=tz, id_buffer_hours=0)
-    rows = normalize.normalize_events(docs, rate=rate, tz=tz).where(F.col("date_id").isin(*days))
+    every = batch.sparkSession.read.parquet(landed)
+    rows = normalize.normalize_events(documents.landed_days(every, days), rate=rate, tz=tz)
     return lake.replace_days(rows, path, days)
 
 
-def stream_events(spark: SparkSession, source_path: str, events_path: str, checkpoint: str, *,
+def stream_events(spark: SparkSession, source_path: str, events_path: str, checkpoint: str, *, landed: str | None = None,
                   tz: str = domain.TIME_ZONE, rate: Decimal = domain.EXCHANGE_RATE) -> StreamingQuery:
-    """Process all files not seen yet, then stop."""
-    schema = documents.text_schema(domain.EVENT_FIELDS)
+    """Process all files not seen yet, then stop. ``landed``: folder of the landed documents, beside the checkpoint if not given."""
+    landed = landed or f"{checkpoint.rstrip('/')}-landed"
 
-    def on_batch(batch: DataFrame, _: int) -> None:
-        source = documents.read_json(spark, source_path, domain.EVENT_FIELDS)
-        replace_touched(source, batch, events_path, tz=tz, rate=rate)
+    def on_batch(batch: DataFrame, number: int) -> None:
+        replace_touched(documents.parse_lines(batch, domain.EVENT_FIELDS), number, landed, events_path, tz=tz, rate=rate)
 
-    return (spark.readStream.schema(schema).json(source_path).writeStream
+    return (spark.readStream.text(source_path).writeStream
             .foreachBatch(on_batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start())

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from meterglass.functions import calendar, figures
 
-START = date(2026, 1, 1)
+START = date(2024, 2, 1)
 
 
 def window(watermark, today, lookback=1):
@@ -13,12 +13,12 @@ def window(watermark, today, lookback=1):
 
 
 @pytest.mark.parametrize("watermark, today, lookback, expected", [
-    (None, date(2026, 6, 24), 1, (START, date(2026, 6, 23))),
-    (date(2026, 6, 22), date(2026, 6, 24), 1, (date(2026, 6, 23), date(2026, 6, 23))),
-    (date(2026, 6, 19), date(2026, 6, 24), 1, (date(2026, 6, 20), date(2026, 6, 23))),
-    (date(2026, 6, 22), date(2026, 6, 24), 3, (date(2026, 6, 21), date(2026, 6, 23))),
-    (None, date(2026, 1, 1), 1, None),
-    (None, date(2026, 1, 10), 30, (START, date(2026, 1, 9))),
+    (None, date(2024, 2, 4), 1, (START, date(2024, 2, 3))),
+    (date(2024, 2, 27), date(2024, 3, 1), 1, (date(2024, 2, 28), date(2024, 2, 29))),
+    (date(2024, 2, 29), date(2024, 3, 1), 2, (date(2024, 2, 28), date(2024, 2, 29))),
+    (date(2024, 2, 10), date(2024, 2, 20), 0, (date(2024, 2, 11), date(2024, 2, 19))),
+    (None, START, 1, None),
+    (None, date(2024, 2, 6), 60, (START, date(2024, 2, 5))),
 ])
 def test_window(spark, watermark, today, lookback, expected):
     assert window(watermark, today, lookback) == expected

@@ -67,6 +67,60 @@ def test_watermark(spark):
     assert lake.latest_state(spark.read.parquet(path)).count() == 2
 
 
+def test_unreadable_state_is_an_error(spark):
+    path = scratch_path(spark, "state")
+    spark.range(1).write.parquet(path)
+    with pytest.raises(Exception):
+        lake.get_watermark(spark, path, "a")
+
+
+def failing(frame):
+    return frame.withColumn(frame.columns[0], F.when(F.lit(True), F.raise_error(F.lit("late"))).cast(frame.schema[0].dataType))
+
+
+def test_failed_replacement_keeps_the_old_table_and_views_follow(spark):
+    path, name = scratch_path(spark, "users"), "kept_users"
+    old = spark.createDataFrame([("a", True, datetime(2024, 1, 1))], domain.USERS_SCHEMA)
+    assert lake.replace_table(old, path, domain.USERS_SCHEMA, name=name) == 1
+    lake.create_views(spark, {"banned_users": f"SELECT userId FROM {name} WHERE isBanned"})
+    with pytest.raises(Exception):
+        lake.replace_table(failing(old), path, domain.USERS_SCHEMA, name=name)
+    assert [r.userId for r in lake.read_table(spark, path).collect()] == ["a"]
+    with pytest.raises(Exception):
+        lake.rebuild_gold(failing(old), path, name=name)
+    assert [r.userId for r in spark.table("banned_users").collect()] == ["a"]
+    new = spark.createDataFrame([("b", True, datetime(2024, 1, 1)), ("c", False, datetime(2024, 1, 1))], domain.USERS_SCHEMA)
+    assert lake.replace_table(new, path, domain.USERS_SCHEMA, name=name) == 2
+    assert [r.userId for r in spark.newSession().table("banned_users").collect()] == ["b"]
+    lake.replace_table(new, path, domain.USERS_SCHEMA, name=name)
+    assert lake.drop_old_versions(spark, path) >= 1
+    assert lake.read_table(spark, path).count() == 2
+
+
+def test_required_columns(spark, typed):
+    docs = spark.createDataFrame([("a",), (None,)], "userId string")
+    with pytest.raises(lake.MissingValue, match="userId"):
+        lake.replace_table(normalize.normalize_users(docs), scratch_path(spark, "users"), domain.USERS_SCHEMA)
+    broken = day_rows(typed).withColumn("totalCostThb", F.lit(None).cast(domain.MONEY))
+    with pytest.raises(lake.MissingValue, match="totalCostThb"):
+        lake.replace_day(broken, scratch_path(spark, "events"), DAY)
+
+
+def test_a_block_reads_its_documents_once(spark, sf_dir):
+    docs = sample.event_documents(spark, sf_dir)
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    counted = docs.mapInArrow(count, docs.schema)
+    ingest.ingest_events(counted, scratch_path(spark, "events"), scratch_path(spark, "state"), start_date=sample.START_DATE,
+                         today=sample.AS_OF)
+    assert seen.value == docs.count()
+
+
 def test_failed_block_leaves_the_watermark(spark, sf_dir):
     docs = sample.event_documents(spark, sf_dir)
     broken = docs.withColumn("eggToken", F.when(
@@ -75,9 +129,10 @@ def test_failed_block_leaves_the_watermark(spark, sf_dir):
     options = {"start_date": sample.START_DATE, "today": sample.AS_OF, "days_per_job": 10}
     with pytest.raises(Exception):
         ingest.ingest_events(broken, path, state, **options)
-    assert lake.get_watermark(spark, state, ingest.STREAM) == date(2024, 1, 12)
+    # The first bad day is the 20th; its block began on the 13th.
+    assert lake.get_watermark(spark, state, ingest.STREAM) == date(2024, 1, 19)
     rows = ingest.ingest_events(docs, path, state, **options)
-    assert (min(rows), max(rows)) == (date(2024, 1, 13), date(2024, 1, 27))
+    assert (min(rows), max(rows)) == (date(2024, 1, 20), date(2024, 1, 27))
     assert lake.get_watermark(spark, state, ingest.STREAM) == date(2024, 1, 27)
     assert ingest.ingest_events(docs, path, state, **{**options, "today": sample.START_DATE}) == {}
 
@@ -164,12 +219,21 @@ def test_daily_run(spark, sf_dir):
         assert first[stage] == again[stage] == QUERIES[stage](spark, sf_dir).count() > 0
     assert again["B2C events"] < first["B2C events"]
     names = ["version", "userId", "date_id", "token_used", "totalCostThb"]
-    view = spark.table("user_tracking_total").select(names).exceptAll(QUERIES["user_tracking_total"](spark, sf_dir).select(names))
+    view = spark.table("usage.user_tracking_total").select(names).exceptAll(QUERIES["user_tracking_total"](spark, sf_dir).select(names))
     assert view.count() == 0
-    assert spark.table("slide_metrics").count() == 18
-    assert isinstance(spark.table("summary_daily").first().serving_cost_thb, Decimal)
+    assert spark.table("usage.slide_metrics").count() == 18
+    assert isinstance(spark.table("usage.summary_daily").first().serving_cost_thb, Decimal)
+    assert spark.table("usage.user_tracking_total_compat").count() == spark.table("usage.user_tracking_total").count()
+    folder = lake.current_version(spark, f"{root}/B2C/user_token_cycle")
+    cycles = spark.read.parquet(folder)
+    assert cycles.columns[-1] == "cycle_start_date" and "PartitionFilters: [isnotnull(cycle_start_date" in \
+        cycles.where("cycle_start_date = '2024-01-15'")._jdf.queryExecution().executedPlan().toString()
+    assert {"user_usage_event_b2c", "state_b2b"} <= {t.name for t in spark.catalog.listTables("usage")}
+    # Reports read the stored summary, by date, and not the events.
+    plan = spark.table("usage.summary_daily").where("date_id >= '2024-01-10'")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters" in plan and "user_usage_event" not in plan
 
 
 def test_registry_is_consistent():
     assert set(ORACLES) <= set(QUERIES)
-    assert set(QUERIES) - set(ORACLES) == {"generated_at"}
+    assert set(QUERIES) == set(ORACLES)

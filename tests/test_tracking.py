@@ -135,11 +135,11 @@ def test_conversion_order_is_not_checked_on_slides(spark):
 
 def test_placeholders(spark):
     metrics = spark.createDataFrame(
-        [("total_users", "7,453", "10 August 2026", 1), ("b2c_users", "6,930", "10 August 2026", 2),
-         ("b2b_users", None, "10 August 2026", 3), ("", "1", None, 4)],
+        [("total_users", "41,002", "3 May 2025", 1), ("b2c_users", "18", "3 May 2025", 2),
+         ("b2b_users", None, "3 May 2025", 3), ("", "9", None, 4)],
         "metric_key string, value_display string, period_display string, sort_order bigint")
     assert rows(deck.slide_placeholders(metrics)) == [
-        ("{{b2c_users}}", "6,930"), ("{{period}}", "10 August 2026"), ("{{total_users}}", "7,453")]
+        ("{{b2c_users}}", "18"), ("{{period}}", "3 May 2025"), ("{{total_users}}", "41,002")]
     assert deck.slide_placeholders(metrics.limit(0)).count() == 0
 
 
