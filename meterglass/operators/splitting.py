@@ -1,61 +1,88 @@
 """Ordered work on keys that hold a large part of all rows.
 
 A window partitioned by user sorts one user in one task. Where a user has more
-rows than ``rows_per_run``, the user's time range is cut into runs of equal width
-and the window is partitioned by (user, run); what a run needs from its
-neighbours is carried over from a small frame with one row per run. Users below
-the limit have the single run 0 and carry nothing.
-
-Cuts come from a count, a minimum and a maximum, so a recomputed task always
-finds the same cuts. The frame of cuts has at most rows / rows_per_run rows and
-the carried frame at most ``FINER`` times as many; that bound is what allows
-both to be broadcast. With no long key both are empty and adaptive execution
-drops the carrying branch.
+rows than ``rows_per_run``, the user's rows are cut by rank into runs and the
+window is partitioned by (user, run); what a run needs from its neighbours is
+carried over from a frame with one row per run.
+
+Cuts are rows of the key itself, drawn by a hash of their place in the order, so runs
+hold about the same number of rows however these are spread over time: a burst, and even
+one instant, is cut like any other part. A recomputed task always finds the same cuts. Cuts
+are written to the shared folder; their measured size decides how they are joined, and where no key is long, no plan
+carries anything.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql import Window as W
 
+from meterglass.session import scratch_path
+
 ROWS_PER_RUN = 5_000_000
-FINER = 4  # runs per full load, as rows are not spread evenly over time
+FINER = 4  # runs per full load: the longest of many runs is a few times the mean
 
 RUN, LONG = "__run", "__long"
 
 
-def micros(rows: DataFrame, ts: str) -> Column:
-    if isinstance(rows.schema[ts].dataType, T.TimestampNTZType):
-        return F.timestamp_diff("MICROSECOND", F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'"), F.col(ts))
-    return F.unix_micros(F.col(ts))
+def _place(order: Sequence[str]) -> Column:
+    return F.struct(*(F.col(c).alias(f"o{i}") for i, c in enumerate(order)))
 
 
-def long_keys(rows: DataFrame, key: str, ts: str, rows_per_run: int = ROWS_PER_RUN) -> DataFrame:
-    """(key, start, width) of every key with more than ``rows_per_run`` rows."""
-    at = micros(rows, ts)
-    sizes = rows.groupBy(F.col(key).alias("__key")).agg(
-        F.count(F.lit(1)).alias("n"), F.min(at).alias("start"), F.max(at).alias("stop"))
-    return sizes.where(F.col("n") > rows_per_run).select(
-        "__key", "start",
-        F.expr(f"(stop - start) div (CAST(ceil(n / {rows_per_run}) AS BIGINT) * {FINER}) + 1").alias("width"))
+def long_keys(rows: DataFrame, key: str, order: Sequence[str], rows_per_run: int = ROWS_PER_RUN) -> DataFrame | None:
+    """(key, cuts) of every key with more than ``rows_per_run`` rows, or None if there is no such key.
 
-
-def with_runs(rows: DataFrame, cuts: DataFrame, key: str, ts: str) -> DataFrame:
+    Counted now and not when the plan runs. Rows of one place in the order stay together.
+    """
+    spark = rows.sparkSession
+    counts = rows.groupBy(F.col(key).alias("__key")).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > rows_per_run)
+    path = scratch_path(spark, "long-keys")
+    counts.write.parquet(path)
+    counts = spark.read.schema(counts.schema).parquet(path)
+    if counts.isEmpty():
+        return None
+    step = max(1, rows_per_run // FINER)
+    drawn = rows.where(F.pmod(F.xxhash64(*order), F.lit(step)) == 0).select(key, _place(order).alias("__place")).distinct()
+    cuts = drawn.join(counts, F.col(key).eqNullSafe(F.col("__key"))).groupBy("__key").agg(
+        F.sort_array(F.collect_list("__place")).alias("__cuts"))
+    path = scratch_path(spark, "cuts")
+    cuts.write.parquet(path)
+    return spark.read.schema(cuts.schema).parquet(path)
+
+
+def _rank() -> Column:
+    """How many cuts are at or before the row's place, by halving."""
+    def narrowed(at: Column, _: Column) -> Column:
+        middle = F.floor((at["lo"] + at["hi"]) / 2).cast("int")
+        passed = F.get("__cuts", middle) <= F.col("__place")
+        return (F.when(at["lo"] >= at["hi"], at)
+                .when(passed, F.struct((middle + 1).alias("lo"), at["hi"].alias("hi")))
+                .otherwise(F.struct(at["lo"].alias("lo"), middle.alias("hi"))))
+
+    size = F.size("__cuts")
+    steps = F.sequence(F.lit(0), F.ceil(F.log2(size + 1)).cast("int"))
+    return F.aggregate(steps, F.struct(F.lit(0).alias("lo"), size.alias("hi")), narrowed, lambda at: at["lo"].cast("bigint"))
+
+
+def with_runs(rows: DataFrame, cuts: DataFrame | None, key: str, order: Sequence[str]) -> DataFrame:
     """Add the run number and the long-key flag; a missing key counts as a key."""
-    run = F.expr("coalesce((__at - start) div width, 0)")
-    return (rows.withColumn("__at", micros(rows, ts))
-            .join(F.broadcast(cuts), F.col(key).eqNullSafe(F.col("__key")), "left")
-            .withColumn(RUN, run).withColumn(LONG, F.col("width").isNotNull())
-            .drop("__at", "__key", "start", "width"))
+    if cuts is None:
+        return rows.withColumns({RUN: F.lit(0).cast("bigint"), LONG: F.lit(False)})
+    cut = F.col("__cuts").isNotNull()
+    return (rows.withColumn("__place", _place(order))
+            .join(cuts, F.col(key).eqNullSafe(F.col("__key")), "left")
+            .withColumns({RUN: F.when(cut, _rank()).otherwise(F.lit(0).cast("bigint")), LONG: cut})
+            .drop("__place", "__key", "__cuts"))
 
 
 def with_carry(rows: DataFrame, carry: DataFrame, key: str) -> DataFrame:
     """Bring each run the values carried into it (columns of ``carry`` besides key and run)."""
     side = carry.withColumnsRenamed({key: "__key", RUN: "__to"})
     match = F.col(key).eqNullSafe(F.col("__key")) & (F.col(RUN) == F.col("__to"))
-    return rows.join(F.broadcast(side), match, "left").drop("__key", "__to")
+    return rows.join(side, match, "left").drop("__key", "__to")
 
 
 def runs_of(key: str) -> W:
@@ -63,10 +90,12 @@ def runs_of(key: str) -> W:
     return W.partitionBy(key).orderBy(RUN)
 
 
-def _with_inside_and_carry(rows: DataFrame, cuts: DataFrame, key: str, ts: str, order: list[str], name: str,
+def _with_inside_and_carry(rows: DataFrame, cuts: DataFrame | None, key: str, order: list[str], name: str,
                            inside, of_run: Column, carried, merge=F.coalesce) -> DataFrame:
     """``inside`` over the rows of a run, merged with what ``carried`` brings from other runs."""
-    rows = with_runs(rows, cuts, key, ts)
+    if cuts is None:
+        return rows.withColumn(name, inside(W.partitionBy(key).orderBy(*order)))
+    rows = with_runs(rows, cuts, key, order)
     carry = rows.where(LONG).groupBy(key, RUN).agg(of_run.alias("__run_value")).select(
         key, RUN, carried(F.col("__run_value"), runs_of(key)).alias("__carried"))
     local = W.partitionBy(key, RUN).orderBy(*order)
@@ -74,27 +103,27 @@ def _with_inside_and_carry(rows: DataFrame, cuts: DataFrame, key: str, ts: str,
             .withColumn(name, merge(F.col(name), F.col("__carried"))).drop("__carried", RUN, LONG))
 
 
-def with_previous(rows: DataFrame, cuts: DataFrame, key: str, ts: str, order: list[str],
+def with_previous(rows: DataFrame, cuts: DataFrame | None, key: str, order: list[str],
                   value: Column, name: str) -> DataFrame:
-    """``value`` (never missing) of the preceding row of the key; ``order`` starts with ``ts``."""
+    """``value`` (never missing) of the preceding row of the key."""
     return _with_inside_and_carry(
-        rows, cuts, key, ts, order, name, lambda w: F.lag(value).over(w),
+        rows, cuts, key, order, name, lambda w: F.lag(value).over(w),
         F.max_by(value, F.struct(*order)), lambda v, w: F.lag(v).over(w))
 
 
-def with_next(rows: DataFrame, cuts: DataFrame, key: str, ts: str, order: list[str],
+def with_next(rows: DataFrame, cuts: DataFrame | None, key: str, order: list[str],
               value: Column, name: str) -> DataFrame:
     """``value`` (never missing) of the following row of the key."""
     return _with_inside_and_carry(
-        rows, cuts, key, ts, order, name, lambda w: F.lead(value).over(w),
+        rows, cuts, key, order, name, lambda w: F.lead(value).over(w),
         F.min_by(value, F.struct(*order)), lambda v, w: F.lead(v).over(w))
 
 
-def with_running_sum(rows: DataFrame, cuts: DataFrame, key: str, ts: str, order: list[str],
+def with_running_sum(rows: DataFrame, cuts: DataFrame | None, key: str, order: list[str],
                      value: Column, name: str) -> DataFrame:
     """Sum of ``value`` (never missing) over the key's rows up to this one."""
     return _with_inside_and_carry(
-        rows, cuts, key, ts, order, name,
+        rows, cuts, key, order, name,
         lambda w: F.sum(value).over(w.rowsBetween(W.unboundedPreceding, 0)), F.sum(value),
         lambda v, w: F.sum(v).over(w.rowsBetween(W.unboundedPreceding, -1)),
         lambda inside, carried: inside + F.coalesce(carried, F.lit(0)))

@@ -57,7 +57,7 @@ def user_purchases(events: DataFrame, cuts: DataFrame, packages: DataFrame) -> D
     """Per user: subscriptions, gaps between them, list-price revenue, usage cost."""
     rows = purchases_and_use(events)
     paid = F.col("kind") == "paid"
-    gaps = splitting.with_previous(rows.where(paid), cuts, "userId", "eventTimeStamp",
+    gaps = splitting.with_previous(rows.where(paid), cuts, "userId",
                                    ["eventTimeStamp", "event_id"], F.col("eventTimeStamp"), "prev_ts")
     rows = gaps.unionByName(rows.where(~paid), allowMissingColumns=True)
     prices = packages.groupBy("packageId").agg(F.sum("priceThb").alias("price"))
@@ -139,7 +139,7 @@ def repeat_behavior(cycles: DataFrame, events: DataFrame, packages: DataFrame, u
     events = window_events(events, start_date, as_of)
     purchases = events.where((F.col("eventType") == domain.SUBSCRIBE)
                              & F.col("packageId").isin(*domain.B2C_PAID_PACKAGES))
-    cuts = splitting.long_keys(purchases, "userId", "eventTimeStamp", rows_per_run)
+    cuts = splitting.long_keys(purchases, "userId", ("eventTimeStamp", "event_id"), rows_per_run)
     events = tables.without_banned(events, users)
     buyers = user_purchases(dedup.one_per_event(events), cuts, packages)
     ntz = calendar.is_ntz(events, "eventTimeStamp")

@@ -39,7 +39,32 @@ def _ordered(*frame: int) -> W:
     return window.rowsBetween(*frame) if frame else window
 
 
-def _marked(events: DataFrame) -> DataFrame:
+def _rows(events: DataFrame) -> DataFrame:
+    """Boundaries and usage, each event once."""
+    kind = F.col("eventType")
+    return (dedup.one_per_event(events)
+            # Usage without a user belongs to nobody's cycle.
+            .where(kind.isin(*domain.BOUNDARIES) | (F.col("is_use") & F.col("userId").isNotNull()))
+            .withColumn("used", F.when(F.col("is_use"), F.abs("eggToken"))))
+
+
+def _instant(boundary: str) -> str:
+    """Column with the instant of the last such boundary of earlier runs."""
+    return f"last_{boundary}"
+
+
+def _with_instants(rows: DataFrame, cuts: DataFrame | None) -> DataFrame:
+    """The last instant of each kind of boundary before the run, as a cut may part rows of one instant."""
+    names = {_instant(b): b for b in domain.BOUNDARIES}
+    if cuts is None:
+        return rows.withColumns({n: F.lit(None).cast(rows.schema["eventTimeStamp"].dataType) for n in names})
+    ends = rows.where(LONG).groupBy("userId", RUN).agg(*[
+        F.max(F.when(F.col("eventType") == b, F.col("eventTimeStamp"))).alias(n) for n, b in names.items()])
+    before = splitting.runs_of("userId").rowsBetween(W.unboundedPreceding, -1)
+    return splitting.with_carry(rows, ends.select("userId", RUN, *[F.max(n).over(before).alias(n) for n in names]), "userId")
+
+
+def _marked(rows: DataFrame) -> DataFrame:
     """Boundaries and usage of each run, with running totals and the last and next boundary."""
     up_to_here = _ordered(W.unboundedPreceding, 0)
     before = _ordered(W.unboundedPreceding, -1)
@@ -47,13 +72,9 @@ def _marked(events: DataFrame) -> DataFrame:
 
     def repeated(boundary: str) -> Column:
         """An earlier row of the same instant already is this kind of boundary."""
-        return (kind == boundary) & F.last(F.when(kind == boundary, at), True).over(before).eqNullSafe(at)
+        earlier = F.coalesce(F.last(F.when(kind == boundary, at), True).over(before), F.col(_instant(boundary)))
+        return (kind == boundary) & earlier.eqNullSafe(at)
 
-    rows = (dedup.one_per_event(events)
-            # Usage without a user belongs to nobody's cycle.
-            .where(kind.isin(*domain.BOUNDARIES) | (is_usage() & F.col("userId").isNotNull()))
-            .withColumn("is_use", is_usage())
-            .withColumn("used", F.when(F.col("is_use"), F.abs("eggToken"))))
     again = repeated(domain.SUBSCRIBE) | repeated(domain.MONTHLY_RESET) | repeated(domain.MAIN_EXPIRED)
     rows = rows.select(
         "*",
@@ -107,10 +128,14 @@ def _quota(mark: str, carried_grant: Column) -> Column:
 def cycle_rows(events: DataFrame, users: DataFrame, *, start_date: date, as_of: date,
                rows_per_run: int = splitting.ROWS_PER_RUN) -> DataFrame:
     """Boundaries and usage, each with its cycle: start, kind, quota, use so far, next boundary."""
-    events = window_events(events, start_date, as_of).select(*EVENT_COLUMNS)
-    cuts = splitting.long_keys(events, "userId", "eventTimeStamp", rows_per_run)
-    events = splitting.with_runs(tables.without_banned(events, users), cuts, "userId", "eventTimeStamp")
-    rows = splitting.with_carry(_marked(events), _carried(_marked(events.where(LONG))), "userId")
+    events = window_events(events, start_date, as_of).select(*EVENT_COLUMNS).withColumn("is_use", is_usage())
+    cuts = splitting.long_keys(events, "userId", _ORDER, rows_per_run)
+    events = splitting.with_runs(tables.without_banned(events, users), cuts, "userId", _ORDER)
+    ordered = _with_instants(_rows(events), cuts)
+    marked = _marked(ordered)
+    # Without a long user nothing is carried, and one pass over the events is all.
+    carried = _carried(_marked(ordered.where(LONG)) if cuts is not None else marked.where(F.lit(False)))
+    rows = splitting.with_carry(marked, carried, "userId")
     # Inside the run the boundary is known; before the run's first one it is the carried one.
     here = F.col("cur").isNotNull()
 

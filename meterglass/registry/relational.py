@@ -276,7 +276,7 @@ on_sample("agg_cycle_usage", query("""
 def purchases(s):
     events = b2c_live(s)
     paid = events.where((F.col("eventType") == domain.SUBSCRIBE) & F.col("packageId").isin(*domain.B2C_PAID_PACKAGES))
-    cuts = splitting.long_keys(paid, "userId", "eventTimeStamp")
+    cuts = splitting.long_keys(paid, "userId", ("eventTimeStamp", "event_id"))
     return behavior.user_purchases(dedup.one_per_event(events), cuts, priced(s))
 
 

@@ -35,9 +35,9 @@ def _(s):
 
 def running_purchases(s, trial: bool, name: str):
     events = b2c_live(s)
-    cuts = splitting.long_keys(events, "userId", "eventTimeStamp")
+    cuts = splitting.long_keys(events, "userId", MOMENT)
     bought = (F.col("eventType") == domain.SUBSCRIBE) & ((F.col("packageId") == domain.TRIAL_PACKAGE) == F.lit(trial))
-    return splitting.with_running_sum(events, cuts, "userId", "eventTimeStamp", MOMENT,
+    return splitting.with_running_sum(events, cuts, "userId", MOMENT,
                                       F.when(bought, 1).otherwise(0), name).select("event_id", name)
 
 
@@ -135,9 +135,9 @@ on_sample("cycle_index", query('SELECT "userId", cycle_start_ts, cycle_index FRO
     row_number() OVER (PARTITION BY "userId" ORDER BY ts, eid) AS sub_seq FROM gaps""", *PURCHASES))
 def _(s):
     paid = paid_subscriptions(s)
-    cuts = splitting.long_keys(paid, "userId", "eventTimeStamp")
-    numbered = splitting.with_running_sum(paid, cuts, "userId", "eventTimeStamp", MOMENT, F.lit(1), "sub_seq")
-    return splitting.with_previous(numbered, cuts, "userId", "eventTimeStamp", MOMENT, F.col("eventTimeStamp"),
+    cuts = splitting.long_keys(paid, "userId", MOMENT)
+    numbered = splitting.with_running_sum(paid, cuts, "userId", MOMENT, F.lit(1), "sub_seq")
+    return splitting.with_previous(numbered, cuts, "userId", MOMENT, F.col("eventTimeStamp"),
                                    "prev_ts").select("userId", "subscriptionId", "eventTimeStamp", "prev_ts", "sub_seq")
 
 

@@ -132,3 +132,12 @@ def test_split_users_match_on_the_sample(spark, sf_dir, size):
         return rows(made), rows(users_)
 
     assert build(rows_per_run=size) == build()
+
+
+@pytest.mark.parametrize("size", [1, 5, 40])
+def test_split_instants_match(spark, size):
+    """Boundaries of all kinds and usage pile up in a few instants; some boundaries repeat in one."""
+    kinds = (SUB, USE, RESET, USE, END, USE, SUB, LATE)
+    piled = [(f"e{n:03d}", f"{5 + n // 60:02d} 10:0{n % 3}", "u", kinds[n % 8], "s", str(1 + n % 3), 100 if kinds[n % 8] == SUB else -7)
+             for n in range(180)]
+    assert rows(run(spark, *piled, rows_per_run=size)) == rows(run(spark, *piled))

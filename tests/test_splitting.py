@@ -1,5 +1,6 @@
 """Ordered operators against a plain loop over random rows."""
 
+import itertools
 import random
 from datetime import datetime, timedelta
 
@@ -37,18 +38,33 @@ def expected(rows, pick):
 ], ids=["previous", "next", "running"])
 def test_ordered_operators(data, operator, pick, limit):
     rows, frame = data
-    cuts = splitting.long_keys(frame, "k", "ts", limit)
-    found = operator(frame, cuts, "k", "ts", ORDER, F.col("v"), "out")
+    cuts = splitting.long_keys(frame, "k", ORDER, limit)
+    assert (cuts is None) == (limit == 10_000)
+    found = operator(frame, cuts, "k", ORDER, F.col("v"), "out")
     assert {r.id: r.out for r in found.collect()} == expected(rows, pick)
 
 
 def test_cuts_are_bounded(data):
     rows, frame = data
     for limit in (5, 40, 100):
-        assert splitting.long_keys(frame, "k", "ts", limit).count() <= len(rows) / limit
-        runs = splitting.with_runs(frame, splitting.long_keys(frame, "k", "ts", limit), "k", "ts")
+        cuts = splitting.long_keys(frame, "k", ORDER, limit)
+        assert cuts.count() <= len(rows) / limit
+        runs = splitting.with_runs(frame, cuts, "k", ORDER)
         long = runs.where(splitting.LONG).select("k", splitting.RUN).distinct().count()
-        assert long <= splitting.FINER * (len(rows) / limit + len({r[0] for r in rows}))
+        assert long <= 2 * splitting.FINER * (len(rows) / limit + len({r[0] for r in rows}))
+
+
+def test_a_burst_is_cut_too(spark):
+    """99 of 100 rows of a key in one second, most of them in one instant."""
+    start, limit = datetime(2024, 1, 1), 400
+    rows = [("bot", start + (timedelta(days=n) if n % 100 == 0 else timedelta(days=50, milliseconds=n % 3)), n, n % 9) for n in range(20_000)]
+    frame = spark.createDataFrame(rows, "k string, ts timestamp, id int, v int")
+    cuts = splitting.long_keys(frame, "k", ORDER, limit)
+    sizes = [r["count"] for r in splitting.with_runs(frame, cuts, "k", ORDER).groupBy(splitting.RUN).count().collect()]
+    assert max(sizes) <= 3 * limit and sum(sizes) == len(rows)
+    found = splitting.with_running_sum(frame, cuts, "k", ORDER, F.col("v"), "out")
+    rows.sort(key=lambda r: (r[1], r[2]))
+    assert {r.id: r.out for r in found.collect()} == dict(zip((r[2] for r in rows), itertools.accumulate(r[3] for r in rows)))
 
 
 @pytest.mark.parametrize("block", [1, 2, 7, 1000])
