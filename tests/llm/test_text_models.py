@@ -78,8 +78,8 @@ def test_lm_class_probabilities_sum_to_one():
     tokens = lm.Tokens(["a b c a", "", None])
     weights = np.random.default_rng(0).normal(size=(1 << lm.SLOT_BITS, lm.CLASSES)).astype(np.float32)
     model = lm.Model((np.array([lm.END]), np.array([0])), np.zeros(lm.CLASSES, np.float32), None, None, weights)
-    logs = model.class_logs(tokens.slots(), 0, len(tokens.hashes))
-    assert np.exp(logs).sum(axis=1) == pytest.approx(1, abs=1e-5)
+    every = [model.class_logs(tokens.slots(), np.full(len(tokens.hashes), c)) for c in range(lm.CLASSES)]
+    assert np.exp(every).sum(axis=0) == pytest.approx(1, abs=1e-5)
 
 
 def plain_rules(text):
