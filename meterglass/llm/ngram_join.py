@@ -158,7 +158,8 @@ def group_links(rows: DataFrame, percent: int, group_classes: int = GROUP_CLASSE
         big = (F.col("classes") > group_classes) | (F.col("total") > GROUP_GRAMS) & (F.col("classes") > FEW)
         sizes = stored(sizes.where("classes > 1 AND any_inner = 1").withColumn("big", big), "sizes")
         named = sizes.select(F.col("group").alias("s_group"), "classes", "total", "big", F.col("was").alias("s_was"))
-        sized = rows.drop("was").join(named, F.col("group") == F.col("s_group")).drop("s_group")
+        # Written, so that this join may split a large group: what follows it wants whole groups, but small ones only.
+        sized = stored(rows.drop("was").join(named, F.col("group") == F.col("s_group")).drop("s_group"), "sized")
         found = sized.where("NOT big").groupBy("group").applyInArrow(local, "a long, b long")
         found = stored(found, "links")
         links = found if links is None else links.unionByName(found)
