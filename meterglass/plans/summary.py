@@ -77,30 +77,38 @@ def summary_fact(b2c_events: DataFrame, b2b_events: DataFrame, b2c_packages: Dat
 
 
 def _user_days(b2c_events: DataFrame, b2b_events: DataFrame, b2c_users: DataFrame) -> DataFrame:
-    """Counts per (segment, day, package, user).
+    """Counts per (segment, day, package, user), from one read of the events.
 
     Events are summed to this grain first, so a heavy user shuffles a handful of
     rows per day, and the ban list and the mapping meet user-days, not events.
-    Only lifecycle events have to meet the ban list one by one, as a banned user's
-    row must not win its subscription.
+    Only lifecycle events keep their subscription and instant: they meet the ban list one
+    by one, as a banned user's row must not win its subscription. The winner of a
+    subscription is a minimum, so the group of missing subscription ids is folded in the map tasks.
     """
-    keys = ("version", "date_id", "packageId", "userId")
-    lifecycle = F.col("eventType").isin(*domain.LIFECYCLE)
+    keys = ("date_id", "packageId", "userId")
+    moment = ("eventTimeStamp", "event_id")
+    life = F.col("eventType").isin(*domain.LIFECYCLE)
     events = segment_events(b2c_events, b2b_events, "event_id", "date_id", "userId", "eventType",
                             "subscriptionId", "eventTimeStamp", "eggToken", "totalCostThb", "packageId")
-    plain = (events.where(~lifecycle).groupBy(*keys)
-             .agg(F.count_if(is_usage()).alias("usage_events"),
-                  F.sum(F.when(is_usage(), F.abs("eggToken")).otherwise(0)).alias("tokens"),
-                  F.sum(F.when(is_usage(), F.col("totalCostThb")).otherwise(0)).alias("cost"),
-                  F.count_if(F.col("eventType") == domain.MONTHLY_RESET).alias("resets"),
-                  F.count(F.lit(1)).alias("others")))
-    plain = without_banned_b2c(plain, b2c_users)
-    first = dedup.one_per_lifecycle(
-        without_banned_b2c(events.where(lifecycle).drop("eggToken", "totalCostThb"), b2c_users))
-    first = (first.groupBy(*keys)
-             .agg(F.count_if(F.col("eventType") == domain.SUBSCRIBE).alias("subs"),
-                  F.count_if(F.col("eventType") == domain.MAIN_EXPIRED).alias("expirations")))
-    return plain.unionByName(first, allowMissingColumns=True)
+    folded = (events.where(F.col("eventType").isNotNull())
+              .groupBy("version", *keys, F.when(life, F.col("eventType")).alias("kind"),
+                       *[F.when(life, F.col(c)).alias(c) for c in ("subscriptionId", *moment)])
+              .agg(F.count_if(is_usage()).alias("usage_events"),
+                   F.sum(F.when(is_usage(), F.abs("eggToken")).otherwise(0)).alias("tokens"),
+                   F.sum(F.when(is_usage(), F.col("totalCostThb")).otherwise(0)).alias("cost"),
+                   F.count_if(F.col("eventType") == domain.MONTHLY_RESET).alias("resets"),
+                   F.count(F.lit(1)).alias("others")))
+    plain = F.col("kind").isNull()
+    measures = ("usage_events", "tokens", "cost", "resets", "others")
+    # Plain rows are grouped by their own keys, lifecycle rows by their subscription.
+    rows = without_banned_b2c(folded, b2c_users).groupBy(
+        "version", "kind", "subscriptionId", *[F.when(plain, F.col(k)).alias(f"own_{k}") for k in keys]).agg(
+        F.min(F.when(~plain, F.struct(*moment, *keys))).alias("first"),
+        *[F.sum(F.when(plain, F.col(m))).alias(m) for m in measures])
+    return rows.select(
+        "version", *[F.when(plain, F.col(f"own_{k}")).otherwise(F.col(f"first.{k}")).alias(k) for k in keys], *measures,
+        F.when(~plain, (F.col("kind") == domain.SUBSCRIBE).cast("bigint")).alias("subs"),
+        F.when(~plain, (F.col("kind") == domain.MAIN_EXPIRED).cast("bigint")).alias("expirations"))
 
 
 def summary_daily(b2c_events: DataFrame, b2b_events: DataFrame, b2c_packages: DataFrame,
