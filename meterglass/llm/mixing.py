@@ -2,7 +2,7 @@
 
 A source's weight is its token share to the power of an exponent between 0 (all equal) and 1 (as they are), normalised.
 The exponent is bisected until the weights have the target entropy, or until no source
-repeats more often than the limit. A budget of tokens times the weights gives each source's quota, which is filled
+repeats more often than the limit; by default both hold. A budget of tokens times the weights gives each source's quota, which is filled
 with whole permutations of the source and a last part of one. The stream is laid out in blocks of equal
 budget: each block holds the same share of every source's quota, in an order of its own.
 
@@ -85,7 +85,7 @@ def source_weights(shares: DataFrame, target_entropy: float | None = 0.95, max_r
 
 
 def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
-                target_entropy: float | None = 0.95, max_repeats: float | None = None, budget_share: float = 1.0,
+                target_entropy: float | None = 0.95, max_repeats: float | None = 4.0, budget_share: float = 1.0,
                 blocks: int = 64, seed: int = 7, also: tuple[str, ...] = ()) -> DataFrame:
     """One row for each appearance of a document in the mixed stream:
     (doc_id, source, n_tokens, epoch, block, block_key, weight, *also).

@@ -16,7 +16,7 @@ def has_python(frame):
 
 @pytest.mark.parametrize("rows", [corpus(n=200), edges(), []], ids=["corpus", "edges", "empty"])
 def test_mixed_stream(spark, rows):
-    options = {"target_entropy": 0.9, "blocks": 8}
+    options = {"target_entropy": 0.9, "max_repeats": None, "blocks": 8}
     shown = mixing.mix_sources(documents(spark, rows), **options)
     assert not has_python(shown)
     got = shown.collect()
@@ -70,6 +70,12 @@ def test_repetition_limit(spark):
     assert sum(r.weight for r in got.values()) == pytest.approx(1)
 
 
+def test_small_sources_repeat_up_to_the_limit(spark):
+    rows = [(i, "a b c d", "en", "big", 7) for i in range(200)] + [(1000, "a b c d", "en", "small", 7)]
+    times = Counter(r.source for r in mixing.mix_sources(documents(spark, rows)).collect())
+    assert times["small"] == 4 and abs(times["big"] - 197) <= 1
+
+
 def test_mixed_keeps_columns(spark):
     docs = documents(spark, edges())
     assert mixing.mixed(docs).columns == docs.columns
