@@ -1,7 +1,7 @@
 """Temperature mixing of sources, with DataFrame functions only.
 
 A source's weight is its token share to the power of an exponent between 0 (all equal) and 1 (as they are), normalised.
-The exponent is bisected until the weights have the target entropy, or until no source
+The exponent's interval is narrowed until the weights have the target entropy, or until no source
 repeats more often than the limit; by default both hold. A budget of tokens times the weights gives each source's quota, which is filled
 with whole permutations of the source and a last part of one. The stream is laid out in blocks of equal
 budget: each block holds the same share of every source's quota, in an order of its own.
@@ -15,6 +15,8 @@ token takes nothing; other columns are kept by ``mixed``.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -22,8 +24,8 @@ from meterglass.llm.common import register, stored, table
 
 #: Rows of a slice of a source, about.
 ROWS_PER_SLICE = 2000
-#: Halvings of the exponent's interval.
-STEPS = 40
+#: Parts of the exponent's interval in each round of the bisection, and rounds: 2 ** 40 parts in all.
+WAYS, ROUNDS = 32, 8
 
 
 def tokens(text_col: str) -> Column:
@@ -36,52 +38,34 @@ def source_weights(shares: DataFrame, target_entropy: float | None = 0.95, max_r
     """(source, tokens, exponent, weight) from (source, tokens).
 
     ``target_entropy``: of the weights, as a share of the entropy of equal weights; ``max_repeats``: of any source under a budget
-    of budget_share times all tokens. Where both are given both hold. Each halving is a sum over all sources, kept as
-    an array of shares so that the whole bisection is one expression; its length is the number of sources.
+    of budget_share times all tokens. Where both are given both hold; the exponent is the smallest that does.
+    The sums for WAYS - 1 exponents at a time are one aggregate over all sources, so their number may grow; each round keeps
+    one of WAYS parts of the interval.
     """
-    every = shares.agg(F.sort_array(F.collect_list(F.col("tokens").cast("double"))).alias("ts"), F.sum("tokens").alias("all_tokens"))
-
-    def powers(exponent: Column) -> Column:
-        return F.transform("ps", lambda p: F.pow(p, exponent))
-
-    def total(values: Column) -> Column:
-        return F.aggregate(values, F.lit(0.0), lambda a, x: a + x)
-
-    def entropy(exponent: Column) -> Column:
-        # ln Z - (sum of x ln x) / Z, x the powers.
-        parts = F.aggregate(powers(exponent), F.struct(F.lit(0.0).alias("z"), F.lit(0.0).alias("e")),
-                            lambda a, x: F.struct((a["z"] + x).alias("z"), (a["e"] + x * F.log(x)).alias("e")),
-                            lambda a: F.log(a["z"]) - a["e"] / a["z"])
-        return parts
-
-    def repeats(exponent: Column) -> Column:
-        # The smallest source repeats most: p ** (a - 1) falls with p.
-        least = F.array_min("ps")
-        return F.pow(least, exponent - 1) * budget_share / total(powers(exponent))
-
-    frame = every.select("all_tokens", F.transform("ts", lambda t: t / F.col("all_tokens")).alias("ps"))
-
-    def bisected(frame: DataFrame, name: str, too_flat) -> DataFrame:
-        """The smallest exponent at which the weights are no longer too flat."""
-        state = F.aggregate(
-            F.sequence(F.lit(1), F.lit(STEPS)), F.struct(F.lit(0.0).alias("lo"), F.lit(1.0).alias("hi")),
-            lambda s, _: F.when(too_flat((s["lo"] + s["hi"]) / 2), F.struct(((s["lo"] + s["hi"]) / 2).alias("lo"), s["hi"].alias("hi")))
-            .otherwise(F.struct(s["lo"].alias("lo"), ((s["lo"] + s["hi"]) / 2).alias("hi"))), lambda s: s["hi"])
-        return frame.withColumn(name, F.when(too_flat(F.lit(0.0)), state).otherwise(F.lit(0.0)))
-
-    names = []
-    if target_entropy is not None:
-        frame = bisected(frame, "by_entropy", lambda a: entropy(a) > target_entropy * F.log(F.size("ps").cast("double")))
-        names.append("by_entropy")
-    if max_repeats is not None:
-        frame = bisected(frame, "by_repeats", lambda a: repeats(a) > max_repeats)
-        names.append("by_repeats")
-    exponent = F.greatest(F.lit(0.0), F.lit(0.0), *(F.col(n) for n in names))
-    one = frame.withColumn("exponent", exponent).select(
-        "exponent", F.col("all_tokens").alias("whole"), total(powers(F.col("exponent"))).alias("z")).first()
-    exponent, whole, z = (one[k] if one[k] is not None else 1.0 for k in ("exponent", "whole", "z"))
-    return shares.select("source", "tokens", F.lit(exponent).alias("exponent"),
-                         (F.pow(F.col("tokens") / F.lit(whole), F.lit(exponent)) / F.lit(z)).alias("weight"))
+    row = shares.agg(F.sum("tokens"), F.count("*"), F.min("tokens")).first()
+    whole, n, least = row[0] or 1, row[1], (row[2] or 1) / (row[0] or 1)
+    share = F.col("tokens") / F.lit(float(whole))
+
+    def fits(exponents: list[float]) -> list[bool]:
+        """Whether the weights of each exponent are within the limits."""
+        sums = shares.agg(*(F.sum(F.pow(share, F.lit(a))) for a in exponents),
+                          *(F.sum(F.pow(share, F.lit(a)) * F.log(share)) for a in exponents)).first()
+        out = []
+        for a, z, e in zip(exponents, sums[:len(exponents)], sums[len(exponents):]):
+            entropy, repeats = math.log(z) - a * e / z, least ** (a - 1) * budget_share / z
+            out.append((target_entropy is None or entropy <= target_entropy * math.log(n))
+                       and (max_repeats is None or repeats <= max_repeats))
+        return out
+
+    low = exponent = 0.0
+    if n and not fits([0.0])[0]:
+        exponent = 1.0
+        for _ in range(ROUNDS):
+            grid = [low + (exponent - low) * i / WAYS for i in range(1, WAYS)]
+            first = next((i for i, fit in enumerate(fits(grid)) if fit), len(grid))
+            low, exponent = ([low, *grid][first], [*grid, exponent][first])
+    z = shares.agg(F.sum(F.pow(share, F.lit(exponent)))).first()[0] or 1.0
+    return shares.select("source", "tokens", F.lit(exponent).alias("exponent"), (F.pow(share, F.lit(exponent)) / F.lit(z)).alias("weight"))
 
 
 def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
