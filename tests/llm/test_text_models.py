@@ -122,6 +122,38 @@ def test_junk_goes_and_prose_stays(spark, sf_dir):
     assert sum(junk) <= 0.1 * len(junk)
 
 
+def prose(pick, vocabulary, n):
+    """Words by Zipf's law."""
+    return " ".join(pick.choices(vocabulary, [1 / (i + 1) for i in range(len(vocabulary))], k=n))
+
+
+def vocabulary(pick, n=2000):
+    return ["".join(pick.choices("abcdefghijklmnopqrstuvwxyz", k=pick.randint(2, 8))) for _ in range(n)]
+
+
+@pytest.mark.parametrize("tiny", [[], [(900, "hello new world", None, "s", 1)], [(900, "abc " * 40 + "abc def" * 40, "xx", "s", 1)]], ids=["none", "null", "xx"])
+def test_tiny_tags_are_no_references(spark, tiny):
+    pick = random.Random(8)
+    words = vocabulary(pick)
+    rows = [(i, prose(pick, words, 200), "en", "s", 1) for i in range(80)]
+    # Nothing but a few of the common words, which the word rule is for; tagged like the rest, like the tiny tag, or not.
+    junk = [(100 + i, " ".join(pick.choices(words[20:40], k=300)), lang, "s", 1) for i, lang in enumerate(("en", "xx", None))]
+    got = {r.doc_id: r for r in quality.quality(documents(spark, rows + junk + tiny)).collect()}
+    assert all(got[r[0]].kept for r in rows)
+    assert not any(got[r[0]].base_failed or got[r[0]].kept for r in junk)
+
+
+def test_a_tag_without_common_words_judges_its_own(spark):
+    """A script without blanks has no list of common words; its documents go by their classes, others by other languages."""
+    pick = random.Random(9)
+    words = vocabulary(pick)
+    rows = [(i, prose(pick, words, 200), "en", "s", 1) for i in range(80)]
+    rows += [(200 + i, " ".join("".join(pick.choices("漢字仮名交文章語言学習", k=12)) for _ in range(150)), "ja", "s", 1) for i in range(80)]
+    junk = [(400, " ".join(pick.choices(words[20:40], k=300)), "ja", "s", 1)]
+    got = {r.doc_id: r for r in quality.quality(documents(spark, rows + junk)).collect()}
+    assert all(got[r[0]].kept for r in rows) and not got[400].kept
+
+
 def test_kept_documents_have_all_columns(spark):
     docs = documents(spark, corpus())
     left = quality.kept_documents(docs)
