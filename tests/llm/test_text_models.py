@@ -122,9 +122,9 @@ def test_junk_goes_and_prose_stays(spark, sf_dir):
     assert sum(junk) <= 0.1 * len(junk)
 
 
-def prose(pick, vocabulary, n):
+def prose(pick, vocabulary, n, weights=None):
     """Words by Zipf's law."""
-    return " ".join(pick.choices(vocabulary, [1 / (i + 1) for i in range(len(vocabulary))], k=n))
+    return " ".join(pick.choices(vocabulary, weights or [1 / (i + 1) for i in range(len(vocabulary))], k=n))
 
 
 def vocabulary(pick, n=2000):
@@ -154,6 +154,30 @@ def test_a_tag_without_common_words_judges_its_own(spark):
     assert all(got[r[0]].kept for r in rows) and not got[400].kept
 
 
+@pytest.mark.parametrize("lengths, weights", [
+    # The common words are 40 % of all, about as in real text; flatter ones tell longer texts only.
+    ((50, 65, 100, 300, 1000, 2000), [0.4 / 3.75 / (i + 2) for i in range(64)] + [0.6 / 1936] * 1936),
+    ((300, 1000, 2000), [1 / (i + 10) for i in range(2000)])], ids=["real", "flat"])
+def test_gibberish_goes_at_any_length_and_short_prose_stays(spark, lengths, weights):
+    pick = random.Random(10)
+    words = vocabulary(pick)
+    rows = [(i, prose(pick, words, n, weights), "en", "s", 1) for i, n in enumerate([200] * 160 + list(range(50, 110)))]
+    odd = [(1000 + i, " ".join("".join(pick.choices("abcdefghijklmnopqrstuvwxyz", k=pick.randint(5, 9))) for _ in range(n)), lang, "s", 1)
+           for i, (n, lang) in enumerate((n, lang) for n in lengths for lang in ("fr", None))]
+    # Lists of words without the common ones.
+    odd += [(2000 + n, " ".join(pick.choices(words[300:], k=n)), None, "s", 1) for n in lengths[::2]]
+    got = {r.doc_id: r for r in quality.quality(documents(spark, rows + odd)).where("NOT base_failed").collect()}
+    assert all(got[r[0]].kept for r in rows if r[0] in got) and sum(r[0] in got for r in rows) >= 215
+    assert all(r[0] in got and not got[r[0]].kept for r in odd)
+
+
+def test_expected_divergence_of_samples():
+    reference = np.array([.3, .05, .001, .649])
+    drawn = np.random.default_rng(4)
+    for n, expected in zip(quality.NOISE_AT, quality.sample_divergence(reference)):
+        assert (quality.distance(drawn.multinomial(n, reference, 4000), reference) ** 2).mean() == pytest.approx(expected, rel=0.06)
+
+
 def test_kept_documents_have_all_columns(spark):
     docs = documents(spark, corpus())
     left = quality.kept_documents(docs)
