@@ -54,7 +54,7 @@ def bit_planes(shifted: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]
                 words.append(plane)
                 dimension.append(d)
                 bit.append(b)
-    return np.array(words, np.uint64).reshape(len(words), -1), np.array(dimension, np.int64), np.array(bit, np.int64)
+    return np.array(words, np.uint64).reshape(len(words), len(padded) // 64), np.array(dimension, np.int64), np.array(bit, np.int64)
 
 
 def cross_products(shifted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
