@@ -3,14 +3,16 @@
 A text's k-grams of words are hashed, and of every ``span - gram + 1`` consecutive ones the least (of equal ones the last) is kept as a
 fingerprint. A span of ``span`` words that a document shares with an item holds exactly that many k-grams, so both keep the same one at the
 same place of it: no shared span is missed. The documents' fingerprints are joined with the items', and each hit is extended
-word by word to both sides, on the words themselves; with ``span`` words or more in agreement, all of them are hit.
+word by word to both sides; with ``span`` words or more in agreement, all of them are hit. Words are compared by 64-bit hashes, so a
+false window of ten words takes an agreement on 192 bits, and one of an item of eight words or fewer on 64.
 
 An item of fewer words than ``span`` is a window as a whole: its length is a level of its own, with k-grams no longer than the
 item, and documents are fingerprinted once for each level that the benchmark holds (at most ``span``).
 
-What is moved: documents send nothing but fingerprints (hash, place and the text's digest) to the join, and the texts are read a second time
-beside the few hits. Equal texts share one digest, so their hits are found and extended once; documents with the same set of contexts
-share one list of items, so a passage in many items and many documents isn't written out for each pair. An item that shares a context
+Texts are read once and never moved: a document sends its number of words and the fingerprints that a bitmap of the items'
+hashes lets through. The bitmap has the same size for every benchmark; a larger benchmark lets more chance hashes pass to the join, where they end. Equal texts
+share one digest, so their hits are extended once, and documents with the same set of contexts share
+one list of items, so a passage in many items and many documents isn't written out for each pair. An item that shares a context
 with others is a row beside it, never an entry of a list that all must carry.
 
 Defined cases: a null or wordless text has no words, no hits and the digest of an empty list; a null or wordless item is no item; rows that repeat a doc_id are rows
@@ -20,7 +22,7 @@ no documents give no rows, no items give clean rows; other columns are ignored.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -29,6 +31,8 @@ from meterglass.llm.common import register, stored, table
 
 #: Words of a window, and of the k-grams that are hashed.
 SPAN, GRAM = 10, 8
+#: 64-bit words of the bitmap, a power of two: two megabytes.
+BITMAP_WORDS = 1 << 18
 #: All that stands between words before A-Z are lower-cased: words are letters and digits of ASCII, and everything beyond it.
 BETWEEN = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -43,17 +47,15 @@ def words_in(text: Column) -> Column:
     return F.array_remove(F.split(F.coalesce(text.cast("string"), F.lit("")), BETWEEN), "")
 
 
-def exact(words: Column) -> Column:
-    return F.transform(words, lambda w: F.translate(w, UPPER, UPPER.lower()))
+def word_hashes(words: Column) -> Column:
+    return F.transform(words, lambda w: F.xxhash64(F.translate(w, UPPER, UPPER.lower())))
 
 
-def gram_hashes(words: Column, gram: int) -> Column:
-    """Hash of the k-gram at each word. Case is folded in the way that is cheapest; words that agree in A-Z folded agree in this as well."""
-    def grams(hashes: Column) -> Column:
-        places = F.sequence(F.lit(0), F.size(hashes) - gram)
-        rolled = F.transform(places, lambda i: F.xxhash64(*(F.get(hashes, i + j) for j in range(gram))))
-        return F.when(F.size(hashes) >= gram, rolled).otherwise(F.array().cast("array<bigint>"))
-    return let(F.transform(words, lambda w: F.xxhash64(F.lower(w))), grams)
+def gram_hashes(hashes: Column, gram: int) -> Column:
+    """Hash of the k-gram at each word."""
+    places = F.sequence(F.lit(0), F.size(hashes) - gram)
+    rolled = F.transform(places, lambda i: F.xxhash64(*(F.get(hashes, i + j) for j in range(gram))))
+    return F.when(F.size(hashes) >= gram, rolled).otherwise(F.array().cast("array<bigint>"))
 
 
 def least_places(hashes: Column, window: int) -> Column:
@@ -72,80 +74,83 @@ def least_places(hashes: Column, window: int) -> Column:
     return F.when(F.size(hashes) >= window, F.array_distinct(F.transform(starts, least))).otherwise(F.array().cast("array<int>"))
 
 
-def level_gram(level: int, gram: int) -> int:
-    return min(level, gram)
+def fingerprints(hashes: Column, level: int, gram: int, margin: int) -> Column:
+    """(level, at, hash, before, after) of a text at one level: spans of ``level`` words are guaranteed to be met.
 
+    ``before``, ``after``: hashes of the words beside the k-gram, the nearest first, null where the text ends.
+    """
+    k = min(level, gram)
 
-def fingerprints(words: Column, level: int, gram: int) -> Column:
-    """(level, at, hash) of a text at one level: spans of ``level`` words are guaranteed to be met."""
-    k = level_gram(level, gram)
-    return let(gram_hashes(words, k), lambda hashes: let(least_places(hashes, level - k + 1), lambda places: F.transform(
-        places, lambda p: F.struct(F.lit(level).alias("level"), p.alias("at"), F.get(hashes, p).alias("hash")))))
+    def marked(grams: Column) -> Column:
+        return F.transform(least_places(grams, level - k + 1), lambda p: F.struct(
+            F.lit(level).alias("level"), p.alias("at"), F.get(grams, p).alias("hash"),
+            beside(F.get(hashes, p - i) for i in range(1, margin + 1)).alias("before"),
+            beside(F.get(hashes, p + (k - 1 + i)) for i in range(1, margin + 1)).alias("after")))
+    return let(gram_hashes(hashes, k), marked)
 
 
-def contexts(words: Column, found: Column, gram: int, margin: int) -> Column:
-    """For each fingerprint its k-gram's words and up to ``margin`` words on each side."""
-    def context(f: Column) -> Column:
-        k = F.least(f["level"], F.lit(gram))
-        before = F.least(f["at"], F.lit(margin))
-        return F.struct(f["level"].alias("level"), f["at"].alias("at"), f["hash"].alias("hash"),
-                        exact(F.slice(words, f["at"] - before + 1, before)).alias("before"),
-                        exact(F.slice(words, f["at"] + 1, k)).alias("gram"),
-                        exact(F.slice(words, f["at"] + k + 1, margin)).alias("after"))
-    return F.transform(found, context)
+def beside(hashes: Iterable[Column]) -> Column:
+    return F.array(*hashes).cast("array<bigint>")
 
 
-def agreeing(mine: str, other: str, margin: int, step: int) -> Column:
-    """How many words agree in a row, from the k-gram outwards; step: 1 forwards, -1 backwards."""
+def agreeing(mine: str, other: str, margin: int) -> Column:
+    """How many words agree in a row, from the k-gram outwards."""
     run, all_so_far = F.lit(0), F.lit(True)
-    for i in range(1, margin + 1):
-        place = F.lit(step * i)
-        all_so_far = all_so_far & F.coalesce(F.try_element_at(F.col(mine), place) == F.try_element_at(F.col(other), place), F.lit(False))
+    for i in range(margin):
+        all_so_far = all_so_far & F.coalesce(F.get(mine, F.lit(i)) == F.get(other, F.lit(i)), F.lit(False))
         run = run + all_so_far.cast("int")
     return run
 
 
+def word_of_bitmap(hashed: Column) -> Column:
+    return F.shiftrightunsigned(hashed, 64 - BITMAP_WORDS.bit_length() + 1).cast("int")
+
+
+def bitmap(hashes: DataFrame) -> DataFrame:
+    """One row with a list of BITMAP_WORDS integers, whose bits are set where a hash of the column ``hash`` falls."""
+    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.col("hash").bitwiseAND(63).cast("int"))
+    some = hashes.select(word_of_bitmap(F.col("hash")).alias("word"), bit.alias("bits")).groupBy("word").agg(F.bit_or("bits").alias("bits"))
+    every = hashes.sparkSession.range(BITMAP_WORDS).select(F.col("id").cast("int").alias("word"))
+    dense = every.join(some, "word", "left").select("word", F.coalesce("bits", F.lit(0)).alias("bits"))
+    return dense.agg(F.transform(F.array_sort(F.collect_list(F.struct("word", "bits"))), lambda x: x["bits"]).alias("bitmap"))
+
+
 def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id",
                   item_text_col: str = "text", span: int = SPAN, gram: int = GRAM) -> tuple[DataFrame, DataFrame]:
     """(rows, spans): rows (doc_id, n_words, n_hit, n_items, items_sha256, contaminated, text_sha256) of all documents, and the hit spans
     (text_sha256, start, end, context) of their distinct texts, in words; spans of one text may overlap."""
     margin = max(span - gram, 0)
-    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    digest = F.unhex(F.sha2(text, 256))
-
     items = benchmark.select(F.col(item_col).cast("string").alias("item"), words_in(F.col(item_text_col)).alias("words"))
     items = items.where(F.size("words") > 0).withColumn("level", F.least(F.size("words"), F.lit(span)))
     # At most ``span`` values.
     levels = sorted({span, *(r[0] for r in items.select("level").distinct().collect())})
 
     def at_levels(words: Column) -> Column:
-        return F.concat(*(fingerprints(words, level, gram) for level in levels))
+        return let(word_hashes(words), lambda hashes: F.concat(*(fingerprints(hashes, level, gram, margin) for level in levels)))
 
-    kept = items.select("item", "words", F.filter(at_levels(F.col("words")), lambda f: f["level"] == F.col("level")).alias("found"))
-    kept = kept.select("item", F.explode(contexts(F.col("words"), F.col("found"), gram, margin)).alias("c"))
-    place = F.sha2(F.to_json(F.struct("c.level", "c.before", "c.gram", "c.after")), 256)
-    members = stored(kept.select("item", place.alias("context"), "c.level", "c.hash", F.col("c.before").alias("i_before"),
-                                 F.col("c.gram").alias("i_gram"), F.col("c.after").alias("i_after")).distinct(), "items")
+    kept = items.select("item", F.explode(F.filter(at_levels(F.col("words")), lambda f: f["level"] == F.col("level"))).alias("f"))
+    kept = kept.select("item", "f.level", "f.hash", F.col("f.before").alias("i_before"), F.col("f.after").alias("i_after"))
+    members = stored(kept.withColumn("context", F.xxhash64("level", "hash", "i_before", "i_after")).distinct(), "items")
     known = members.drop("item").distinct()
+    let_through = stored(bitmap(known), "bitmap")
 
-    # First reading: only digests, places and hashes leave the texts.
-    sent = docs.select(digest.alias("sha"), words_in(F.col(text_col)).alias("words"))
-    sent = sent.select("sha", F.explode(at_levels(F.col("words"))).alias("f")).select("sha", "f.level", "f.at", "f.hash")
-    hits = sent.join(known.select("level", "hash").distinct(), ["level", "hash"], "left_semi").distinct()
-    # A text's fingerprints are fewer than its words.
-    hits = stored(hits.groupBy("sha").agg(F.collect_list(F.struct("level", "at", "hash")).alias("found")), "hits")
-
-    # Second reading: words are counted, and the words around hits kept.
-    read = docs.select(F.col(id_col).alias("doc_id"), digest.alias("sha"), words_in(F.col(text_col)).alias("words"))
-    read = read.join(hits, "sha", "left").select(
-        "doc_id", "sha", F.size("words").cast("long").alias("n_words"),
-        F.when(F.col("found").isNotNull(), contexts(F.col("words"), F.col("found"), gram, margin)).alias("around"))
-    read = stored(read, "read")
-
-    around = read.where(F.col("around").isNotNull()).select("sha", F.explode("around").alias("c")).select("sha", "c.*").distinct()
-    met = around.join(known, (around["level"] == known["level"]) & (around["hash"] == known["hash"]) & (around["gram"] == known["i_gram"]))
-    left, right = agreeing("before", "i_before", margin, -1), agreeing("after", "i_after", margin, 1)
-    met = met.select("sha", "context", around["level"], (F.col("at") - left).alias("start"), (F.col("at") + F.size("gram") + right).alias("end"))
+    # The only reading of the texts: a row of level 0 for each document, its place the number of words, and the fingerprints let through.
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    none = F.lit(None)
+    own = F.struct(F.lit(0).alias("level"), F.size("words").alias("at"), none.cast("long").alias("hash"),
+                   none.cast("array<bigint>").alias("before"), none.cast("array<bigint>").alias("after"))
+    sent = docs.select(F.col(id_col).alias("doc_id"), F.unhex(F.sha2(text, 256)).alias("sha"), words_in(F.col(text_col)).alias("words"))
+    sent = sent.select("doc_id", "sha", F.concat(F.array(own), at_levels(F.col("words"))).alias("found"))
+    sent = sent.select("doc_id", "sha", F.explode("found").alias("f")).select("doc_id", "sha", "f.*")
+    bits = F.get(let_through.select("bitmap").scalar(), word_of_bitmap(F.col("hash")))
+    passed = F.call_function("shiftright", bits, F.col("hash").bitwiseAND(63).cast("int")).bitwiseAND(1) == 1
+    sent = stored(sent.where((F.col("level") == 0) | passed), "sent")
+
+    around = sent.where(F.col("level") > 0).drop("doc_id").distinct()
+    k = F.least("level", F.lit(gram))
+    left, right = agreeing("before", "i_before", margin), agreeing("after", "i_after", margin)
+    met = around.join(known, ["level", "hash"]).select("sha", "context", "level", (F.col("at") - left).alias("start"),
+                                                       (F.col("at") + k + right).alias("end"))
     spans = stored(met.where(F.col("end") - F.col("start") >= F.col("level")).select("sha", "start", "end", "context"), "spans")
 
     # Words under spans: what each adds to those before it.
@@ -155,14 +160,15 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
 
     # Items: by distinct sets of contexts. A set is no longer than its text.
     sets = spans.groupBy("sha").agg(F.array_sort(F.collect_set("context")).alias("contexts"))
-    sets = sets.withColumn("set", F.sha2(F.concat_ws(",", "contexts"), 256))
+    sets = sets.withColumn("set", F.sha2(F.concat_ws(",", F.transform("contexts", lambda c: c.cast("string"))), 256))
     listed = sets.dropDuplicates(["set"]).select("set", F.explode("contexts").alias("context"))
     listed = listed.join(members.where(F.col("item").isNotNull()).select("context", "item"), "context").select("set", "item").distinct()
     listed = listed.groupBy("set").agg(F.count("*").alias("n_items"), F.sha2(
         F.array_join(F.array_sort(F.collect_list("item")), ","), 256).alias("items_sha256"))
-    found = n_hit.join(sets.select("sha", "set"), "sha").join(listed, "set", "left").drop("set")
+    found = stored(n_hit.join(sets.select("sha", "set"), "sha").join(listed, "set", "left").drop("set"), "found")
 
-    rows = read.select("doc_id", "sha", "n_words").join(found, "sha", "left").select(
+    rows = sent.where(F.col("level") == 0).select("doc_id", "sha", F.col("at").cast("long").alias("n_words"))
+    rows = rows.join(found, "sha", "left").select(
         "doc_id", "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"), F.coalesce("n_items", F.lit(0)).cast("long").alias("n_items"),
         F.coalesce("items_sha256", F.sha2(F.lit(""), 256)).alias("items_sha256"), F.col("n_hit").isNotNull().alias("contaminated"),
         F.lower(F.hex("sha")).alias("text_sha256"))
