@@ -7,6 +7,7 @@ far is the row's cycle. Cycles of no length therefore get no usage of their own.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import date
 
 from pyspark.sql import Column, DataFrame
@@ -39,10 +40,11 @@ def _ordered(*frame: int) -> W:
     return window.rowsBetween(*frame) if frame else window
 
 
-def _rows(events: DataFrame) -> DataFrame:
-    """Boundaries and usage, each event once."""
+def _rows(events: DataFrame, seen: DataFrame | None) -> DataFrame:
+    """Boundaries and usage, each event once; events whose id was seen on an earlier day are copies."""
     kind = F.col("eventType")
-    return (dedup.one_per_event(events)
+    once = dedup.one_per_event(events if seen is None else events.join(seen, "event_id", "left_anti"))
+    return (once
             # Usage without a user belongs to nobody's cycle.
             .where(kind.isin(*domain.BOUNDARIES) | (F.col("is_use") & F.col("userId").isNotNull()))
             .withColumn("used", F.when(F.col("is_use"), F.abs("eggToken"))))
@@ -53,15 +55,22 @@ def _instant(boundary: str) -> str:
     return f"last_{boundary}"
 
 
-def _with_instants(rows: DataFrame, cuts: DataFrame | None) -> DataFrame:
+def _with_instants(rows: DataFrame, cuts: DataFrame | None, entering: DataFrame | None) -> DataFrame:
     """The last instant of each kind of boundary before the run, as a cut may part rows of one instant."""
     names = {_instant(b): b for b in domain.BOUNDARIES}
+    if entering is not None:
+        state = entering.select(F.col("userId").alias("__key"), *names)
+        rows = rows.join(state, F.col("userId").eqNullSafe(F.col("__key")), "left").drop("__key")
+    else:
+        rows = rows.withColumns({n: F.lit(None).cast(rows.schema["eventTimeStamp"].dataType) for n in names})
     if cuts is None:
-        return rows.withColumns({n: F.lit(None).cast(rows.schema["eventTimeStamp"].dataType) for n in names})
+        return rows
     ends = rows.where(LONG).groupBy("userId", RUN).agg(*[
         F.max(F.when(F.col("eventType") == b, F.col("eventTimeStamp"))).alias(n) for n, b in names.items()])
     before = splitting.runs_of("userId").rowsBetween(W.unboundedPreceding, -1)
-    return splitting.with_carry(rows, ends.select("userId", RUN, *[F.max(n).over(before).alias(n) for n in names]), "userId")
+    ends = ends.select("userId", RUN, *[F.max(n).over(before).alias(f"__{n}") for n in names])
+    carried = splitting.with_carry(rows, ends, "userId")
+    return carried.withColumns({n: F.coalesce(f"__{n}", n) for n in names}).drop(*(f"__{n}" for n in names))
 
 
 def _marked(rows: DataFrame) -> DataFrame:
@@ -91,13 +100,18 @@ def _marked(rows: DataFrame) -> DataFrame:
                        starts.over(up_to_here).alias("starts"))
 
 
-def _carried(marked: DataFrame) -> DataFrame:
-    """What enters each run of a long user from the runs around it."""
+def _carried(marked: DataFrame, entering: DataFrame | None) -> DataFrame:
+    """What enters each run of a long user from the runs around it, and from the days before."""
     order = F.struct(*_ORDER)
     ends = marked.groupBy("userId", RUN).agg(
         F.max_by("grant", order).alias("grant"), F.max_by("cur", order).alias("last"),
         F.min_by("mark", F.when(F.col("kept"), order)).alias("first"),
         F.max("run_used").alias("used"), F.max("run_seen").alias("seen"), F.max("starts").alias("starts"))
+    if entering is not None:
+        # The days before are a run before all others.
+        entered = entering.select("userId", F.lit(-1).cast("bigint").alias(RUN), "grant", "used", "seen", "starts",
+                                  _settled("cur", F.col("cur.quota"), F.lit(0), F.lit(0)).alias("entered"))
+        ends = ends.unionByName(entered, allowMissingColumns=True)
     runs = splitting.runs_of("userId")
     before = runs.rowsBetween(W.unboundedPreceding, -1)
 
@@ -108,17 +122,31 @@ def _carried(marked: DataFrame) -> DataFrame:
                        total("seen").alias("seen_0"), total("starts").alias("c_starts"),
                        F.expr(f"lead(first) IGNORE NULLS OVER (PARTITION BY userId ORDER BY {RUN})").alias("c_next"))
     # The last boundary of a run, with its quota settled and the user's running totals at it.
-    settled = F.when(F.col("last").isNotNull(), F.struct(
-        "last.ts", "last.kind", "last.subscriptionId", "last.packageId",
-        _quota("last", F.col("c_grant")).alias("quota"),
-        (F.col("used_0") + F.col("last.run_used")).alias("used"),
-        (F.col("seen_0") + F.col("last.run_seen")).alias("seen")))
-    ends = ends.withColumn("settled", settled).withColumn("c_cur", F.last("settled", True).over(before))
+    settled = _settled("last", _quota("last", F.col("c_grant")), F.col("used_0") + F.col("last.run_used"),
+                       F.col("seen_0") + F.col("last.run_seen"))
+    ends = ends.withColumn("settled", settled if entering is None else F.coalesce("entered", settled)).withColumn("c_cur", F.last("settled", True).over(before))
     return ends.select("userId", RUN, "c_grant", "c_starts", "c_next", "c_cur",
                        (F.col("used_0") - F.col("c_cur.used")).alias("c_used"),
                        (F.col("seen_0") - F.col("c_cur.seen")).alias("c_seen"))
 
 
+def _settled(mark: str, quota: Column, used: Column, seen: Column) -> Column:
+    """A boundary with its quota, and the user's running totals at it."""
+    return F.when(F.col(mark).isNotNull(), F.struct(
+        f"{mark}.ts", f"{mark}.kind", f"{mark}.subscriptionId", f"{mark}.packageId", quota.alias("quota"),
+        used.cast("bigint").alias("used"), seen.cast("bigint").alias("seen")))
+
+
+def _entering_carry(entering: DataFrame, cuts: DataFrame | None) -> DataFrame:
+    """What enters the only run of all other users from the days before."""
+    if cuts is not None:
+        entering = entering.join(cuts, F.col("userId").eqNullSafe(F.col("__key")), "left_anti")
+    return entering.select("userId", F.lit(0).cast("bigint").alias(RUN), F.col("grant").alias("c_grant"),
+                           F.col("starts").alias("c_starts"),
+                           _settled("cur", F.col("cur.quota"), F.lit(0), F.lit(0)).alias("c_cur"),
+                           F.col("used").alias("c_used"), F.col("seen").alias("c_seen"))
+
+
 def _quota(mark: str, carried_grant: Column) -> Column:
     """A purchase brings its own quota; a reset repeats the last grant."""
     own = F.col(f"{mark}.kind") == domain.SUBSCRIBE
@@ -128,13 +156,25 @@ def _quota(mark: str, carried_grant: Column) -> Column:
 def cycle_rows(events: DataFrame, users: DataFrame, *, start_date: date, as_of: date,
                rows_per_run: int = splitting.ROWS_PER_RUN) -> DataFrame:
     """Boundaries and usage, each with its cycle: start, kind, quota, use so far, next boundary."""
-    events = window_events(events, start_date, as_of).select(*EVENT_COLUMNS).withColumn("is_use", is_usage())
+    return rows_in_cycles(window_events(events, start_date, as_of), lambda rows: tables.without_banned(rows, users), rows_per_run)
+
+
+def rows_in_cycles(events: DataFrame, chosen: Callable[[DataFrame], DataFrame], rows_per_run: int,
+                   entering: DataFrame | None = None, seen: DataFrame | None = None) -> DataFrame:
+    """As ``cycle_rows``, for events of some days after those that ``entering`` sums up.
+
+    ``entering``: one row per user (``cycle_state.STATE``); ``seen``: ids of events before these days.
+    """
+    events = events.select(*EVENT_COLUMNS).withColumn("is_use", is_usage())
     cuts = splitting.long_keys(events, "userId", _ORDER, rows_per_run)
-    events = splitting.with_runs(tables.without_banned(events, users), cuts, "userId", _ORDER)
-    ordered = _with_instants(_rows(events), cuts)
+    events = splitting.with_runs(chosen(events), cuts, "userId", _ORDER)
+    ordered = _with_instants(_rows(events, seen), cuts, entering)
     marked = _marked(ordered)
-    # Without a long user nothing is carried, and one pass over the events is all.
-    carried = _carried(_marked(ordered.where(LONG)) if cuts is not None else marked.where(F.lit(False)))
+    # Without a long user nothing is carried inside the days, and one pass over the events is all.
+    carried = _carried(_marked(ordered.where(LONG)) if cuts is not None else marked.where(F.lit(False)),
+                       entering if cuts is not None else None)
+    if entering is not None:
+        carried = carried.unionByName(_entering_carry(entering, cuts), allowMissingColumns=True)
     rows = splitting.with_carry(marked, carried, "userId")
     # Inside the run the boundary is known; before the run's first one it is the carried one.
     here = F.col("cur").isNotNull()
@@ -180,7 +220,7 @@ def token_cycles(events: DataFrame, packages: DataFrame, users: DataFrame, *, st
                  rows_per_run: int = splitting.ROWS_PER_RUN) -> DataFrame:
     """One row per user and cycle."""
     rows = cycle_rows(events, users, start_date=start_date, as_of=as_of, rows_per_run=rows_per_run)
-    return _finish(rows, tables.b2c_packages(packages, "packageName").distinct())
+    return measured(shared_start(_cycle_sums(rows)), tables.b2c_packages(packages, "packageName").distinct())
 
 
 def _next() -> Column:
@@ -210,19 +250,20 @@ def _cycle_sums(rows: DataFrame) -> DataFrame:
         F.min(F.when(F.col("is_use") & reached, F.col("eventTimeStamp"))).alias("exhaust_ts"))
 
 
-def _finish(rows: DataFrame, packages: DataFrame) -> DataFrame:
-    """Cycles with their measures.
-
-    A purchase and a reset of the same instant are two cycles with one start; both
-    show the usage found there.
-    """
+def shared_start(sums: DataFrame) -> DataFrame:
+    """A purchase and a reset of the same instant are two cycles with one start; both show the usage found there."""
     same_start = W.partitionBy("userId", "cycle_start_ts")
-    cycles = _cycle_sums(rows).withColumns({
+    return sums.withColumns({
         "consumed": F.coalesce(F.sum("consumed").over(same_start), F.lit(0)),
         "usage_event_cnt": F.sum("usage_event_cnt").over(same_start),
         "serving_cost_thb": F.coalesce(F.sum("cost").over(same_start), F.lit(0)).cast(domain.MONEY_SUM),
         "exhaust_ts": F.min("exhaust_ts").over(same_start),
-    }).join(packages, "packageId", "left")
+    })
+
+
+def measured(cycles: DataFrame, packages: DataFrame) -> DataFrame:
+    """Cycles with names and measures."""
+    cycles = cycles.join(packages, "packageId", "left")
     next_kind, quota, consumed = F.col("next_kind"), F.col("quota"), F.col("consumed")
     end_type = (F.when(next_kind == domain.SUBSCRIBE, "repurchase")
                 .when(next_kind == domain.MONTHLY_RESET, "monthly_reset")
