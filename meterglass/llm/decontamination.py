@@ -22,7 +22,7 @@ no documents give no rows, no items give clean rows; other columns are ignored.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -59,7 +59,7 @@ def gram_hashes(hashes: Column, gram: int) -> Column:
 
 
 def least_places(hashes: Column, window: int) -> Column:
-    """Places of the last least hash of every run of ``window`` hashes."""
+    """The place of the last least hash of every run of ``window`` hashes; runs that share it repeat it."""
     def least(start: Column) -> Column:
         at = [F.get(hashes, start + j) for j in range(window)]
         place = start
@@ -71,26 +71,49 @@ def least_places(hashes: Column, window: int) -> Column:
             place = F.when(last, start + j).otherwise(place)
         return place
     starts = F.sequence(F.lit(0), F.size(hashes) - window)
-    return F.when(F.size(hashes) >= window, F.array_distinct(F.transform(starts, least))).otherwise(F.array().cast("array<int>"))
+    return F.when(F.size(hashes) >= window, F.transform(starts, least)).otherwise(F.array().cast("array<int>"))
 
 
-def fingerprints(hashes: Column, level: int, gram: int, margin: int) -> Column:
-    """(level, at, hash, before, after) of a text at one level: spans of ``level`` words are guaranteed to be met.
+def marked(words: Column, levels: Sequence[int], gram: int) -> Column:
+    """(hashes, grams, marks) of a text: the words' hashes, the k-grams' hashes for each level, and the fingerprints.
 
-    ``before``, ``after``: hashes of the words beside the k-gram, the nearest first, null where the text ends.
+    A mark is -1 for the text itself and place * levels + number of the level for a fingerprint: spans of as many words as the level
+    says are guaranteed to be met.
     """
-    k = min(level, gram)
+    def numbered(grams: Column, i: int) -> Column:
+        places = let(F.get(grams, F.lit(i)), lambda own: least_places(own, levels[i] - min(levels[i], gram) + 1))
+        return places if len(levels) == 1 else F.transform(places, lambda p: p * len(levels) + i)
 
-    def marked(grams: Column) -> Column:
-        return F.transform(least_places(grams, level - k + 1), lambda p: F.struct(
-            F.lit(level).alias("level"), p.alias("at"), F.get(grams, p).alias("hash"),
-            beside(F.get(hashes, p - i) for i in range(1, margin + 1)).alias("before"),
-            beside(F.get(hashes, p + (k - 1 + i)) for i in range(1, margin + 1)).alias("after")))
-    return let(gram_hashes(hashes, k), marked)
+    def picked(hashes: Column, grams: Column) -> Column:
+        marks = F.concat(F.array(F.lit(-1)), *(numbered(grams, i) for i in range(len(levels))))
+        return F.struct(hashes.alias("hashes"), grams.alias("grams"), marks.alias("marks"))
+    return let(word_hashes(words), lambda hashes: let(
+        F.array(*(gram_hashes(hashes, min(level, gram)) for level in levels)), lambda grams: picked(hashes, grams)))
 
 
-def beside(hashes: Iterable[Column]) -> Column:
-    return F.array(*hashes).cast("array<bigint>")
+def fingerprints(texts: DataFrame, levels: Sequence[int], gram: int, margin: int, chosen: Callable[[Column], Column]) -> DataFrame:
+    """The columns besides ``words`` with (level, at, hash, before, after) of each fingerprint whose hash is chosen.
+
+    ``before``, ``after``: hashes of the words beside the k-gram, the nearest first, null where the text ends. A row of level 0 stands for the
+    text itself, its place is the number of words. Lists are built once for a text; from there on only plain columns
+    are read, so that fingerprints that aren't chosen cost no more than a look at the bitmap.
+    """
+    keys = [c for c in texts.columns if c != "words"]
+    rows = texts.select(*keys, marked(F.col("words"), levels, gram).alias("m"))
+    rows = rows.select(*keys, "m.hashes", "m.grams", F.explode("m.marks").alias("mark"))
+    number = F.pmod("mark", F.lit(len(levels))).cast("int")
+    own = F.col("mark") < 0
+    place = F.expr(f"mark div {len(levels)}").cast("int")
+    rows = rows.withColumns({"level": F.when(own, 0).otherwise(F.get(F.array(*map(F.lit, levels)), number)),
+                             "at": F.when(own, F.size("hashes")).otherwise(place),
+                             "hash": F.when(~own, F.get(F.get("grams", number), place))})
+    rows = rows.where(own | chosen(F.col("hash")))
+    end = F.col("at") + F.least("level", F.lit(gram))
+
+    def beside(places: Iterable[Column]) -> Column:
+        return F.when(~own, F.array(*(F.get("hashes", p) for p in places)).cast("array<bigint>"))
+    return rows.select(*keys, "level", "at", "hash", beside(F.col("at") - i for i in range(1, margin + 1)).alias("before"),
+                       beside(end + i for i in range(margin)).alias("after"))
 
 
 def agreeing(mine: str, other: str, margin: int) -> Column:
@@ -125,26 +148,20 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     # At most ``span`` values.
     levels = sorted({span, *(r[0] for r in items.select("level").distinct().collect())})
 
-    def at_levels(words: Column) -> Column:
-        return let(word_hashes(words), lambda hashes: F.concat(*(fingerprints(hashes, level, gram, margin) for level in levels)))
-
-    kept = items.select("item", F.explode(F.filter(at_levels(F.col("words")), lambda f: f["level"] == F.col("level"))).alias("f"))
-    kept = kept.select("item", "f.level", "f.hash", F.col("f.before").alias("i_before"), F.col("f.after").alias("i_after"))
+    kept = fingerprints(items.withColumnRenamed("level", "own"), levels, gram, margin, lambda _: F.col("level") == F.col("own"))
+    kept = kept.where(F.col("level") > 0).select("item", "level", "hash", F.col("before").alias("i_before"), F.col("after").alias("i_after"))
     members = stored(kept.withColumn("context", F.xxhash64("level", "hash", "i_before", "i_after")).distinct(), "items")
     known = members.drop("item").distinct()
     let_through = stored(bitmap(known), "bitmap")
 
-    # The only reading of the texts: a row of level 0 for each document, its place the number of words, and the fingerprints let through.
+    # The only reading of the texts.
+    def passed(hashed: Column) -> Column:
+        bits = F.get(let_through.select("bitmap").scalar(), word_of_bitmap(hashed))
+        return F.call_function("shiftright", bits, hashed.bitwiseAND(63).cast("int")).bitwiseAND(1) == 1
+
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    none = F.lit(None)
-    own = F.struct(F.lit(0).alias("level"), F.size("words").alias("at"), none.cast("long").alias("hash"),
-                   none.cast("array<bigint>").alias("before"), none.cast("array<bigint>").alias("after"))
     sent = docs.select(F.col(id_col).alias("doc_id"), F.unhex(F.sha2(text, 256)).alias("sha"), words_in(F.col(text_col)).alias("words"))
-    sent = sent.select("doc_id", "sha", F.concat(F.array(own), at_levels(F.col("words"))).alias("found"))
-    sent = sent.select("doc_id", "sha", F.explode("found").alias("f")).select("doc_id", "sha", "f.*")
-    bits = F.get(let_through.select("bitmap").scalar(), word_of_bitmap(F.col("hash")))
-    passed = F.call_function("shiftright", bits, F.col("hash").bitwiseAND(63).cast("int")).bitwiseAND(1) == 1
-    sent = stored(sent.where((F.col("level") == 0) | passed), "sent")
+    sent = stored(fingerprints(sent, levels, gram, margin, passed), "sent")
 
     around = sent.where(F.col("level") > 0).drop("doc_id").distinct()
     k = F.least("level", F.lit(gram))
