@@ -76,6 +76,19 @@ def summary_fact(b2c_events: DataFrame, b2b_events: DataFrame, b2c_packages: Dat
             .select("version", *EVENT_COLUMNS, "packageName", "priceThb", "is_trial", "has_company_mapping"))
 
 
+MOMENT = ("eventTimeStamp", "event_id")
+DAY_KEYS = ("date_id", "packageId", "userId")
+MEASURES = ("usage_events", "tokens", "cost", "resets", "others")
+
+
+def _usage_measures() -> list[Column]:
+    return [F.count_if(is_usage()).alias("usage_events"),
+            F.sum(F.when(is_usage(), F.abs("eggToken")).otherwise(0)).alias("tokens"),
+            F.sum(F.when(is_usage(), F.col("totalCostThb")).otherwise(0)).cast(domain.MONEY_SUM).alias("cost"),
+            F.count_if(F.col("eventType") == domain.MONTHLY_RESET).alias("resets"),
+            F.count(F.lit(1)).alias("others")]
+
+
 def _user_days(b2c_events: DataFrame, b2b_events: DataFrame, b2c_users: DataFrame) -> DataFrame:
     """Counts per (segment, day, package, user), from one read of the events.
 
@@ -85,32 +98,29 @@ def _user_days(b2c_events: DataFrame, b2b_events: DataFrame, b2c_users: DataFram
     by one, as a banned user's row must not win its subscription. The winner of a
     subscription is a minimum, so the group of missing subscription ids is folded in the map tasks.
     """
-    keys = ("date_id", "packageId", "userId")
-    moment = ("eventTimeStamp", "event_id")
-    life = F.col("eventType").isin(*domain.LIFECYCLE)
-    events = segment_events(b2c_events, b2b_events, "event_id", "date_id", "userId", "eventType",
-                            "subscriptionId", "eventTimeStamp", "eggToken", "totalCostThb", "packageId")
-    folded = (events.where(F.col("eventType").isNotNull())
-              .groupBy("version", *keys, F.when(life, F.col("eventType")).alias("kind"),
-                       *[F.when(life, F.col(c)).alias(c) for c in ("subscriptionId", *moment)])
-              .agg(F.count_if(is_usage()).alias("usage_events"),
-                   F.sum(F.when(is_usage(), F.abs("eggToken")).otherwise(0)).alias("tokens"),
-                   F.sum(F.when(is_usage(), F.col("totalCostThb")).otherwise(0)).alias("cost"),
-                   F.count_if(F.col("eventType") == domain.MONTHLY_RESET).alias("resets"),
-                   F.count(F.lit(1)).alias("others")))
     plain = F.col("kind").isNull()
-    measures = ("usage_events", "tokens", "cost", "resets", "others")
     # Plain rows are grouped by their own keys, lifecycle rows by their subscription.
-    rows = without_banned_b2c(folded, b2c_users).groupBy(
-        "version", "kind", "subscriptionId", *[F.when(plain, F.col(k)).alias(f"own_{k}") for k in keys]).agg(
-        F.min(F.when(~plain, F.struct(*moment, *keys))).alias("first"),
-        *[F.sum(F.when(plain, F.col(m))).alias(m) for m in measures])
+    rows = without_banned_b2c(folded_events(b2c_events, b2b_events), b2c_users).groupBy(
+        "version", "kind", "subscriptionId", *[F.when(plain, F.col(k)).alias(f"own_{k}") for k in DAY_KEYS]).agg(
+        F.min(F.when(~plain, F.struct(*MOMENT, *DAY_KEYS))).alias("first"),
+        *[F.sum(F.when(plain, F.col(m))).alias(m) for m in MEASURES])
     return rows.select(
-        "version", *[F.when(plain, F.col(f"own_{k}")).otherwise(F.col(f"first.{k}")).alias(k) for k in keys], *measures,
+        "version", *[F.when(plain, F.col(f"own_{k}")).otherwise(F.col(f"first.{k}")).alias(k) for k in DAY_KEYS], *MEASURES,
         F.when(~plain, (F.col("kind") == domain.SUBSCRIBE).cast("bigint")).alias("subs"),
         F.when(~plain, (F.col("kind") == domain.MAIN_EXPIRED).cast("bigint")).alias("expirations"))
 
 
+def folded_events(b2c_events: DataFrame, b2b_events: DataFrame) -> DataFrame:
+    """Plain rows (no ``kind``) summed per user and day, lifecycle rows per subscription and instant."""
+    life = F.col("eventType").isin(*domain.LIFECYCLE)
+    events = segment_events(b2c_events, b2b_events, "event_id", "date_id", "userId", "eventType",
+                            "subscriptionId", "eventTimeStamp", "eggToken", "totalCostThb", "packageId")
+    return (events.where(F.col("eventType").isNotNull())
+            .groupBy("version", *DAY_KEYS, F.when(life, F.col("eventType")).alias("kind"),
+                     *[F.when(life, F.col(c)).alias(c) for c in ("subscriptionId", *MOMENT)])
+            .agg(*_usage_measures()))
+
+
 def summary_daily(b2c_events: DataFrame, b2b_events: DataFrame, b2c_packages: DataFrame,
                   b2b_packages: DataFrame, b2c_users: DataFrame, b2b_users: DataFrame,
                   team: DataFrame, company: DataFrame) -> DataFrame:
@@ -120,16 +130,24 @@ def summary_daily(b2c_events: DataFrame, b2b_events: DataFrame, b2c_packages: Da
     """
     days = with_mapping_flag(_user_days(b2c_events, b2b_events, b2c_users),
                              mapped_users(b2b_users, team, company))
+    return priced_daily(daily_counts(days), segment_packages(b2c_packages, b2b_packages))
+
 
+def daily_counts(days: DataFrame) -> DataFrame:
+    """User-days and first lifecycle rows per segment, day, package and mapping flag."""
     def total(name: str) -> Column:
         return F.sum(F.coalesce(F.col(name), F.lit(0)))
 
-    daily = days.groupBy("version", "date_id", "packageId", "has_company_mapping").agg(
+    return days.groupBy("version", "date_id", "packageId", "has_company_mapping").agg(
         F.count_distinct(F.when(F.col("usage_events") > 0, F.col("userId"))).alias("active"),
         *[total(n).alias(n) for n in ("usage_events", "cost", "resets", "others", "subs", "expirations")],
         F.sum("tokens").alias("tokens"))
+
+
+def priced_daily(daily: DataFrame, packages: DataFrame) -> DataFrame:
+    """The daily summary of such counts, by today's names and prices."""
     # From here on the rows are days x packages; a package number listed twice repeats its rows.
-    priced = (daily.join(segment_packages(b2c_packages, b2b_packages), ["version", "packageId"], "left")
+    priced = (daily.join(packages, ["version", "packageId"], "left")
               .withColumn("is_trial", is_trial(F.col("packageName"))))
     subs, paid = F.col("subs"), ~F.col("is_trial")
     # Rows that are not paid subscriptions add zero, unpriced ones add nothing at all.
@@ -155,16 +173,9 @@ def summary_model_daily(b2c_events: DataFrame, b2b_events: DataFrame, b2c_packag
                         b2b_packages: DataFrame, b2c_users: DataFrame, b2b_users: DataFrame,
                         team: DataFrame, company: DataFrame) -> DataFrame:
     """Daily usage per segment, model and mapping flag."""
-    events = segment_events(b2c_events, b2b_events,
-                            "date_id", "userId", "eventType", "aiModel", "eggToken", "totalCostThb", "packageId")
-    days = (events.where(is_usage()).groupBy("version", "date_id", "aiModel", "packageId", "userId")
-            .agg(F.count(F.lit(1)).alias("n"), F.sum(F.abs("eggToken")).alias("tokens"),
-                 F.sum("totalCostThb").alias("cost")))
-    days = with_mapping_flag(without_banned_b2c(days, b2c_users), mapped_users(b2b_users, team, company))
-    # A package number listed twice counts its usage twice.
-    listed = (segment_packages(b2c_packages, b2b_packages)
-              .groupBy("version", "packageId").agg(F.count(F.lit(1)).alias("times")))
-    days = days.join(listed, ["version", "packageId"], "left")
+    days = with_mapping_flag(without_banned_b2c(model_user_days(b2c_events, b2b_events), b2c_users),
+                             mapped_users(b2b_users, team, company))
+    days = days.join(_listed(segment_packages(b2c_packages, b2b_packages)), ["version", "packageId"], "left")
     times = F.coalesce(F.col("times"), F.lit(1))
     return (days.groupBy("version", "date_id", model_label(F.col("aiModel")).alias("aiModel"), "has_company_mapping")
             .agg(F.count_distinct("userId").alias("daily_active_users"),
@@ -173,6 +184,43 @@ def summary_model_daily(b2c_events: DataFrame, b2b_events: DataFrame, b2c_packag
                  F.sum(F.col("cost") * times).cast(domain.MONEY_SUM).alias("serving_cost_thb")))
 
 
+def model_user_days(b2c_events: DataFrame, b2b_events: DataFrame) -> DataFrame:
+    """Usage per (segment, day, model, package, user)."""
+    events = segment_events(b2c_events, b2b_events,
+                            "date_id", "userId", "eventType", "aiModel", "eggToken", "totalCostThb", "packageId")
+    return (events.where(is_usage()).groupBy("version", "date_id", "aiModel", "packageId", "userId")
+            .agg(F.count(F.lit(1)).alias("n"), F.sum(F.abs("eggToken")).alias("tokens"),
+                 F.sum("totalCostThb").cast("decimal(28,6)").alias("cost")))
+
+
+def _listed(packages: DataFrame) -> DataFrame:
+    """A package number listed twice counts its usage twice."""
+    return packages.groupBy("version", "packageId").agg(F.count(F.lit(1)).alias("times"))
+
+
+def model_counts(days: DataFrame) -> DataFrame:
+    """Model user-days per segment, day, model and mapping flag: once with users (no ``times``), and once per package without.
+
+    A user of several packages counts once in the first kind of row.
+    """
+    label = model_label(F.col("aiModel")).alias("aiModel")
+    keys = ("version", "date_id", label, "has_company_mapping")
+    users = days.groupBy(*keys).agg(F.count_distinct("userId").alias("users"))
+    sums = days.groupBy(*keys, "packageId").agg(*[F.sum(n).cast(kind).alias(n) for n, kind in (
+        ("n", "bigint"), ("tokens", "bigint"), ("cost", domain.MONEY_SUM))])
+    return sums.unionByName(users, allowMissingColumns=True)
+
+
+def model_daily(counts: DataFrame, packages: DataFrame) -> DataFrame:
+    """The model summary of such counts, by today's packages."""
+    rows = counts.join(_listed(packages), ["version", "packageId"], "left")
+    times = F.coalesce(F.col("times"), F.lit(1))
+    return rows.groupBy("version", "date_id", "aiModel", "has_company_mapping").agg(
+        F.max("users").alias("daily_active_users"), F.sum(F.col("n") * times).alias("usage_events"),
+        F.sum(F.col("tokens") * times).alias("tokens_used"),
+        F.sum(F.col("cost") * times).cast(domain.MONEY_SUM).alias("serving_cost_thb"))
+
+
 def reconciled(summary: DataFrame) -> DataFrame:
     """Only rows whose B2B users also appear in user tracking."""
     return summary.where("has_company_mapping")
