@@ -26,7 +26,7 @@ from meterglass import domain
 from meterglass.functions import figures
 from meterglass.operators import splitting
 from meterglass.plans import cycles
-from meterglass.sources import commits, tables
+from meterglass.sources import commits, days, tables
 
 #: Days between copies of an event at most: its id's time is near its instant on both sides.
 COPY_DAYS = 2 * domain.ID_BUFFER_HOURS // 24 + 1
@@ -137,25 +137,27 @@ def empty_state(events: DataFrame) -> DataFrame:
 # ------------------------------------------------------------------- stored
 @dataclass(frozen=True)
 class Stored:
-    """Which folders hold the cycles that each block of days closed, and the states that are still kept, by the block's last day."""
+    """Which folders hold the cycles that each block of days closed, and the states that are still kept, by the block's last day;
+    ``seen``: the version of each day of events that was read."""
     closed: dict[date, str]
     state: dict[date, str]
+    seen: dict[date, str]
 
     @staticmethod
     def of(entries: Mapping[str, str]) -> Stored:
-        found: dict[str, dict[date, str]] = {"closed": {}, "state": {}}
+        found: dict[str, dict[date, str]] = {"closed": {}, "state": {}, "seen": {}}
         for key, folder in entries.items():
             kind, day = key.split(" ")
             found[kind][date.fromisoformat(day)] = folder
         return Stored(**found)
 
     def entries(self) -> dict[str, str]:
-        return {f"{kind} {day}": folder for kind in ("closed", "state") for day, folder in getattr(self, kind).items()}
+        return {f"{kind} {day}": folder for kind in ("closed", "state", "seen") for day, folder in getattr(self, kind).items()}
 
     def before(self, day: date, first: date) -> Stored:
         """What still holds where days from ``day`` on are read again: all up to the last state before it."""
         base = max((d for d in self.state if first <= d < day), default=first - timedelta(days=1))
-        return Stored(*({d: f for d, f in kind.items() if d <= base} for kind in (self.closed, self.state)))
+        return Stored(*({d: f for d, f in kind.items() if d <= base} for kind in (self.closed, self.state)), dict(self.seen))
 
 
 def blocks_of(first: date, last: date, single_days: int) -> list[tuple[date, date]]:
@@ -168,17 +170,22 @@ def blocks_of(first: date, last: date, single_days: int) -> list[tuple[date, dat
 
 
 def update(events: DataFrame, path: str, *, start_date: date, as_of: date, changed_from: date | None = None,
+           versions: Mapping[date, str] | None = None,
            single_days: int = 1 + domain.LOOKBACK_DAYS, keep_states: int = 7, copy_days: int = COPY_DAYS, keep: int = 2,
            rows_per_run: int = splitting.ROWS_PER_RUN) -> list[tuple[date, date]]:
     """Bring the stored cycles up to the day before ``as_of``; gives the blocks of days that were read.
 
-    ``changed_from``: the first day that was written since the last run (None: none that it has read). The run starts from
+    ``changed_from``: the first day that was written since the last run (None: none that it has read); with ``versions`` of the days
+    of events (``days.days_of``) it is found from those that the last run has seen, so a run that failed loses no change. The run starts from
     the last state before that day; where none is left, from the start. All blocks of a run become visible with one commit.
     """
     spark = events.sparkSession
     read = commits.last(spark, path)
     have = Stored.of(read.entries)
     last = as_of - timedelta(days=1)
+    if versions is not None:
+        versions = {d: v for d, v in versions.items() if start_date <= d <= last}
+        changed_from = min(days.changed(versions, {d: v for d, v in have.seen.items() if start_date <= d <= last}), default=None)
     kept = have.before(min(changed_from or as_of, as_of), start_date)
     base = max(kept.state, default=None)
     schema = _typed(events, _schemas(events)[0])
@@ -204,6 +211,9 @@ def update(events: DataFrame, path: str, *, start_date: date, as_of: date, chang
         done.append((first, until))
     for day in sorted(kept.state)[:-keep_states]:
         del kept.state[day]
+    kept.seen.update(versions or {})
+    for day in [d for d in kept.seen if versions is not None and d not in versions]:
+        del kept.seen[day]
     commits.remove(spark, f"{path}/data/work-{run}")
     if kept != have:
         commits.commit(spark, path, read, kept.entries())

@@ -13,9 +13,9 @@ from pyspark.sql import types as T
 from meterglass import domain
 from meterglass.functions import calendar
 from meterglass.operators import normalize
-from meterglass.plans import behavior, cycles, deck, summary, tracking
+from meterglass.plans import behavior, cycle_state, deck, summary_state, tracking
 from meterglass.session import scratch_path
-from meterglass.sources import documents, lake
+from meterglass.sources import commits, days as day_tables, documents, lake
 
 SUMMARY_SCHEMA = "stage string, rows bigint, first_day date, last_day date"
 STREAM = "user_usage_event"
@@ -31,10 +31,12 @@ def ingest_events(docs: DataFrame, events_path: str, state_path: str, *, name: s
 
     A block of days is read, normalised and replaced as one job, and the watermark moves when the block is in place.
     If a block fails its days are done one by one, so the watermark stands at the day before the one that fails,
-    whatever the size of a block. Documents that more than one job reads are landed first, by local day.
+    whatever the size of a block. The watermark moves only from where this run has seen it: of two runs at once the second
+    fails with ``commits.Conflict``. Documents that more than one job reads are landed first, by local day.
     """
     spark = docs.sparkSession
-    window = calendar.date_window(watermark=lake.get_watermark(spark, state_path, name), start_date=start_date,
+    position = lake.get_watermark(spark, state_path, name)
+    window = calendar.date_window(watermark=position, start_date=start_date,
                                   lookback_days=lookback_days, today=today)
     days, written = lake.days_of(window), {}
     options = {"tz": tz, "id_buffer_hours": id_buffer_hours}
@@ -42,7 +44,9 @@ def ingest_events(docs: DataFrame, events_path: str, state_path: str, *, name: s
     def put(found: DataFrame, block: list[date]) -> None:
         rows = normalize.normalize_events(found, rate=rate, tz=tz, ingested_at=ingested_at)
         written.update(lake.replace_days(rows, events_path, block))
-        lake.set_watermark(spark, state_path, name, block[-1])
+        nonlocal position
+        lake.set_watermark(spark, state_path, name, block[-1], expected={name: position})
+        position = block[-1]
 
     blocks = [days[at:at + days_per_job] for at in range(0, len(days), days_per_job)]
     landed = documents.land(docs, days[0], days[-1], scratch_path(spark, "landed"), **options) if len(blocks) > 1 else None
@@ -50,6 +54,8 @@ def ingest_events(docs: DataFrame, events_path: str, state_path: str, *, name: s
         found = documents.extract_days(docs, block[0], block[-1], **options) if landed is None else documents.landed_days(landed, block)
         try:
             put(found, block)
+        except commits.Conflict:
+            raise
         except Exception:
             if len(block) == 1:
                 raise
@@ -89,12 +95,14 @@ def daily_run(sources: Mapping[tuple[str, str], DataFrame], root: str, *, today:
               start_date: date = domain.START_DATE, lookback_days: int = domain.LOOKBACK_DAYS,
               rate: Decimal = domain.EXCHANGE_RATE, tz: str = domain.TIME_ZONE,
               id_buffer_hours: int = domain.ID_BUFFER_HOURS, mature_days: int = domain.MATURE_DAYS,
-              database: str = "usage") -> DataFrame:
+              database: str = "usage", keep: int = 3) -> DataFrame:
     """Everything one day needs, in order; gives the run summary.
 
     ``sources`` holds the document frame of each (segment, collection): ``events`` and
     the masters above. Derived tables and both summaries are written once and read back, so reports
-    never repeat the work on events that built them. Every table has a catalog view, in database ``database``, that follows its versions.
+    never repeat the work on events that built them. Cycles and summaries read the days that this run has written and what is stored
+    of the days before. Every table has a catalog view, in database ``database``, that follows its versions; versions and days that
+    the last ``keep`` runs don't name are removed at the end.
     """
     spark = next(iter(sources.values())).sparkSession
     today = today or calendar.today_local(tz)
@@ -107,15 +115,13 @@ def daily_run(sources: Mapping[tuple[str, str], DataFrame], root: str, *, today:
     def table(segment: str, name: str) -> DataFrame:
         return lake.read_table(spark, path(segment, name))
 
+    versioned = list(MASTERS)
+
     def gold(stage: str, segment: str, frame: DataFrame, **options) -> None:
+        versioned.append((segment, stage))
         stages[stage] = lake.rebuild_gold(frame, path(segment, stage), name=f"{database}.{stage}", **options)
 
     lake.ensure_database(spark, database)
-    for segment in ("B2C", "B2B"):
-        suffix = segment.lower()
-        lake.ensure_event_table(spark, f"{database}.{STREAM}_{suffix}", path(segment, STREAM))
-        lake.ensure_state_table(spark, f"{database}.state_{suffix}", path(segment, "state"))
-
     for (segment, collection), (normalizer, schema) in MASTERS.items():
         rows = normalizer(sources[segment, collection], ingested_at=now)
         stages[f"{segment} {collection}"] = lake.replace_table(
@@ -125,12 +131,16 @@ def daily_run(sources: Mapping[tuple[str, str], DataFrame], root: str, *, today:
             sources[segment, "events"], path(segment, STREAM), path(segment, "state"), start_date=start_date,
             lookback_days=lookback_days, today=today, rate=rate, tz=tz, id_buffer_hours=id_buffer_hours,
             ingested_at=now)
+        lake.ensure_event_table(spark, f"{database}.{STREAM}_{segment.lower()}", path(segment, STREAM))
+        lake.state_view(spark, f"{database}.state_{segment.lower()}", path(segment, "state"))
 
+    versions = {s: day_tables.days_of(commits.last(spark, path(s, STREAM)).entries, lake.EVENTS) for s in ("B2C", "B2B")}
     b2c, b2b = (lake.read_events(spark, path(segment, STREAM)) for segment in ("B2C", "B2B"))
     bounds = {"start_date": start_date, "as_of": today}
     gold("user_tracking_b2c", "B2C", tracking.user_tracking_b2c(
         b2c, table("B2C", "package"), table("B2C", "users"), **bounds), partition="date_id")
-    cycle_days = cycles.token_cycles(b2c, table("B2C", "package"), table("B2C", "users"), **bounds).withColumn(
+    cycle_state.update(b2c, path("B2C", "cycle_state"), versions=versions["B2C"], single_days=1 + lookback_days, **bounds)
+    cycle_days = cycle_state.token_cycles(b2c, path("B2C", "cycle_state"), table("B2C", "package"), table("B2C", "users")).withColumn(
         "cycle_start_date", F.to_date("cycle_start_ts"))
     gold("user_token_cycle", "B2C", cycle_days, partition="cycle_start_date", cluster=("userId", "cycle_index"))
     gold("user_repeat_behavior", "B2C", behavior.repeat_behavior(
@@ -142,12 +152,18 @@ def daily_run(sources: Mapping[tuple[str, str], DataFrame], root: str, *, today:
     day_b2b = table("B2B", "user_tracking_b2b")
     base = (b2c, b2b, table("B2C", "package"), table("B2B", "package"), table("B2C", "users"))
     mapping = (table("B2B", "users"), table("B2B", "team"), table("B2B", "company"))
-    gold("summary_daily", "total", summary.summary_daily(*base, *mapping), partition="date_id", cluster=("version",))
-    gold("summary_model_daily", "total", summary.summary_model_daily(*base, *mapping), partition="date_id", cluster=("version",))
+    daily = path("total", "summary_state")
+    summary_state.update(b2c, b2b, base[4], *mapping, daily, versions=versions)
+    gold("summary_daily", "total", summary_state.summary_daily(spark, daily, *base[2:4]), partition="date_id", cluster=("version",))
+    gold("summary_model_daily", "total", summary_state.summary_model_daily(spark, daily, *base[2:4]), partition="date_id", cluster=("version",))
     gold("slide_metrics", "total", deck.slide_metrics(*base, day_b2b), cluster=())
     gold("slide_company_size", "total", deck.company_size(day_b2b), cluster=())
     gold("slide_new_users_weekly", "total", deck.new_users_weekly(deck.subscriptions(b2c, b2b, base[4])), cluster=())
     lake.create_views(spark, tracking_views(database, table("B2C", "user_tracking_b2c").schema, day_b2b.schema))
+    for segment in ("B2C", "B2B"):
+        day_tables.prune(spark, path(segment, STREAM), keep)
+    for (segment, stage) in versioned:
+        lake.drop_old_versions(spark, path(segment, stage), keep)
     return run_summary(spark, stages)
 
 

@@ -10,7 +10,7 @@ of them, in all tables, become visible with one commit. Names and prices are put
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -70,12 +70,21 @@ def _people(b2c_users: DataFrame, mapped: DataFrame) -> DataFrame:
 
 
 def update(b2c_events: DataFrame, b2b_events: DataFrame, b2c_users: DataFrame, b2b_users: DataFrame, team: DataFrame,
-           company: DataFrame, path: str, *, changed: Sequence[date], keep: int = 2) -> list[date]:
-    """Bring the stored summaries up to the events, of which ``changed`` days were written since the last run; gives the days rewritten."""
+           company: DataFrame, path: str, *, changed: Sequence[date] = (), versions: Mapping[str, Mapping[date, str]] | None = None,
+           keep: int = 2) -> list[date]:
+    """Bring the stored summaries up to the events, of which ``changed`` days were written since the last run; gives the days rewritten.
+
+    ``versions``: of the days of events by segment (``days.days_of``); the changed days are then those whose version the last run has not
+    seen, so a run that failed loses no change.
+    """
     spark = b2c_events.sparkSession
     read = commits.last(spark, path)
     kinds = schemas(spark, b2c_events.schema["eventTimeStamp"].dataType.simpleString())
     run, entries = days.new_run(), dict(read.entries)
+    for segment, now in (versions or {}).items():
+        seen = f"seen-{segment}"
+        changed = [*changed, *days.changed(now, days.days_of(entries, seen))]
+        entries = {k: v for k, v in entries.items() if not k.startswith(f"{seen} ")} | {f"{seen} {d}": v for d, v in now.items()}
     changed = sorted(set(changed))
 
     def of(table: str, listed: dict[str, str], only: Sequence[date] | None = None) -> DataFrame:
@@ -126,7 +135,7 @@ def update(b2c_events: DataFrame, b2b_events: DataFrame, b2c_users: DataFrame, b
     for frame in by_people:
         found = found.unionByName(frame)
     rewritten = sorted(set(changed) | {r[0] for r in found.distinct().collect()})
-    if not rewritten and had:
+    if not rewritten and had and entries == dict(read.entries) | {PEOPLE: run}:
         commits.remove(spark, f"{path}/data/{days.RUN}={run}")
         return []
 

@@ -192,34 +192,34 @@ def _(spark, sf_dir):
     return spark.table(f"{name}_use")
 
 
-def _log(spark, path: str, frame: DataFrame, day: date | None = None) -> None:
-    """Positions added to the stored log, by the writer that the run uses."""
-    for row in frame.orderBy("pipeline_name").collect():
-        lake.set_watermark(spark, path, row.pipeline_name, day or row.last_processed_date)
+def _merged(spark, sf_dir, *more: tuple[str, date]) -> tuple[DataFrame, DataFrame]:
+    """Stored positions before and after an upsert of token positions and of further names."""
+    path = scratch_path(spark, "state")
+    old = state(sample.load(spark, sf_dir)).withColumn("updated_at", F.col("updated_at").cast("timestamp"))
+    lake.merge_state(old, path)
+    before = lake.read_state(spark, path)
+    moved = before.where(F.col("pipeline_name").startswith("Token")).withColumn("last_processed_date", F.lit(date(2024, 2, 1)))
+    added = spark.createDataFrame([(*m, NOW) for m in more], domain.STATE_SCHEMA)
+    lake.merge_state(moved.unionByName(added), path)
+    return before, lake.read_state(spark, path)
 
 
 @register("upsert_watermark", query("""
   SELECT pipeline_name, CASE WHEN pipeline_name LIKE 'Token%' THEN DATE '2024-02-01' ELSE last_processed_date END
     AS last_processed_date FROM state""", STATE))
 def _(spark, sf_dir):
-    path, old = scratch_path(spark, "state"), state(sample.load(spark, sf_dir))
-    _log(spark, path, old)
-    _log(spark, path, old.where(F.col("pipeline_name").startswith("Token")), date(2024, 2, 1))
-    return lake.latest_state(spark.read.parquet(path)).drop("updated_at")
+    return _merged(spark, sf_dir)[1].drop("updated_at")
 
 
 @register("merge_match", query("""
-  SELECT pipeline_name, count(*) AS before, count(*) FILTER (WHERE pipeline_name LIKE 'Token%') AS replaced
-  FROM state GROUP BY ALL""", STATE))
+  SELECT pipeline_name, CASE WHEN pipeline_name LIKE 'Token%' THEN DATE '2024-02-01' ELSE last_processed_date END
+    AS last_processed_date, last_processed_date AS previous FROM state
+  UNION ALL SELECT 'Refund', DATE '2024-02-02', NULL""", STATE))
 def _(spark, sf_dir):
-    """Which stored positions an upsert replaces: the log's rows by name, less the one in force."""
-    path, old = scratch_path(spark, "state"), state(sample.load(spark, sf_dir))
-    _log(spark, path, old)
-    _log(spark, path, old.where(F.col("pipeline_name").startswith("Token")), date(2024, 2, 1))
-    log = spark.read.parquet(path)
-    replaced = log.groupBy("pipeline_name").agg((F.count(F.lit(1)) - 1).alias("replaced"))
-    kept = lake.latest_state(log).groupBy("pipeline_name").agg(F.count(F.lit(1)).alias("before"))
-    return kept.join(replaced, "pipeline_name")
+    """Matched rows with the position they had, an inserted row, and rows that the upsert leaves alone."""
+    before, after = _merged(spark, sf_dir, ("Refund", date(2024, 2, 2)))
+    old = before.select("pipeline_name", F.col("last_processed_date").alias("previous"))
+    return after.drop("updated_at").join(old, "pipeline_name", "left")
 
 
 @register("ensure_event_table", query(f"SELECT {PER_DAY} FROM dom GROUP BY ALL"))

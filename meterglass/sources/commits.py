@@ -113,14 +113,23 @@ def change(spark: SparkSession, path: str, update: Callable[[Mapping[str, str]],
     raise AssertionError("unreachable")
 
 
+def recent(spark: SparkSession, path: str, keep: int) -> list[dict[str, str]]:
+    """The lists of the last ``keep`` commits."""
+    return [_entries(spark, path, name) for name in _numbers(spark, path)[-keep:]]
+
+
+def drop_before(spark: SparkSession, path: str, keep: int) -> None:
+    """Remove the lists of all but the last ``keep`` commits."""
+    for name in _numbers(spark, path)[:-keep]:
+        remove(spark, f"{path}/commits/{name}")
+
+
 def prune(spark: SparkSession, path: str, keep: int, folders: Callable[[Mapping[str, str]], set[str]]) -> int:
     """Remove all but the last ``keep`` commits, and the folders below ``path/data`` that none of these names.
 
     For use when no reader holds an older list and no other run writes. Gives the number of folders removed.
     """
-    numbers = _numbers(spark, path)
-    used = set().union(*(folders(_entries(spark, path, name)) for name in numbers[-keep:]))
-    for name in numbers[:-keep]:
-        remove(spark, f"{path}/commits/{name}")
+    used = set().union(*(folders(entries) for entries in recent(spark, path, keep)))
+    drop_before(spark, path, keep)
     old = [n for n in names_in(spark, f"{path}/data") if n not in used]
     return sum(remove(spark, f"{path}/data/{n}") for n in old)

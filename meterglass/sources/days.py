@@ -50,14 +50,34 @@ def days_of(entries: Mapping[str, str], table: str) -> dict[date, str]:
 def read(spark: SparkSession, path: str, entries: Mapping[str, str], table: str, schema: T.StructType,
          days: Sequence[date] | None = None) -> DataFrame:
     """The table as listed, in schema order; ``days``: no others are opened."""
-    listed = days_of(entries, table)
-    folders = [f"{path}/data/{folder_of(run, table)}/{DAY}={day}" for day, run in sorted(listed.items()) if days is None or day in set(days)]
+    listed = locations(path, entries, table)
+    folders = [folder for day, folder in sorted(listed.items()) if days is None or day in set(days)]
     if not folders:
         return spark.createDataFrame([], schema)
     whole = T.StructType([*schema.fields, T.StructField(RUN, T.StringType()), T.StructField(TABLE, T.StringType())])
     return spark.read.schema(whole).option("basePath", f"{path}/data").parquet(*folders).select(*schema.names)
 
 
+def locations(path: str, entries: Mapping[str, str], table: str) -> dict[date, str]:
+    """The folder of each day."""
+    return {day: f"{path}/data/{folder_of(run, table)}/{DAY}={day}" for day, run in days_of(entries, table).items()}
+
+
+def changed(now: Mapping[date, str], seen: Mapping[date, str]) -> list[date]:
+    """Days that were written, or emptied, since they were seen: those held by another run."""
+    return sorted(day for day in {*now, *seen} if now.get(day) != seen.get(day))
+
+
 def prune(spark: SparkSession, path: str, keep: int = 2) -> int:
-    """Remove what the last ``keep`` commits don't name; see ``commits.prune``."""
-    return commits.prune(spark, path, keep, lambda entries: {f"{RUN}={run}" for run in entries.values()})
+    """Remove the commits before the last ``keep``, and the folders of runs and days that these don't name; see ``commits.prune``."""
+    lists = commits.recent(spark, path, keep)
+    removed = commits.prune(spark, path, keep, lambda entries: {f"{RUN}={run}" for run in entries.values()})
+    runs = {run for entries in lists for run in entries.values()}
+    named = {(run, *key.split(" ")) for entries in lists for key, run in entries.items()}
+    for run in runs:
+        for table in commits.names_in(spark, f"{path}/data/{RUN}={run}"):
+            folder = f"{path}/data/{RUN}={run}/{table}"
+            for day in commits.names_in(spark, folder):
+                if day.startswith(f"{DAY}=") and (run, table.removeprefix(f"{TABLE}="), day.removeprefix(f"{DAY}=")) not in named:
+                    removed += commits.remove(spark, f"{folder}/{day}")
+    return removed

@@ -1,9 +1,10 @@
 """Stored tables: whole-day replacement, full reload, gold rebuild, watermark.
 
-Event days are replaced with dynamic partition overwrite: new files are staged and
-take the place of the day's folder only when the job commits. Masters and derived
+A block of event days is written beside the old days and becomes visible, emptied days included, with one
+numbered commit (``days``). Masters and derived
 tables are written as a new version beside the old one; one appended pointer row,
-and the catalog view of the table, then switch to it. In both cases a lost executor
+and the catalog view of the table, then switch to it. The positions of runs are a table of a few rows, merged by name and
+committed only on top of the version that was read. In all cases a lost executor
 or a failed job leaves the old rows readable.
 """
 
@@ -15,12 +16,13 @@ from contextlib import contextmanager
 from datetime import date, datetime, timedelta
 
 from py4j.protocol import Py4JJavaError
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from meterglass import domain
+from meterglass.sources import commits
+from meterglass.sources import days as day_tables
 
 CLUSTER = ("userId", "eventType")
 
@@ -119,32 +121,31 @@ def _observed(counts: Observation, frame: DataFrame) -> dict[str, int]:
         return {}
 
 
+EVENTS = "events"
+
+
 def replace_days(frame: DataFrame, path: str, days: Sequence[date],
                  schema: T.StructType = domain.EVENT_SCHEMA) -> dict[date, int]:
-    """Replace whole days; a day with no rows ends up empty. Gives rows per day.
+    """Replace whole days at once; a day with no rows ends up empty. Gives rows per day.
 
     The frame is computed once: days and required columns are checked, and rows counted, in the
-    pass that writes.
+    pass that writes. Readers see all old or all new days, also after a failure.
     """
     if not days:
         check_columns(frame, schema)
         return {}
+    spark = frame.sparkSession
     inside = F.coalesce(F.col("date_id").isin(*days), F.lit(False))
     rows = guarded(frame, schema).withColumn("date_id", _or_fail(
         inside, F.col("date_id"), WrongDay, "rows with a date_id outside the replaced days"))
     counts = Observation()
     rows = rows.observe(counts, *(F.count_if(F.col("date_id") == F.lit(day)).alias(str(day)) for day in days))
+    run = day_tables.new_run()
     with _guard_errors():
-        (_clustered(rows, "date_id", CLUSTER).write.mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic").partitionBy("date_id").parquet(path))
+        new = day_tables.write(_clustered(rows, "date_id", CLUSTER), path, EVENTS, run)
     seen = _observed(counts, frame)
-    found = {day: seen.get(str(day), 0) for day in days}
-    spark = frame.sparkSession
-    nothing = spark.createDataFrame([], T.StructType([f for f in schema if f.name != "date_id"]))
-    for day in (d for d, n in found.items() if n == 0):
-        # An overwrite of partitions leaves a day untouched if it brings no rows for it.
-        nothing.write.mode("overwrite").parquet(f"{path}/date_id={day}")
-    return found
+    commits.change(spark, path, lambda entries: day_tables.replaced(entries, EVENTS, days, new))
+    return {day: seen.get(str(day), 0) for day in days}
 
 
 def replace_day(frame: DataFrame, path: str, day: date) -> int:
@@ -153,6 +154,9 @@ def replace_day(frame: DataFrame, path: str, day: date) -> int:
 
 def read_events(spark: SparkSession, path: str, schema: T.StructType = domain.EVENT_SCHEMA) -> DataFrame:
     """The event table in schema order; no inference, so a new table reads as empty."""
+    listed = commits.last(spark, path)
+    if listed.number or commits.names_in(spark, f"{path}/data"):
+        return day_tables.read(spark, path, listed.entries, EVENTS, schema)
     return spark.read.schema(schema).parquet(path).select(*schema.names)
 
 
@@ -233,9 +237,15 @@ def _ensure_table(spark: SparkSession, name: str, path: str, schema: T.StructTyp
 
 
 def ensure_event_table(spark: SparkSession, name: str, path: str) -> None:
-    """Catalog entry over the event folder, partitioned by local day."""
+    """Catalog entry over the event days that are listed now, partitioned by local day."""
     _ensure_table(spark, name, path, domain.EVENT_SCHEMA, "date_id")
-    spark.catalog.recoverPartitions(name)
+    listed = day_tables.locations(path, commits.last(spark, path).entries, EVENTS)
+    known = [r[0].removeprefix("date_id=") for r in spark.sql(f"SHOW PARTITIONS {name}").collect()]
+    if known:
+        spark.sql(f"ALTER TABLE {name} DROP IF EXISTS " + ", ".join(f"PARTITION (date_id = '{day}')" for day in known))
+    if listed:
+        spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS " + " ".join(
+            f"PARTITION (date_id = '{day}') LOCATION '{folder}'" for day, folder in sorted(listed.items())))
 
 
 def ensure_state_table(spark: SparkSession, name: str, path: str) -> None:
@@ -243,6 +253,9 @@ def ensure_state_table(spark: SparkSession, name: str, path: str) -> None:
 
 
 # ---------------------------------------------------------------- watermark
+STATE = "state"
+
+
 def latest_state(log: DataFrame) -> DataFrame:
     """One row per name: the last one written."""
     moment = F.struct("updated_at", "last_processed_date")
@@ -255,23 +268,85 @@ def find_watermark(state: DataFrame, name: str) -> DataFrame:
     return state.where(F.col("pipeline_name") == name).select("last_processed_date").limit(1)
 
 
+def merged_state(state: DataFrame, updates: DataFrame) -> DataFrame:
+    """Upsert by name: matched rows take the new values, unmatched ones are added, all others stay."""
+    new = updates.select(F.col("pipeline_name").alias("name"), *[F.col(c).alias(f"new_{c}") for c in ("last_processed_date", "updated_at")])
+    rows = state.join(new, F.col("pipeline_name") == F.col("name"), "full")
+    matched = F.col("name").isNotNull()
+    return rows.select(F.coalesce("name", "pipeline_name").alias("pipeline_name"), *[
+        F.when(matched, F.col(f"new_{c}")).otherwise(F.col(c)).alias(c) for c in ("last_processed_date", "updated_at")])
+
+
+def read_state(spark: SparkSession, path: str) -> DataFrame:
+    """One row per name. No rows before the first run; a state that can't be read is an error."""
+    return _state_of(spark, path, commits.last(spark, path))
+
+
+def _state_of(spark: SparkSession, path: str, listed: commits.Commit) -> DataFrame:
+    if listed.number:
+        return spark.read.schema(domain.STATE_SCHEMA).parquet(f"{path}/data/{listed.entries[STATE]}")
+    # A log of positions as older versions kept it. Listed first, as before the first run there is no folder, or one without files.
+    if not [n for n in commits.names_in(spark, path) if n not in ("commits", "data") and n[0] not in "._"]:
+        return spark.createDataFrame([], domain.STATE_SCHEMA)
+    log = spark.read.parquet(path)
+    return latest_state(log.select(*domain.STATE_SCHEMA.names))
+
+
 def get_watermark(spark: SparkSession, path: str, name: str) -> date | None:
-    """None before the first run; a state that can't be read is an error."""
-    try:
-        log = spark.read.parquet(path)
-    except AnalysisException as error:
-        # No folder, or one without files, as set up before the first run.
-        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            return None
-        raise
-    row = find_watermark(latest_state(log.select(*domain.STATE_SCHEMA.names)), name).first()
+    row = find_watermark(read_state(spark, path), name).first()
     return row.last_processed_date if row else None
 
 
-def set_watermark(spark: SparkSession, path: str, name: str, day: date, at: datetime | None = None) -> None:
-    """Append the new position. Readers take the last row per name, so an append is an
-    upsert that never rewrites what another run may be reading."""
+def merge_state(updates: DataFrame, path: str, expected: Mapping[str, date | None] | None = None, keep: int = 10) -> None:
+    """Upsert rows of the state by name. A merge on top of a version that another run has replaced is made again on the new one.
+
+    ``expected``: positions (None: no row) that the names must still have, or the merge fails with ``commits.Conflict``: of two runs that
+    started from one position, only one can move it.
+    """
+    spark = updates.sparkSession
+    repeated = updates.groupBy("pipeline_name").count().where("count > 1 OR pipeline_name IS NULL").first()
+    if repeated:
+        raise ValueError(f"an upsert needs one row per name: {repeated.pipeline_name}")
+    for _ in range(20):
+        read = commits.last(spark, path)
+        state = _state_of(spark, path, read)
+        for name, day in (expected or {}).items():
+            now = find_watermark(state, name).first()
+            if (now.last_processed_date if now else None) != day:
+                raise commits.Conflict(f"the position of {name} is {now and now.last_processed_date}, not {day}")
+        version = uuid.uuid4().hex
+        merged_state(state, updates).select(*domain.STATE_SCHEMA.names).coalesce(1).write.parquet(f"{path}/data/{version}")
+        try:
+            commits.commit(spark, path, read, {STATE: version})
+        except commits.Conflict:
+            commits.remove(spark, f"{path}/data/{version}")
+            continue
+        _drop_old_states(spark, path, keep)
+        return
+    raise commits.Conflict(f"no commit of {path} came through")
+
+
+def _drop_old_states(spark: SparkSession, path: str, keep: int) -> None:
+    """Old versions of these few rows. Another run's version, written and not yet committed, must stay, so only listed ones go."""
+    lists = commits.recent(spark, path, 2 * keep)
+    if len(lists) == 2 * keep:
+        for entries in lists[:keep]:
+            commits.remove(spark, f"{path}/data/{entries[STATE]}")
+        commits.drop_before(spark, path, keep)
+
+
+def set_watermark(spark: SparkSession, path: str, name: str, day: date, at: datetime | None = None, *,
+                  expected: Mapping[str, date | None] | None = None) -> None:
+    """Upsert one position; see ``merge_state``."""
     row = spark.range(1).select(
         F.lit(name).alias("pipeline_name"), F.lit(day).alias("last_processed_date"),
         (F.lit(at) if at else F.current_timestamp()).alias("updated_at"))
-    row.write.mode("append").parquet(path)
+    merge_state(row, path, expected)
+
+
+def state_view(spark: SparkSession, name: str, path: str) -> None:
+    """Catalog view over the positions in force."""
+    listed = commits.last(spark, path)
+    if listed.number:
+        columns = ", ".join(f"`{f.name}`" for f in domain.STATE_SCHEMA)
+        spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT {columns} FROM parquet.`{path}/data/{listed.entries[STATE]}`")

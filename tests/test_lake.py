@@ -1,3 +1,4 @@
+from concurrent.futures import ThreadPoolExecutor
 from datetime import date, datetime, timezone
 from decimal import Decimal
 
@@ -9,7 +10,8 @@ from meterglass.operators import normalize
 from meterglass.plans import ingest
 from meterglass.registry import ORACLES, QUERIES
 from meterglass.session import scratch_path
-from meterglass.sources import documents, lake, sample, tables
+from meterglass.sources import commits, documents, lake, sample, tables
+from meterglass.sources import days as day_tables
 from meterglass.streaming import ingest as streaming
 
 DAY = date(2024, 1, 15)
@@ -64,7 +66,110 @@ def test_watermark(spark):
     assert lake.get_watermark(spark, path, "a") == date(2024, 1, 12)
     assert lake.get_watermark(spark, path, "b") == DAY
     assert lake.get_watermark(spark, path, "c") is None
-    assert lake.latest_state(spark.read.parquet(path)).count() == 2
+    assert lake.read_state(spark, path).count() == 2
+
+
+def test_a_reader_sees_all_old_or_all_new_days(spark, typed, monkeypatch):
+    """While a block is replaced, after a failure between the days, and after the commit, with an emptied day."""
+    path = scratch_path(spark, "events")
+    block = [date(2024, 1, 14), DAY, date(2024, 1, 16)]
+    rows = typed.where(F.col("date_id").isin(*block))
+    old = lake.replace_days(rows, path, block)
+    half = rows.where("hash(event_id) % 2 = 0 AND date_id <> '2024-01-15'")
+    want = {r.date_id: r.rows for r in lake.rows_per_day(half).collect()}
+    opened = lake.read_events(spark, path)
+    real, seen = day_tables.write, []
+
+    def watched(frame, *args):
+        new = real(frame, *args)
+        seen.append(per_day(spark, path))   # all files of the new days are written
+        return new
+
+    def lost(frame, *args):
+        real(frame, *args)
+        raise RuntimeError("lost between the days")
+
+    monkeypatch.setattr(day_tables, "write", lost)
+    with pytest.raises(RuntimeError):
+        lake.replace_days(half, path, block)
+    assert per_day(spark, path) == old
+    monkeypatch.setattr(day_tables, "write", watched)
+    lake.replace_days(half, path, block)
+    assert seen == [old] and per_day(spark, path) == want
+    assert {r.date_id: r.rows for r in lake.rows_per_day(opened).collect()} == old   # a reader from before still has its files
+    assert day_tables.prune(spark, path, keep=1) >= 1
+    assert per_day(spark, path) == want
+    with pytest.raises(Exception):
+        lake.replace_days(failing(half).select(half.columns), path, block)
+    assert per_day(spark, path) == want
+
+
+def test_days_of_old_runs_are_pruned(spark, typed):
+    path = scratch_path(spark, "events")
+    block = [date(2024, 1, 14), DAY]
+    lake.replace_days(typed.where(F.col("date_id").isin(*block)), path, block)
+    lake.replace_day(day_rows(typed), path, DAY)
+    want = per_day(spark, path)
+    assert day_tables.prune(spark, path, keep=1) == 1   # the first run's folder of the day that the second replaced
+    assert per_day(spark, path) == want
+
+
+def test_of_two_runs_one_moves_the_watermark(spark):
+    path = scratch_path(spark, "state")
+    lake.set_watermark(spark, path, "a", DAY, expected={"a": None})
+    start = lake.get_watermark(spark, path, "a")
+    lake.set_watermark(spark, path, "a", date(2024, 1, 20), expected={"a": start})
+    with pytest.raises(commits.Conflict):
+        lake.set_watermark(spark, path, "a", date(2024, 1, 16), expected={"a": start})
+    with pytest.raises(commits.Conflict):
+        lake.set_watermark(spark, path, "a", date(2024, 1, 16), expected={"a": None})
+    lake.set_watermark(spark, path, "b", DAY, expected={"b": None})
+    assert lake.get_watermark(spark, path, "a") == date(2024, 1, 20)
+
+
+def test_runs_at_once(spark, sf_dir):
+    """Both start from one position; the slower one fails and moves nothing back."""
+    docs = sample.event_documents(spark, sf_dir)
+    path, state = scratch_path(spark, "events"), scratch_path(spark, "state")
+    options = {"start_date": sample.START_DATE, "lookback_days": 1}
+    ingest.ingest_events(docs, path, state, today=date(2024, 1, 10), **options)
+    real = lake.replace_days
+
+    def overtaken(rows, where, block, *args):
+        lake.replace_days = real
+        ingest.ingest_events(docs, path, state, today=date(2024, 1, 20), **options)
+        return real(rows, where, block, *args)
+
+    lake.replace_days = overtaken
+    try:
+        with pytest.raises(commits.Conflict):
+            ingest.ingest_events(docs, path, state, today=date(2024, 1, 15), **options)
+    finally:
+        lake.replace_days = real
+    assert lake.get_watermark(spark, state, ingest.STREAM) == date(2024, 1, 19)
+
+
+def test_merges_of_state(spark):
+    path, at = scratch_path(spark, "state"), datetime(2024, 2, 1)
+    with ThreadPoolExecutor(4) as pool:
+        list(pool.map(lambda n: lake.set_watermark(spark, path, f"p{n}", DAY, at), range(8)))
+    assert lake.read_state(spark, path).count() == 8
+    for n in range(1, 26):
+        lake.set_watermark(spark, path, "p0", date(2024, 1, n), at)
+    assert lake.get_watermark(spark, path, "p0") == date(2024, 1, 25) and lake.read_state(spark, path).count() == 8
+    assert len(commits.names_in(spark, f"{path}/data")) == len(commits.names_in(spark, f"{path}/commits")) <= 20
+    twice = spark.createDataFrame([("p0", DAY, at), ("p0", DAY, at)], domain.STATE_SCHEMA)
+    with pytest.raises(ValueError):
+        lake.merge_state(twice, path)
+
+
+def test_positions_of_an_older_log_are_read(spark):
+    path = scratch_path(spark, "state")
+    spark.createDataFrame([("a", DAY, datetime(2024, 1, 2)), ("a", date(2024, 1, 16), datetime(2024, 1, 3))],
+                          domain.STATE_SCHEMA).write.parquet(path)
+    assert lake.get_watermark(spark, path, "a") == date(2024, 1, 16)
+    lake.set_watermark(spark, path, "b", DAY)
+    assert lake.get_watermark(spark, path, "a") == date(2024, 1, 16)
 
 
 def test_unreadable_state_is_an_error(spark):
@@ -214,7 +319,9 @@ def test_daily_run(spark, sf_dir):
     root = scratch_path(spark, "lake")
     options = {"today": sample.AS_OF, "start_date": sample.START_DATE, "mature_days": sample.MATURE_DAYS}
     first = {r.stage: r.rows for r in ingest.daily_run(sources, root, **options).collect()}
-    again = {r.stage: r.rows for r in ingest.daily_run(sources, root, **options).collect()}
+    again = {r.stage: r.rows for r in ingest.daily_run(sources, root, keep=1, **options).collect()}
+    for folder in ("total/summary_daily", "B2C/users", "B2C/user_token_cycle"):
+        assert len(commits.names_in(spark, f"{root}/{folder}/data")) == 1   # nothing of the run before is left
     for stage in ("user_tracking_b2c", "user_token_cycle", "user_repeat_behavior", "user_tracking_b2b"):
         assert first[stage] == again[stage] == QUERIES[stage](spark, sf_dir).count() > 0
     assert again["B2C events"] < first["B2C events"]

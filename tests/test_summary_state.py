@@ -123,3 +123,17 @@ def test_a_failed_run_changes_nothing(spark, lake, monkeypatch):
     assert lake.update(none, none, JANUARY) == JANUARY
     assert lake.stored() == ([], [])
     assert all(n.startswith(days.RUN) for n in commits.names_in(spark, f"{lake.path}/data"))
+
+
+def test_versions_of_days_show_what_changed(spark, lake):
+    b2c, none = events(spark, *story(9, ("1", "12"))), events(spark)
+    seen = {d: "v1" for d in JANUARY}
+
+    def run(versions):
+        return summary_state.update(b2c, none, *lake.masters(), lake.path, versions={"B2C": versions, "B2B": {}})
+
+    assert run(seen) == JANUARY
+    assert run(seen) == []
+    assert JANUARY[4] in run(seen | {JANUARY[4]: "v2"})
+    assert run(seen | {JANUARY[4]: "v2"}) == []
+    assert lake.stored() == lake.rebuilt(b2c, none)
