@@ -13,9 +13,10 @@ from pyspark.sql import types as T
 from meterglass import domain
 from meterglass.functions import calendar
 from meterglass.operators import normalize
-from meterglass.plans import behavior, cycle_state, deck, summary_state, tracking
+from meterglass.plans import behavior, cycle_state, deck, summary_state, tracking, user_bitmaps
 from meterglass.session import scratch_path
-from meterglass.sources import commits, days as day_tables, documents, lake
+from meterglass.sources import commits, documents, lake, tables
+from meterglass.sources import days as day_tables
 
 SUMMARY_SCHEMA = "stage string, rows bigint, first_day date, last_day date"
 STREAM = "user_usage_event"
@@ -156,6 +157,9 @@ def daily_run(sources: Mapping[tuple[str, str], DataFrame], root: str, *, today:
     summary_state.update(b2c, b2b, base[4], *mapping, daily, versions=versions)
     gold("summary_daily", "total", summary_state.summary_daily(spark, daily, *base[2:4]), partition="date_id", cluster=("version",))
     gold("summary_model_daily", "total", summary_state.summary_model_daily(spark, daily, *base[2:4]), partition="date_id", cluster=("version",))
+    tracked = table("B2C", "user_tracking_b2c").select(F.lit("B2C").alias("version"), "date_id", "userId").unionByName(
+        day_b2b.select(F.lit("B2B").alias("version"), "date_id", "userId"))
+    user_bitmaps.update(tracked, tables.banned_users(base[4]), path("total", "user_bitmaps"), versions=versions)
     gold("slide_metrics", "total", deck.slide_metrics(*base, day_b2b), cluster=())
     gold("slide_company_size", "total", deck.company_size(day_b2b), cluster=())
     gold("slide_new_users_weekly", "total", deck.new_users_weekly(deck.subscriptions(b2c, b2b, base[4])), cluster=())

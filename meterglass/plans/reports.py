@@ -6,6 +6,7 @@ summaries hold days x packages rows.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import date
 
 from pyspark.sql import Column, DataFrame
@@ -39,9 +40,12 @@ def active_users(tracking: DataFrame, end: Column, days: int) -> DataFrame:
     return users.agg(*[F.coalesce(F.sum(n), F.lit(0)).alias(f"{n}_users") for n in flags])
 
 
-def kpi(summary: DataFrame, tracking: DataFrame, days: int = domain.ROLLING_DAYS) -> DataFrame:
+def kpi(summary: DataFrame, tracking: DataFrame, days: int = domain.ROLLING_DAYS,
+        active: Callable[[DataFrame, Column, int], DataFrame] = active_users) -> DataFrame:
     """Current and previous window and all time, in one row.
 
+    ``active``: counts the users of ``tracking``; ``user_bitmaps.active_users`` counts those of stored bitmaps.
+
     The summary is folded to one row per day first; its last day is then a maximum
     over those few rows. The finished row is one scalar subquery, which gives the
     user count its last day too, so neither input is computed twice.
@@ -54,7 +58,7 @@ def kpi(summary: DataFrame, tracking: DataFrame, days: int = domain.ROLLING_DAYS
         *[F.sum(F.when(c, F.col(k))).cast(_kind(k)).alias(f"{n}_{k}") for n, c in windows.items() for k in KPI_SUMS],
         *[F.sum(k).cast(_kind(k)).alias(f"all_{k}") for k in ("rev", "cost", "subs")])
     row = sums.select(F.struct("*")).scalar()
-    users = active_users(tracking, row.getField("data_end"), days)
+    users = active(tracking, row.getField("data_end"), days)
     return users.select(row.alias("row"), "*").select("row.*", *users.columns)
 
 

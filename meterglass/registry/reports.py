@@ -2,12 +2,19 @@
 
 from __future__ import annotations
 
-from meterglass.plans import reports, summary
+from datetime import date
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from meterglass.plans import reports, summary, user_bitmaps
 from meterglass.registry import behavior as behaviour
 from meterglass.registry import summary as facts
 from meterglass.registry import tracking
 from meterglass.registry.common import on_sample
 from meterglass.registry.sql import query
+from meterglass.session import scratch_path
+from meterglass.sources import tables
 from meterglass.sources.sample import ROLLING_DAYS, WEEKLY_SINCE
 
 DAYS = (facts.FACT, facts.DAILY)
@@ -168,3 +175,30 @@ for _name, _column in (("chart_daily_cost", "date_id"), ("chart_cost_by_model",
 on_sample("chart_top_users", query(
     f'SELECT "userId", {COST} FROM dom GROUP BY ALL ORDER BY 2 DESC, 1 LIMIT 10'))(
     lambda s: reports.top_users(both(s), 10))
+
+
+def kept_bitmaps(s) -> DataFrame:
+    """Stored bitmaps of the tracked users, made in two runs: January 18th comes again, whole, in the second one."""
+    rows = tracking.total(s).select("version", "date_id", "userId")
+    path, spark = scratch_path(rows.sparkSession, "bitmaps"), rows.sparkSession
+    rows.write.partitionBy("date_id").parquet(f"{path}-rows")
+    rows = spark.read.schema(rows.schema).parquet(f"{path}-rows")
+    every = sorted(r[0] for r in rows.select("date_id").distinct().collect())
+    edge = date(2024, 1, 18)
+    banned = tables.banned_users(s.b2c_users)
+    user_bitmaps.update(rows.where((F.col("date_id") < F.lit(edge)) | (F.col("userId") < "u-3")), banned, path, changed=[d for d in every if d <= edge])
+    user_bitmaps.update(rows, banned, path, changed=[d for d in every if d >= edge])
+    return user_bitmaps.read(spark, path)
+
+
+on_sample("bitmap_dash_kpi", query("SELECT * FROM kpi", *DAYS, *USERS, KPI))(
+    lambda s: reports.kpi(daily(s), kept_bitmaps(s), ROLLING_DAYS, user_bitmaps.active_users))
+on_sample("bitmap_weekly_users", query(f"""
+  SELECT {WEEK}, count(DISTINCT "userId") FILTER (WHERE version = 'B2C') AS b2c_users,
+    count(DISTINCT "userId") FILTER (WHERE version = 'B2B') AS b2b_users
+  FROM tracking_total WHERE {SINCE} GROUP BY ALL""", *USERS))(
+    lambda s: user_bitmaps.weekly_users(kept_bitmaps(s), WEEKLY_SINCE))
+on_sample("bitmap_users_between", query("""
+  SELECT version, count(DISTINCT "userId") AS users FROM tracking_total
+  WHERE date_id BETWEEN DATE '2024-01-09' AND DATE '2024-01-21' GROUP BY ALL""", *USERS))(
+    lambda s: user_bitmaps.users_between(kept_bitmaps(s), date(2024, 1, 9), date(2024, 1, 21)))
