@@ -19,6 +19,7 @@ from meterglass.functions import calendar, figures
 from meterglass.operators import dedup, splitting
 from meterglass.operators.splitting import LONG, RUN
 from meterglass.plans.summary import is_usage
+from meterglass.session import scratch_path
 from meterglass.sources import tables
 
 EVENT_COLUMNS = ("event_id", "userId", "eventType", "subscriptionId", "packageId", "eggToken",
@@ -55,7 +56,8 @@ def _instant(boundary: str) -> str:
     return f"last_{boundary}"
 
 
-def _with_instants(rows: DataFrame, cuts: DataFrame | None, entering: DataFrame | None) -> DataFrame:
+def _with_instants(rows: DataFrame, any_long: bool, entering: DataFrame | None,
+                   store: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """The last instant of each kind of boundary before the run, as a cut may part rows of one instant."""
     names = {_instant(b): b for b in domain.BOUNDARIES}
     if entering is not None:
@@ -63,13 +65,13 @@ def _with_instants(rows: DataFrame, cuts: DataFrame | None, entering: DataFrame
         rows = rows.join(state, F.col("userId").eqNullSafe(F.col("__key")), "left").drop("__key")
     else:
         rows = rows.withColumns({n: F.lit(None).cast(rows.schema["eventTimeStamp"].dataType) for n in names})
-    if cuts is None:
+    if not any_long:
         return rows
     ends = rows.where(LONG).groupBy("userId", RUN).agg(*[
         F.max(F.when(F.col("eventType") == b, F.col("eventTimeStamp"))).alias(n) for n, b in names.items()])
     before = splitting.runs_of("userId").rowsBetween(W.unboundedPreceding, -1)
     ends = ends.select("userId", RUN, *[F.max(n).over(before).alias(f"__{n}") for n in names])
-    carried = splitting.with_carry(rows, ends, "userId")
+    carried = splitting.with_carry(rows, store(ends), "userId")
     return carried.withColumns({n: F.coalesce(f"__{n}", n) for n in names}).drop(*(f"__{n}" for n in names))
 
 
@@ -168,13 +170,20 @@ def rows_in_cycles(events: DataFrame, chosen: Callable[[DataFrame], DataFrame],
     events = events.select(*EVENT_COLUMNS).withColumn("is_use", is_usage())
     cuts = splitting.long_keys(events, "userId", _ORDER, rows_per_run)
     events = splitting.with_runs(chosen(events), cuts, "userId", _ORDER)
-    ordered = _with_instants(_rows(events, seen), cuts, entering)
+    carry = None if entering is None else _entering_carry(entering, cuts)
+    return _in_runs(_rows(events, seen), cuts is not None, entering, carry)
+
+
+def _in_runs(rows: DataFrame, any_long: bool, entering: DataFrame | None = None, entering_carry: DataFrame | None = None,
+             store: Callable[[DataFrame], DataFrame] = lambda frame: frame) -> DataFrame:
+    """Boundaries and usage, numbered by run, each with its cycle. ``store``: writes the frames with one row per run."""
+    ordered = _with_instants(rows, any_long, entering, store)
     marked = _marked(ordered)
     # Without a long user nothing is carried inside the days, and one pass over the events is all.
-    carried = _carried(_marked(ordered.where(LONG)) if cuts is not None else marked.where(F.lit(False)),
-                       entering if cuts is not None else None)
-    if entering is not None:
-        carried = carried.unionByName(_entering_carry(entering, cuts), allowMissingColumns=True)
+    carried = (store(_carried(_marked(ordered.where(LONG)), entering)) if any_long
+               else _carried(marked.where(F.lit(False)), None))
+    if entering_carry is not None:
+        carried = carried.unionByName(entering_carry, allowMissingColumns=True)
     rows = splitting.with_carry(marked, carried, "userId")
     # Inside the run the boundary is known; before the run's first one it is the carried one.
     here = F.col("cur").isNotNull()
@@ -196,6 +205,36 @@ def rows_in_cycles(events: DataFrame, chosen: Callable[[DataFrame], DataFrame],
         (F.col("starts") + F.coalesce("c_starts", F.lit(0))).alias("cycle_index"))
 
 
+def laid_out(events: DataFrame, *, start_date: date, as_of: date, rows_per_run: int = splitting.ROWS_PER_RUN) -> DataFrame:
+    """The window's boundaries and usage, each event once and numbered by run: what a layout by user and run stores."""
+    events = window_events(events, start_date, as_of).select(*EVENT_COLUMNS).withColumn("is_use", is_usage())
+    cuts = splitting.long_keys(events, "userId", _ORDER, rows_per_run)
+    return splitting.with_runs(_rows(events, None).drop("used"), cuts, "userId", _ORDER)
+
+
+LAYOUT_KEYS, LAYOUT_ORDER = ("userId", RUN), _ORDER
+
+
+def token_cycles_laid_out(stored: DataFrame, packages: DataFrame, users: DataFrame) -> DataFrame:
+    """``token_cycles`` of events stored by ``laid_out`` and bucketed by user and run.
+
+    All ordered work finds its rows in place: no event is shuffled, and a long user's runs lie in several buckets. What
+    runs hand on is written, one row per run, so that its measured size decides that it is sent to the events.
+    Copies of an event are dropped before bans here, which is the same where copies have one user.
+    """
+    spark = stored.sparkSession
+
+    def store(frame: DataFrame) -> DataFrame:
+        path = scratch_path(spark, "carry")
+        frame.write.parquet(path)
+        return spark.read.schema(frame.schema).parquet(path)
+
+    any_long = not stored.where(LONG).isEmpty()
+    rows = tables.without_banned(stored, users).withColumn("used", F.when(F.col("is_use"), F.abs("eggToken")))
+    return measured(shared_start(_cycle_sums(_in_runs(rows, any_long, store=store))),
+                    tables.b2c_packages(packages, "packageName").distinct())
+
+
 def boundary_rows(rows: DataFrame) -> DataFrame:
     """Kept boundaries with the grant in force and the next boundary."""
     return rows.where("kept").select("userId", "event_id", "eventTimeStamp", "eventType", "eggToken", "last_grant",
