@@ -284,11 +284,29 @@ def _(spark, sf_dir):
                                     path, domain.USERS_SCHEMA)})
 
 
+def _streamed(spark, sf_dir, late_after: int | None = None) -> tuple[str, str]:
+    """Two streaming runs; the second one's files hold a third of the first one's documents again, and all of January 5th."""
+    docs_path, path, checkpoint = (scratch_path(spark, n) for n in ("docs", "events", "progress"))
+    docs, at = sample.event_documents(spark, sf_dir), F.col("eventTimeStamp").getField("$date")
+    late = at.startswith("2024-01-05")
+    second = late | (at >= "2024-01-20") | (F.crc32(F.col("_id").getField("$oid")) % 3 == 0)
+    for part in (~late & (at < "2024-01-20"), second):
+        docs.where(part).write.mode("append").json(docs_path)
+        streaming.stream_events(spark, docs_path, path, checkpoint, late_after=late_after).awaitTermination()
+    return path, streaming.landed_beside(checkpoint)
+
+
 @register("stream_ingest", query(f'SELECT {PER_DAY} FROM dom GROUP BY ALL'))
 def _(spark, sf_dir):
-    docs_path, path, checkpoint = (scratch_path(spark, n) for n in ("docs", "events", "progress"))
-    sample.event_documents(spark, sf_dir).write.json(docs_path)
-    streaming.stream_events(spark, docs_path, path, checkpoint).awaitTermination()
+    return _per_day(lake.read_events(spark, _streamed(spark, sf_dir)[0]))
+
+
+@register("stream_late_days", query(f'SELECT {PER_DAY} FROM dom GROUP BY ALL'))
+def _(spark, sf_dir):
+    """Days more than a week behind wait until the stream has ended and are then replaced once."""
+    path, landed = _streamed(spark, sf_dir, late_after=7)
+    like = documents.parse_lines(spark.createDataFrame([], "value string"), domain.EVENT_FIELDS)
+    streaming.replace_late(like, landed, path)
     return _per_day(lake.read_events(spark, path))
 
 

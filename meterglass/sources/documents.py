@@ -120,18 +120,6 @@ def land(docs: DataFrame, first: date, last: date, path: str, *, tz: str = domai
     return docs.sparkSession.read.schema(found.schema).parquet(path)
 
 
-def land_batch(docs: DataFrame, path: str, batch: int, tz: str = domain.TIME_ZONE) -> list[date]:
-    """Add a batch to landed documents, once however often it is repeated; gives the local days it touches.
-
-    A document without a time fails the job, as it has no day.
-    """
-    rows = docs.withColumn(DAY, calendar.local_date(values.to_utc_timestamp(docs, "eventTimeStamp"), tz))
-    folder = f"{path}/batch={batch}"
-    rows.write.mode("overwrite").partitionBy(DAY).parquet(folder)
-    # One value for each calendar day, from the names of the folders.
-    return sorted(r[0] for r in docs.sparkSession.read.schema(rows.schema).parquet(folder).select(DAY).distinct().collect())
-
-
 def landed_days(landed: DataFrame, days: Sequence[date]) -> DataFrame:
     """Landed documents of those days; other days' files are not read."""
-    return landed.where(F.col(DAY).isin(*days)).drop(DAY, "batch")
+    return landed.where(F.col(DAY).isin(*days)).drop(DAY)

@@ -10,7 +10,7 @@ from meterglass.operators import normalize
 from meterglass.plans import ingest
 from meterglass.registry import ORACLES, QUERIES
 from meterglass.session import scratch_path
-from meterglass.sources import commits, documents, lake, sample, tables
+from meterglass.sources import commits, documents, lake, landing, sample, tables
 from meterglass.sources import days as day_tables
 from meterglass.streaming import ingest as streaming
 
@@ -308,6 +308,31 @@ def test_stream_reruns_change_nothing(spark, sf_dir):
     assert lake.read_events(spark, path).select("event_id").distinct().count() == docs.count()
 
 
+def test_stream_drops_resent_documents_and_lets_late_days_wait(spark, sf_dir, monkeypatch):
+    monkeypatch.setattr(landing, "COMPACT", 3)
+    docs, at = sample.event_documents(spark, sf_dir), F.col("eventTimeStamp").getField("$date")
+    source, path, progress = (scratch_path(spark, n) for n in ("docs", "events", "progress"))
+    late = at.startswith("2024-01-05")
+    parts = (~late & (at < "2024-01-20"), at >= "2024-01-20", late, at >= "2024-01-18")
+    for part in parts:
+        docs.where(part).write.mode("append").json(source)
+        streaming.stream_events(spark, source, path, progress, late_after=5).awaitTermination()
+    landed = streaming.landed_beside(progress)
+    n_late = docs.where(late).count()
+    state = landing.listed(spark, landed)
+    days = [date.fromisoformat(d) for d in state.waiting]
+    assert state.late_rows == n_late > 0 and set(days) <= {date(2024, 1, 5), date(2024, 1, 6)}   # a UTC day is two local ones
+    assert lake.read_events(spark, path).count() < docs.count()
+    like = documents.parse_lines(spark.createDataFrame([], "value string"), domain.EVENT_FIELDS)
+    assert sorted(streaming.replace_late(like, landed, path)) == days and streaming.replace_late(like, landed, path) == {}
+    found = lake.read_events(spark, path)
+    assert found.count() == found.select("event_id").distinct().count() == docs.count()
+    # Days of many batches lie in one folder, and a reader of a day lists that day alone.
+    assert max(len(f) for f in landing.listed(spark, landed).folders.values()) < 3
+    one = landing.read(spark, landed, streaming._dated(like, domain.TIME_ZONE).schema, [DAY])
+    assert {f.split("/")[-2] for f in one.inputFiles()} == {f"{documents.DAY}={DAY}"}
+
+
 def test_daily_run(spark, sf_dir):
     data = sample.load(spark, sf_dir)
     docs = sample.event_documents(spark, sf_dir)
