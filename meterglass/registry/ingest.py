@@ -242,11 +242,30 @@ def _(spark, sf_dir):
     return spark.table(name).drop("updated_at")
 
 
-@register("validate_day", query('SELECT date_id, count(*) AS rows FROM dom GROUP BY ALL'))
+FAULTS = """
+faulty AS (
+  SELECT date_id, concat_ws('; ', CASE WHEN k % 10 IN (3, 4) THEN 'no event_id' END, CASE WHEN k % 10 = 4 THEN 'no totalCostThb' END,
+    CASE WHEN date_id > DATE '2024-01-20' THEN 'other day' END) AS found
+  FROM dom
+)
+"""
+
+
+@register("validate_day", query("""
+  SELECT date_id, nullif(found, '') AS reason, count(*) AS rows, count(*) AS counted FROM faulty GROUP BY ALL""", FAULTS))
 def _(spark, sf_dir):
+    """Rows with planted faults through the gate: what was stored, what was rejected and why, and what the job counted."""
     rows = normalize.normalize_events(sample.event_documents(spark, sf_dir), ingested_at=NOW)
-    lake.check_columns(rows, domain.EVENT_SCHEMA)
-    return lake.rows_per_day(rows)
+    fault = F.col("websearchToken") % 10
+    rows = rows.withColumns({"event_id": F.when(~fault.isin(3, 4), F.col("event_id")), "totalCostThb": F.when(fault != 4, F.col("totalCostThb"))})
+    days, path = lake.days_of((date(2024, 1, 1), date(2024, 1, 20))), scratch_path(spark, "gated")
+    stored, rejected = lake.replace_days_gated(rows, path, days, max_rejects=10 ** 9)
+    good = lake.rows_per_day(lake.read_events(spark, path)).select("date_id", F.lit(None).cast("string").alias("reason"), "rows")
+    bad = lake.read_rejects(spark, path).groupBy("date_id", F.col(lake.REASON).alias("reason")).agg(F.count(F.lit(1)).alias("rows"))
+    counted = spark.createDataFrame([(d, n) for d, n in stored.items()], "day date, counted long")
+    right = lake.read_rejects(spark, path).agg(*[F.count_if(F.contains(lake.REASON, F.lit(r))).alias(r) for r in rejected]).first().asDict() == rejected
+    return good.unionByName(bad).join(counted, (F.col("date_id") == F.col("day")) & F.col("reason").isNull(), "left").select(
+        "date_id", "reason", "rows", F.when(F.col("reason").isNull(), F.col("counted")).when(F.lit(right), F.col("rows")).alias("counted"))
 
 
 def _ingested(spark, sf_dir) -> tuple[str, dict[date, int]]:

@@ -37,6 +37,14 @@ def write(frame: DataFrame, path: str, table: str, run: str) -> dict[str, str]:
     return {f"{table} {day}": run for day in found}
 
 
+def write_tables(frame: DataFrame, path: str, tables: Sequence[str], run: str) -> dict[str, dict[str, str]]:
+    """Write the days of several tables in one job; the column ``TABLE`` says whose a row is. Gives the entries of each table."""
+    folder = f"{path}/data/{RUN}={run}"
+    frame.write.partitionBy(TABLE, DAY).parquet(folder)
+    names = {t: commits.names_in(frame.sparkSession, f"{folder}/{TABLE}={t}") for t in tables}
+    return {t: {f"{t} {n.removeprefix(f'{DAY}=')}": run for n in found if n.startswith(f"{DAY}=")} for t, found in names.items()}
+
+
 def replaced(entries: Mapping[str, str], table: str, days: Iterable[date], new: Mapping[str, str]) -> dict[str, str]:
     """The list with these days of the table taken from ``new`` alone; days that it lacks are empty."""
     gone = {f"{table} {day}" for day in days}

@@ -148,6 +148,76 @@ def replace_days(frame: DataFrame, path: str, days: Sequence[date],
     return {day: seen.get(str(day), 0) for day in days}
 
 
+REJECTS, REASON = "rejects", "reject_reason"
+
+
+class TooManyRejects(ValueError):
+    """More rows were rejected than the load may lose."""
+
+
+def event_rules(days: Sequence[date], schema: T.StructType = domain.EVENT_SCHEMA) -> dict[str, Column]:
+    """What makes a row bad, by the reason that is noted: a required column without a value, a day that isn't loaded."""
+    rules = {f"no {f.name}": F.col(f.name).isNull() for f in schema if not f.nullable}
+    outside = ~F.col("date_id").isin(*days) if days else F.lit(True)
+    return rules | {"other day": F.coalesce(outside, F.lit(False))}
+
+
+def reasons(rules: Mapping[str, Column]) -> Column:
+    """All reasons that hold for a row, in the rules' order; null for a good row."""
+    text = F.concat_ws("; ", *(F.when(F.coalesce(bad, F.lit(True)), F.lit(name)) for name, bad in rules.items()))
+    return F.nullif(text, F.lit(""))
+
+
+def replace_days_gated(frame: DataFrame, path: str, days: Sequence[date], schema: T.StructType = domain.EVENT_SCHEMA, *,
+                       rules: Mapping[str, Column] | None = None, max_rejects: int = 0) -> tuple[dict[date, int], dict[str, int]]:
+    """``replace_days`` that sets bad rows aside; gives the good rows per day and the bad ones per reason.
+
+    One job reads the frame, writes good rows and bad ones with their reasons, and counts both. With more than ``max_rejects`` bad
+    rows nothing becomes visible. Rejects lie beside the events, on their day, or on the last replaced one if theirs is another, and
+    are replaced with these days.
+    """
+    check_columns(frame, schema)
+    if not days:
+        return {}, {}
+    spark = frame.sparkSession
+    rules = rules or event_rules(days, schema)
+    rows = frame.withColumn(REASON, reasons(rules))
+    good = F.col(REASON).isNull()
+    counts = Observation()
+    rows = rows.observe(
+        counts, F.count_if(~good).alias("bad"), *(F.count_if(good & (F.col("date_id") == F.lit(d))).alias(f"day {d}") for d in days),
+        *(F.count_if(F.coalesce(bad, F.lit(True))).alias(f"rule {name}") for name, bad in rules.items()))
+    inside = F.coalesce(F.col("date_id").isin(*days), F.lit(False))
+    rows = rows.withColumns({"rejected_date_id": F.when(~good, F.col("date_id")),
+                             day_tables.TABLE: F.when(good, EVENTS).otherwise(REJECTS),
+                             "date_id": F.when(inside, F.col("date_id")).otherwise(F.lit(max(days)))})
+    run = day_tables.new_run()
+    rows = rows.hint("rebalance", day_tables.TABLE, "date_id").sortWithinPartitions(day_tables.TABLE, "date_id", *CLUSTER)
+    new = day_tables.write_tables(rows, path, (EVENTS, REJECTS), run)
+    seen = _observed(counts, frame)
+    bad = seen.get("bad", 0)
+    if bad > max_rejects:
+        commits.remove(spark, f"{path}/data/{day_tables.RUN}={run}")
+        raise TooManyRejects(f"{bad} rows rejected, {max_rejects} allowed: " + ", ".join(
+            f"{n} {name[5:]}" for name, n in seen.items() if name.startswith("rule ") and n))
+
+    def entries(old: Mapping[str, str]) -> dict[str, str]:
+        for table in (EVENTS, REJECTS):
+            old = day_tables.replaced(old, table, days, new[table])
+        return dict(old)
+    commits.change(spark, path, entries)
+    return ({day: seen.get(f"day {day}", 0) for day in days},
+            {name: seen[f"rule {name}"] for name in rules if seen.get(f"rule {name}")})
+
+
+def read_rejects(spark: SparkSession, path: str, schema: T.StructType = domain.EVENT_SCHEMA) -> DataFrame:
+    """Rejected rows with their reasons, under their own ``date_id``."""
+    loose = T.StructType([T.StructField(f.name, f.dataType) for f in schema] + [T.StructField(REASON, T.StringType()), T.StructField(
+        "rejected_date_id", T.DateType())])
+    rows = day_tables.read(spark, path, commits.last(spark, path).entries, REJECTS, loose)
+    return rows.withColumn("date_id", F.col("rejected_date_id")).drop("rejected_date_id")
+
+
 def replace_day(frame: DataFrame, path: str, day: date) -> int:
     return replace_days(frame, path, [day])[day]
 

@@ -211,6 +211,30 @@ def test_required_columns(spark, typed):
         lake.replace_day(broken, scratch_path(spark, "events"), DAY)
 
 
+def test_the_gate_sets_bad_rows_aside_or_stops(spark, typed):
+    path = scratch_path(spark, "events")
+    block = [date(2024, 1, 14), DAY, date(2024, 1, 16)]
+    rows = typed.where(F.col("date_id").isin(*block))
+    whole = lake.replace_days(rows, path, block)
+    bad = F.col("date_id") == F.lit(DAY)
+    broken = rows.withColumns({"event_id": F.when(~bad, F.col("event_id")), "date_id": F.when(
+        F.col("date_id") == F.lit(block[2]), F.lit(date(2024, 3, 1))).otherwise(F.col("date_id"))})
+    n = whole[DAY] + whole[block[2]]
+    with pytest.raises(lake.TooManyRejects, match=f"{n} rows rejected, {n - 1} allowed"):
+        lake.replace_days_gated(broken, path, block, max_rejects=n - 1)
+    assert per_day(spark, path) == whole and lake.read_rejects(spark, path).count() == 0
+    stored, rejected = lake.replace_days_gated(broken, path, block, max_rejects=n)
+    assert stored == {block[0]: whole[block[0]], DAY: 0, block[2]: 0}
+    assert rejected == {"no event_id": whole[DAY], "other day": whole[block[2]]}
+    assert per_day(spark, path) == {block[0]: whole[block[0]]}
+    found = {(r.date_id, r.reject_reason): r["count"] for r in lake.read_rejects(spark, path).groupBy("date_id", lake.REASON).count().collect()}
+    assert found == {(DAY, "no event_id"): whole[DAY], (date(2024, 3, 1), "other day"): whole[block[2]]}
+    # The days again, now good: their rejects go with them.
+    assert lake.replace_days_gated(rows, path, block) == (whole, {})
+    assert per_day(spark, path) == whole and lake.read_rejects(spark, path).count() == 0
+    assert lake.replace_days_gated(rows.limit(0), path, block) == (dict.fromkeys(block, 0), {})
+
+
 def test_a_block_reads_its_documents_once(spark, sf_dir):
     docs = sample.event_documents(spark, sf_dir)
     seen = spark.sparkContext.accumulator(0)
