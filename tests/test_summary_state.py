@@ -75,8 +75,7 @@ def test_a_late_first_event_takes_the_count(spark, lake):
     assert lake.stored() == lake.rebuilt(events(spark, *known), none)
 
 
-@pytest.mark.parametrize("seed", [1, 2])
-def test_days_in_any_order_equal_the_rebuild(spark, lake, seed):
+def test_days_in_any_order_equal_the_rebuild(spark, lake, seed=1):
     pick = random.Random(seed)
     b2c, b2b = story(seed, ("1", "2", "12", "7")), story(seed + 10, ("4", "9", "5"))
     late = [r for r in b2c + b2b if r[1][:2] in ("03", "04") and pick.random() < .6]
