@@ -363,11 +363,10 @@ def find_watermark(state: DataFrame, name: str) -> DataFrame:
 
 def merged_state(state: DataFrame, updates: DataFrame) -> DataFrame:
     """Upsert by name: matched rows take the new values, unmatched ones are added, all others stay."""
-    new = updates.select(F.col("pipeline_name").alias("name"), *[F.col(c).alias(f"new_{c}") for c in ("last_processed_date", "updated_at")])
-    rows = state.join(new, F.col("pipeline_name") == F.col("name"), "full")
-    matched = F.col("name").isNotNull()
-    return rows.select(F.coalesce("name", "pipeline_name").alias("pipeline_name"), *[
-        F.when(matched, F.col(f"new_{c}")).otherwise(F.col(c)).alias(c) for c in ("last_processed_date", "updated_at")])
+    columns = domain.STATE_SCHEMA.names
+    both = state.select(*columns, F.lit(0).alias("is_new")).unionByName(updates.select(*columns, F.lit(1).alias("is_new")))
+    values = F.max_by(F.struct("last_processed_date", "updated_at"), "is_new").alias("v")
+    return both.groupBy("pipeline_name").agg(values).select("pipeline_name", "v.*")
 
 
 def read_state(spark: SparkSession, path: str) -> DataFrame:
@@ -396,10 +395,14 @@ def merge_state(updates: DataFrame, path: str, expected: Mapping[str, date | Non
     ``expected``: positions (None: no row) that the names must still have, or the merge fails with ``commits.Conflict``: of two runs that
     started from one position, only one can move it.
     """
-    spark = updates.sparkSession
     repeated = updates.groupBy("pipeline_name").count().where("count > 1 OR pipeline_name IS NULL").first()
     if repeated:
         raise ValueError(f"an upsert needs one row per name: {repeated.pipeline_name}")
+    _merge(updates, path, expected, keep)
+
+
+def _merge(updates: DataFrame, path: str, expected: Mapping[str, date | None] | None, keep: int) -> None:
+    spark = updates.sparkSession
     for _ in range(20):
         read = commits.last(spark, path)
         state = _state_of(spark, path, read)
@@ -429,12 +432,12 @@ def _drop_old_states(spark: SparkSession, path: str, keep: int) -> None:
 
 
 def set_watermark(spark: SparkSession, path: str, name: str, day: date, at: datetime | None = None, *,
-                  expected: Mapping[str, date | None] | None = None) -> None:
+                  expected: Mapping[str, date | None] | None = None, keep: int = 10) -> None:
     """Upsert one position; see ``merge_state``."""
     row = spark.range(1).select(
         F.lit(name).alias("pipeline_name"), F.lit(day).alias("last_processed_date"),
         (F.lit(at) if at else F.current_timestamp()).alias("updated_at"))
-    merge_state(row, path, expected)
+    _merge(row, path, expected, keep)
 
 
 def state_view(spark: SparkSession, name: str, path: str) -> None:

@@ -123,9 +123,9 @@ def test_versions_of_days_show_what_changed(spark, tmp_path):
     """A day written again before a run that failed is read again by the next one; unchanged days are not."""
     frame, path = events(spark, *story(8)), str(tmp_path / "state")
     seen = {date(2024, 1, d): "v1" for d in range(1, 11)}
-    cycle_state.update(frame, path, start_date=START, as_of=date(2024, 1, 11), versions=seen, single_days=4)
-    assert cycle_state.update(frame, path, start_date=START, as_of=date(2024, 1, 11), versions=seen, single_days=4) == []
+    cycle_state.update(frame, path, start_date=START, as_of=date(2024, 1, 11), versions=seen, single_days=3)
+    assert cycle_state.update(frame, path, start_date=START, as_of=date(2024, 1, 11), versions=seen, single_days=3) == []
     later = seen | {date(2024, 1, 9): "v2", date(2024, 1, 11): "v2", date(2024, 1, 12): "v2"}
-    done = cycle_state.update(frame, path, start_date=START, as_of=date(2024, 1, 12), versions=later, single_days=4)
+    done = cycle_state.update(frame, path, start_date=START, as_of=date(2024, 1, 12), versions=later, single_days=3)
     assert [first for first, _ in done] == [date(2024, 1, d) for d in (9, 10, 11)]
     assert carried(spark, frame, path) == rebuilt(spark, frame, date(2024, 1, 12))
