@@ -1,17 +1,18 @@
 """LM scoring with a hashed maximum-entropy model.
 
-The probability of a token is that of its class given the context, times that of the token in its class. The most frequent tokens
-are classes of their own, the others share classes by their last letters. The class is a softmax over hashed features: the token
-before, the two before (n-grams), and the second and third before alone (skips). In a class tokens are counted, with one added.
+The probability of a token is that of its class given the context, times that of its member of the class given class and context, times
+that of the token in its member. The most frequent tokens are members of their own, put into classes by frequency; the others share
+members by their last letters. Class and member are each a trained softmax over hashed features: the token before, the two before (n-grams), and the
+second and third before alone (skips). In a shared member tokens are counted, with one added.
 
 Counts come from all training texts: blocks of texts send their distinct tokens with counts to buckets of the hash space and get
 the sums back (see ``blocks``). Weights are trained by gradient updates in the tasks, each over its own texts from the same
 start, and averaged by tokens; all training texts take part in each round, and the tree of sums holds a bounded part
-at every node. Counts and weight changes so gathered grow with the corpus; the model has a fixed size. Scoring looks features up in
-batches of tokens.
+at every node. Counts, weight changes and the slots of the model (with the third root of the training tokens) grow with the corpus. Scoring
+looks features up in batches of tokens.
 
 Defined cases: a null text counts as empty and has its end token only; a null id belongs to the training rows; rows that repeat an
-id are texts of their own; without training rows all counts are 0 and every class is equally likely; no rows give no rows;
+id are texts of their own; without training rows all counts are 0 and every member is equally likely; no rows give no rows;
 other columns are ignored.
 """
 
@@ -19,7 +20,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -31,14 +32,23 @@ from meterglass.llm import blocks as B
 from meterglass.llm.common import U64, Words, mix, register, stored, table, word_hashes
 
 FOLDS, HELD_OUT = 7, 2
-#: Classes of single tokens and of shared endings; slots of hashed features.
-TOP, TAILS, SLOT_BITS = 48, 16, 14
-CLASSES = TOP + TAILS
+#: Classes, and members of a class; members of single tokens and of shared endings.
+WIDTH = 16
+TOP, TAILS = 192, 64
+MEMBERS = TOP + TAILS
+assert MEMBERS == WIDTH * WIDTH
+#: Slots of hashed features: a power of two of at least this many times the third root of the training tokens.
+SLOTS_PER_ROOT, LEAST_BITS = 128, 12
 BATCH, RATE, ROUNDS = 4096, 0.25, 1
-#: Parts of the weights that are summed apart, and how many of one part a node of the tree sums.
-SLICES, FAN_IN = 16, 16
+#: Energies are cut here, so that no exponential overflows; probabilities still sum to one.
+HIGHEST = np.float32(60)
+#: Slots of a part of the weights that is summed apart, and how many copies of one part a node of the tree sums.
+SLICE_SLOTS, FAN_IN = 1 << 12, 16
 END, START = U64(0x5851F42D4C957F2D), U64(0)
 FEATURES = 4
+#: What tells the features' keys apart, and the classes whose members are chosen.
+SALTS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5], U64)
+CLASS_SALT = U64(0xD6E8FEB86659FD93)
 
 
 class Tokens:
@@ -63,50 +73,73 @@ class Tokens:
         out[k:] = self.hashes[:-k] if k else self.hashes
         return np.where(self.place >= k, out, START)
 
-    def slots(self) -> list[np.ndarray]:
+    def features(self) -> np.ndarray:
+        """A 64-bit key for each feature and token."""
         one, two, three = (self.before(k) for k in (1, 2, 3))
-        keys = (one + U64(1), mix(one + U64(2)) + two, two + U64(3) * END, three + U64(4) * END)
-        return [(mix(k) >> U64(64 - SLOT_BITS)).astype(np.int64) for k in keys]
+        return np.stack([mix(k + salt) for k, salt in zip((one, mix(one) + two, two, three), SALTS)])
 
-    def classes(self, top: np.ndarray) -> np.ndarray:
-        """Of each token; top: (sorted hashes, class of each)."""
+    def members(self, top: np.ndarray) -> np.ndarray:
+        """Of each token; top: (sorted hashes, member of each)."""
         hashes, numbers = top
         at = np.minimum(np.searchsorted(hashes, self.hashes), len(hashes) - 1)
         return np.where(hashes[at] == self.hashes, numbers[at], TOP + self.tails)
 
 
+def slot_bits(train_tokens: int) -> int:
+    return max(LEAST_BITS, int(np.ceil(np.log2(SLOTS_PER_ROOT * max(train_tokens, 1) ** (1 / 3)))))
+
+
 def in_training(ids: list, folds: int, held_out: int) -> np.ndarray:
     return np.array([i is None or zlib.crc32(str(i).encode()) % folds != held_out for i in ids], bool)
 
 
+@dataclass
+class Choices:
+    """The two choices made for each token: its class, then its member of the class. Row 0 of each array is the first."""
+
+    slots: np.ndarray
+    bias: np.ndarray
+    taken: np.ndarray
+
+    def of(self, a: int, b: int) -> Choices:
+        """Those for tokens a .. b - 1, in a row: all first choices, then all second."""
+        return Choices(self.slots[:, :, a:b].reshape(FEATURES, -1), self.bias[:, a:b].ravel(), self.taken[:, a:b].ravel())
+
+
 @dataclass
 class Model:
-    """Fixed size, whatever the corpus."""
+    """Weights of the choices by slot; the first row of the bias is for classes, the others for the members of each class."""
 
     top: tuple[np.ndarray, np.ndarray]
     bias: np.ndarray
-    class_tokens: np.ndarray
-    class_words: np.ndarray
+    member_tokens: np.ndarray
+    member_words: np.ndarray
     weights: np.ndarray
 
-    def energies(self, slots: list[np.ndarray], a: int, b: int, weights: np.ndarray | None = None) -> np.ndarray:
-        """Logs of the classes' probabilities for tokens a .. b - 1, less a constant for each token; the largest is 0."""
-        w = self.weights if weights is None else weights
-        out = w.take(slots[0][a:b], axis=0)
-        out += self.bias
-        for s in slots[1:]:
-            out += w.take(s[a:b], axis=0)
-        out -= out.max(axis=1, keepdims=True)
-        return out
+    def choices(self, tokens: Tokens, members: np.ndarray) -> Choices:
+        classes, keys = members // WIDTH, tokens.features()
+        bits = U64(64 - int(len(self.weights)).bit_length() + 1)
+        inner = mix(keys + (classes.astype(U64) + U64(1)) * CLASS_SALT)
+        return Choices((np.stack([keys, inner], axis=1) >> bits).astype(np.int32), np.stack([np.zeros_like(classes), classes + 1]),
+                       np.stack([classes, members % WIDTH]))
 
-    def class_logs(self, slots: list[np.ndarray], classes: np.ndarray) -> np.ndarray:
-        """Natural log of the probability of each token's class."""
-        out = np.empty(len(classes))
-        for a in range(0, len(classes), BATCH):
-            b = min(a + BATCH, len(classes))
-            found = self.energies(slots, a, b)
-            own = found[np.arange(b - a), classes[a:b]]
-            out[a:b] = own - np.log(np.exp(found, out=found).sum(axis=1))
+    def energies(self, made: Choices, weights: np.ndarray | None = None) -> np.ndarray:
+        """Logs of the probabilities of what can be taken, less a constant for each choice."""
+        w = self.weights if weights is None else weights
+        out = self.bias.take(made.bias, axis=0)
+        for s in made.slots:
+            out += w.take(s, axis=0)
+        return np.minimum(out, HIGHEST, out=out)
+
+    def member_logs(self, tokens: Tokens, members: np.ndarray) -> np.ndarray:
+        """Natural log of the probability of a member for each token."""
+        every, out = self.choices(tokens, members), np.empty(len(members))
+        for a in range(0, len(members), BATCH):
+            b = min(a + BATCH, len(members))
+            made = every.of(a, b)
+            found = self.energies(made)
+            logs = found[np.arange(len(found)), made.taken] - np.log(np.exp(found, out=found).sum(axis=1))
+            out[a:b] = logs[:b - a].astype(float) + logs[b - a:]
         return out
 
 
@@ -153,36 +186,67 @@ def start_model(answers: DataFrame) -> tuple[Model, int, int]:
 
     found = answers.where("block = -1").mapInArrow(rows, "hash long, tail long, n long, words long")
     sums = found.where("hash IS NULL").groupBy("tail").agg(F.sum("n").alias("n"), F.sum("words").alias("words")).collect()
-    tokens, words = np.zeros(CLASSES), np.zeros(CLASSES)
+    tokens, words = np.zeros(MEMBERS), np.zeros(MEMBERS)
     for r in sums:
         tokens[TOP + r["tail"]], words[TOP + r["tail"]] = r["n"], r["words"]
     n_tokens, n_words = int(tokens.sum()), int(words.sum())
     end = int(END) - (1 << 64) if int(END) >> 63 else int(END)
-    # The end is always a class of its own.
+    # The end is always a member of its own.
     top = found.where("hash IS NOT NULL").orderBy((F.col("hash") == end).desc(), F.desc("n"), "hash").limit(TOP).collect()
-    hashes = np.array([end] + [r["hash"] for r in top if r["hash"] != end][:TOP - 1], np.int64).view(U64)
-    for i, h in enumerate(hashes.view(np.int64).tolist()):
-        for r in top:
-            if r["hash"] == h:
-                tokens[TOP + r["tail"]] -= r["n"]
-                words[TOP + r["tail"]] -= 1
-                tokens[i], words[i] = r["n"], 1
+    seen = {r["hash"]: r for r in top}
+    hashes = [end] + [h for h in seen if h != end][:TOP - 1]
+    for i, h in enumerate(hashes):
+        if h in seen:
+            tokens[TOP + seen[h]["tail"]] -= seen[h]["n"]
+            words[TOP + seen[h]["tail"]] -= 1
+            tokens[i], words[i] = seen[h]["n"], 1
+    hashes = np.array(hashes, np.int64).view(U64)
     order = np.argsort(hashes)
-    bias = np.log((tokens + 1) / (n_tokens + CLASSES)).astype(np.float32)
-    return Model((hashes[order], order), bias, tokens, words, np.zeros((1 << SLOT_BITS, CLASSES), np.float32)), n_tokens, n_words
+    inner = tokens.reshape(WIDTH, WIDTH)
+    classes = inner.sum(axis=1, keepdims=True)
+    bias = np.log(np.concatenate([(classes.T + 1) / (n_tokens + WIDTH), (inner + 1) / (classes + WIDTH)])).astype(np.float32)
+    return Model((hashes[order], order), bias, tokens, words, np.zeros((1 << slot_bits(n_tokens), WIDTH), np.float32)), n_tokens, n_words
+
+
+def by_slot(slots: np.ndarray) -> np.ndarray:
+    """A stable order. Sixteen bits are sorted by radix, so wider slots are sorted in two steps."""
+    order = np.argsort(slots.astype(np.uint16), kind="stable")
+    high = (slots >> 16)[order]
+    return order if not high.any() else order[np.argsort(high.astype(np.uint16), kind="stable")]
 
 
-def updated(weights: np.ndarray, squares: np.ndarray, slots: list[np.ndarray], gap: np.ndarray) -> None:
-    """One gradient step, in place: each slot by the gaps of its tokens, scaled by what the slot has seen."""
+def updated(weights: np.ndarray, squares: np.ndarray, slots: np.ndarray, gap: np.ndarray) -> None:
+    """One gradient step, in place: each slot by the gaps of its choices, scaled by what the slot has seen."""
     for s in slots:
-        # Sixteen bits are sorted by radix.
-        order = np.argsort(s.astype(np.uint16), kind="stable")
+        order = by_slot(s)
         keys = s[order]
         first = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
-        step = np.add.reduceat(gap.take(order, axis=0), first, axis=0)
+        times = np.diff(first, append=len(keys))
+        step = gap.take(order[first], axis=0)
+        again = times > 1
+        if again.any():
+            # Only slots with several choices are summed; most have one.
+            step[again] = np.add.reduceat(gap.take(order[np.repeat(again, times)], axis=0), np.cumsum(times[again]) - times[again], axis=0)
         rows = keys[first]
-        squares[rows] += np.einsum("ij,ij->i", step, step)
-        weights[rows] += RATE * step / np.sqrt(squares[rows] + 1.0)[:, None]
+        seen = squares[rows] + np.einsum("ij,ij->i", step, step)
+        squares[rows] = seen
+        step *= (np.float32(RATE) / np.sqrt(seen + np.float32(1)))[:, None]
+        weights[rows] += step
+
+
+def learned(model: Model, weights: np.ndarray, squares: np.ndarray, tokens: Tokens) -> int:
+    """Steps over all tokens, in place; how many there are."""
+    members = tokens.members(model.top)
+    every = model.choices(tokens, members)
+    for a in range(0, len(members), BATCH):
+        made = every.of(a, min(a + BATCH, len(members)))
+        # What was seen less what was expected.
+        gap = model.energies(made, weights)
+        np.exp(gap, out=gap)
+        gap /= -gap.sum(axis=1, keepdims=True)
+        gap[np.arange(len(gap)), made.taken] += 1
+        updated(weights, squares, made.slots, gap)
+    return len(members)
 
 
 def train(staged: DataFrame, model: Model, folds: int, held_out: int, rounds: int) -> Model:
@@ -194,24 +258,14 @@ def train(staged: DataFrame, model: Model, folds: int, held_out: int, rounds: in
             model = shared.value
             weights, squares, seen = model.weights.copy(), np.zeros(len(model.weights), np.float32), 0
             for texts in training_groups(batches, folds, held_out):
-                tokens = Tokens(texts)
-                slots, classes = tokens.slots(), tokens.classes(model.top)
-                for a in range(0, len(classes), BATCH):
-                    b = min(a + BATCH, len(classes))
-                    # What was seen less what was expected.
-                    gap = model.energies(slots, a, b, weights)
-                    np.exp(gap, out=gap)
-                    gap /= -gap.sum(axis=1, keepdims=True)
-                    gap[np.arange(b - a), classes[a:b]] += 1
-                    updated(weights, squares, [s[a:b] for s in slots], gap)
-                seen += len(classes)
+                seen += learned(model, weights, squares, Tokens(texts))
             if seen:
-                change = (weights - model.weights) * np.float32(seen)
-                parts = [p.tobytes() for p in np.array_split(change, SLICES)]
                 me = TaskContext.get().partitionId()
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(range(SLICES), pa.int32()), pa.array([me] * SLICES, pa.int64()), pa.array([seen] * SLICES, pa.int64()),
-                     pa.array(parts, pa.binary())], ["slice", "part", "seen", "change"])
+                for i, a in enumerate(range(0, len(weights), SLICE_SLOTS)):
+                    change = (weights[a:a + SLICE_SLOTS] - model.weights[a:a + SLICE_SLOTS]) * np.float32(seen)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([i], pa.int32()), pa.array([me], pa.int64()), pa.array([seen], pa.int64()), pa.array([change.tobytes()], pa.binary())],
+                        ["slice", "part", "seen", "change"])
 
         def total(rows: pa.Table) -> pa.Table:
             change = np.zeros(len(rows["change"][0].as_py()) // 4, np.float32)
@@ -230,8 +284,8 @@ def train(staged: DataFrame, model: Model, folds: int, held_out: int, rounds: in
                        .applyInArrow(lambda rows: total(rows.drop_columns(["node"])), schema))
         parts = {r["slice"]: r for r in changes.collect()}
         if parts:
-            change = np.concatenate([np.frombuffer(parts[i]["change"], np.float32) / np.float32(parts[i]["seen"]) for i in range(SLICES)])
-            model = Model(model.top, model.bias, model.class_tokens, model.class_words, model.weights + change.reshape(model.weights.shape))
+            change = np.concatenate([np.frombuffer(parts[i]["change"], np.float32) / np.float32(parts[i]["seen"]) for i in sorted(parts)])
+            model = replace(model, weights=model.weights + change.reshape(model.weights.shape))
     return model
 
 
@@ -272,9 +326,9 @@ def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", f
                 known[a:b] = np.frombuffer(payload, "<u4" if len(payload) == 4 * (b - a) else "<u8")
         counts = known[which]
         base = np.log10((counts + 1) / (n_tokens + n_words + 1))
-        slots, classes = tokens.slots(), tokens.classes(model.top)
-        inside = np.where(classes < TOP, 0.0, np.log10((counts + 1) / (model.class_tokens + model.class_words + 1)[classes]))
-        per_token = inside + model.class_logs(slots, classes) / np.log(10)
+        members = tokens.members(model.top)
+        inside = np.where(members < TOP, 0.0, np.log10((counts + 1) / (model.member_tokens + model.member_words + 1)[members]))
+        per_token = inside + model.member_logs(tokens, members) / np.log(10)
         size = len(ids)
         return pa.table({
             "doc_id": rows["doc_id"], "held_out": pa.array(~in_training(ids, folds, held_out)),

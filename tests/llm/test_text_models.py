@@ -74,12 +74,51 @@ def test_lm_learns_context(spark):
     assert sum(r.score for r in got) > 0.7 * sum(r.base_score for r in got)
 
 
-def test_lm_class_probabilities_sum_to_one():
-    tokens = lm.Tokens(["a b c a", "", None])
-    weights = np.random.default_rng(0).normal(size=(1 << lm.SLOT_BITS, lm.CLASSES)).astype(np.float32)
-    model = lm.Model((np.array([lm.END]), np.array([0])), np.zeros(lm.CLASSES, np.float32), None, None, weights)
-    every = [model.class_logs(tokens.slots(), np.full(len(tokens.hashes), c)) for c in range(lm.CLASSES)]
-    assert np.exp(every).sum(axis=0) == pytest.approx(1, abs=1e-5)
+def lm_model(bits=12, seed=0):
+    pick = np.random.default_rng(seed)
+    return lm.Model((np.array([lm.END]), np.array([0])), pick.normal(size=(1 + lm.WIDTH, lm.WIDTH)).astype(np.float32), None, None,
+                    pick.normal(size=(1 << bits, lm.WIDTH)).astype(np.float32))
+
+
+def test_lm_member_probabilities_sum_to_one():
+    tokens, model = lm.Tokens(["a b c a", "", None]), lm_model()
+    model.weights *= 40
+    every = [model.member_logs(tokens, np.full(len(tokens.hashes), m)) for m in range(lm.MEMBERS)]
+    assert np.allclose(np.exp(every).sum(axis=0), 1, atol=1e-5)
+
+
+@pytest.mark.parametrize("bits", [12, 18])
+def test_lm_gradient_step_is_the_plain_one(bits):
+    """One batch: both softmaxes of each token, gaps summed by slot, each feature's step after that of the one before."""
+    model = lm_model(bits)
+    model.weights *= 0.1
+    tokens = lm.Tokens(["a b a b a c", "b a b", None])
+    members = tokens.members(model.top)
+    weights, squares = model.weights.copy(), np.full(1 << bits, 0.5, np.float32)
+    assert lm.learned(model, weights, squares, tokens) == len(members) == 12
+
+    every, expected, seen = model.choices(tokens, members), model.weights.astype(float), np.full(1 << bits, 0.5)
+    gaps = []
+    for choice in range(2):
+        for t, m in enumerate(members):
+            taken, row = (m // lm.WIDTH, 0) if choice == 0 else (m % lm.WIDTH, 1 + m // lm.WIDTH)
+            energy = model.bias[row].astype(float) + sum(expected[every.slots[f, choice, t]] for f in range(lm.FEATURES))
+            odds = np.exp(energy - energy.max())
+            gap = -odds / odds.sum()
+            gap[taken] += 1
+            gaps.append(gap)
+    for f in range(lm.FEATURES):
+        sums = {}
+        for slot, gap in zip(every.slots[f].ravel().tolist(), gaps):
+            sums[slot] = sums.get(slot, 0) + gap
+        for slot, total in sums.items():
+            seen[slot] += total @ total
+            expected[slot] += lm.RATE * total / np.sqrt(seen[slot] + 1)
+    assert np.allclose(weights, expected, atol=1e-5) and np.allclose(squares, seen, atol=1e-5)
+
+
+def test_lm_grows_with_the_corpus():
+    assert [lm.slot_bits(n) for n in (0, 1, 10 ** 6, 10 ** 9)] == [12, 12, 14, 17]
 
 
 def plain_rules(text):
