@@ -145,6 +145,40 @@ def test_shards(spark, rows):
 
 def test_written_shards(spark, tmp_path):
     docs = documents(spark, corpus(), clashes=False)
-    shards = sharding.hilbert_shards(docs, shards=3)
-    sharding.write_shards(docs, shards, str(tmp_path / "out"))
+    sharding.write_shards(docs, str(tmp_path / "out"), shards=3)
     assert spark.read.parquet(str(tmp_path / "out")).count() == 60
+
+
+def test_written_shards_hold_null_and_repeated_ids(spark, tmp_path):
+    rows = edges()
+    sharding.write_shards(documents(spark, rows), str(tmp_path / "out"), shards=3)
+    got = spark.read.parquet(str(tmp_path / "out"))
+    assert sorted(map(repr, (tuple(r) for r in got.select("doc_id", "text", "lang", "source", "n_chars").collect()))) == sorted(map(repr, rows))
+
+
+def test_equal_texts_share_a_shard_if_no_longer_than_the_longest_row(spark):
+    rows = corpus(n=400) + [(1000 + i, "many " * 40, "en", "src%d" % (i % 5), 200) for i in range(60)]
+    got = sharding.hilbert_shards(documents(spark, rows), shards=5).collect()
+    longest, groups = max(r["size"] for r in got), defaultdict(list)
+    text = {r[0]: r[1] for r in rows}
+    for r in got:
+        groups[text[r.doc_id]].append(r)
+    together = [rs for rs in groups.values() if len(rs) > 1 and sum(r["size"] for r in rs) <= longest]
+    assert len(together) > 10
+    assert all(len({(r.shard, r.curve) for r in rs}) == 1 for rs in together)
+    assert len({r.shard for r in groups["many " * 40]}) > 1
+
+
+def test_levels_hold_equal_rows_and_shards_prune(spark):
+    """Twenty names with one beginning, one of them with a third of the rows: each has a level, and a shard few of them."""
+    names = ["common-crawl/%02d" % (0 if i % 3 == 0 else i % 19 + 1) for i in range(3000)]
+    rows = [(i, "x" * (i * 7 % 50), "en", name, 1) for i, name in enumerate(names)]
+    docs = documents(spark, rows, clashes=False)
+    number = sharding.text_number("source", min(names), max(names))
+    between = docs.agg(sharding.cuts(number, 5)).first()[0]
+    level = docs.select("source", sharding.level(number, between).alias("level")).distinct().collect()
+    assert len(level) == 20 and len({r.level for r in level}) == 20
+    held = defaultdict(set)
+    for r in sharding.hilbert_shards(docs).collect():
+        held[r.shard].add(r.source)
+    assert sum(len(v) for v in held.values()) / len(held) < 8
