@@ -9,8 +9,9 @@ each archive holds the offsets. Writing rolls archives at a size limit; names ho
 read, so lost and repeated attempts leave no records.
 
 Defined cases: a null payload counts as empty; equal payloads are one response and revisits of it, unless shorter than the limit; a null or
-empty url is written as the id's own name; line breaks in a url are written percent-encoded; rows that repeat an id are records
-of their own, told apart by a counter; an empty table gives an empty manifest and no rows.
+empty url is written as the id's own name; line breaks in a url are written percent-encoded; rows that repeat an id (null
+included) are records of their own, whose names go on with the digest, the url's hash and a counter of equal rows; of equal payloads exactly one
+is the response, that of the largest id (null before all others), then of the largest name; an empty table gives an empty manifest and no rows.
 """
 
 from __future__ import annotations
@@ -215,27 +216,42 @@ def to_records(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
     """
     payload = F.coalesce(F.col(payload_col).cast("string"), F.lit("")).cast("binary")
     rows = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).cast("string").alias("url"), payload.alias("payload"))
-    rows = rows.withColumns({"payload_digest": base32_sha1(F.col("payload")), "payload_length": F.octet_length("payload").cast("long")})
-    pick = F.max if keep_largest else F.min
-    shared = stored(rows.groupBy("payload_digest", "payload_length").agg(pick("page_id").alias("first_id"), F.count("*").alias("n"))
+    rows = named(rows.withColumns({"payload_digest": base32_sha1(F.col("payload")), "payload_length": F.octet_length("payload").cast("long")}))
+    known, pick = (F.col("page_id").isNotNull(), F.max) if keep_largest else (F.col("page_id").isNull(), F.min)
+    shared = stored(rows.groupBy("payload_digest", "payload_length")
+                    .agg(pick(F.struct(known.alias("known"), "page_id", "name")).alias("first"), F.count("*").alias("n"))
                     .where((F.col("n") > 1) & (F.col("payload_length") >= least_bytes)), "payloads")
-    shared = shared.select(F.col("payload_digest").alias("d"), F.col("payload_length").alias("l"), "n", "first_id")
+    shared = shared.select(F.col("payload_digest").alias("d"), F.col("payload_length").alias("l"), F.col("first.name").alias("first_name"))
     rows = rows.join(shared, (F.col("payload_digest") == F.col("d")) & (F.col("payload_length") == F.col("l")), "left")
-    revisit = F.col("n").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first_id"))
-
-    def name(c: str) -> Column:
-        return F.concat(F.lit("urn:page:"), F.coalesce(F.col(c).cast("string"), F.lit("")))
+    revisit = F.col("first_name").isNotNull() & (F.col("name") != F.col("first_name"))
 
     def urn(c: str) -> Column:
-        return F.concat(F.lit("<"), name(c), F.lit(">"))
+        return F.concat(F.lit("<"), F.col(c), F.lit(">"))
 
     url = F.regexp_replace(F.regexp_replace(F.trim("url"), "\r", "%0D"), "\n", "%0A")
     return rows.select(
-        urn("page_id").alias("record_id"), F.when(revisit, "revisit").otherwise("response").alias("record_type"),
-        F.coalesce(F.when(url != "", url), name("page_id")).alias("target_uri"), F.when(revisit, urn("first_id")).alias("refers_to"),
+        urn("name").alias("record_id"), F.when(revisit, "revisit").otherwise("response").alias("record_type"),
+        F.coalesce(F.when(url != "", url), F.col("name")).alias("target_uri"), F.when(revisit, urn("first_name")).alias("refers_to"),
         "payload_digest", "payload_length", F.when(~revisit, F.col("payload")).alias("payload"))
 
 
+def named(rows: DataFrame) -> DataFrame:
+    """The rows with a name each.
+
+    An id that one row has is its name. Rows of other ids are grouped by all they hold, counted before the shuffle, and written out
+    again with a counter, so neither a frequent id nor a frequent row makes a heavy task. The ids looked up are a written table; a
+    small one, as usual, is held by the tasks and moves no payload.
+    """
+    name = F.concat(F.lit("urn:page:"), F.coalesce(F.col("page_id").cast("string"), F.lit("")))
+    repeated = stored(rows.groupBy("page_id").agg(F.count("*").alias("n")).where("n > 1").select(F.col("page_id").alias("again")), "repeated_ids")
+    same = F.col("page_id").eqNullSafe(F.col("again"))
+    equal = (rows.join(repeated, same, "left_semi").groupBy("page_id", "url", "payload_digest", "payload_length")
+             .agg(F.any_value("payload").alias("payload"), F.count("*").alias("n")))
+    place = F.concat_ws("-", "payload_digest", F.hex(F.xxhash64("url")), "place")
+    equal = equal.withColumn("place", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1))).withColumn("name", F.concat(name, F.lit("#"), place))
+    return rows.join(repeated, same, "left_anti").withColumn("name", name).unionByName(equal.drop("place", "n"))
+
+
 def use_warc(spark: SparkSession) -> None:
     spark.dataSource.register(WarcDataSource)
     spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
@@ -252,17 +268,18 @@ def read_warc(spark: SparkSession, path: str, payloads: bool = True) -> DataFram
 
 
 def page_id(column: str) -> Column:
-    return F.regexp_extract(column, "^<urn:page:(.*)>$", 1).try_cast("long")
+    return F.regexp_extract(column, "^<urn:page:([^#>]*)", 1).try_cast("long")
 
 
 SQL = """
 WITH p AS (SELECT page_id, coalesce(html, '') AS body FROM pages),
-hashed AS (SELECT page_id, strlen(body)::BIGINT AS payload_bytes, sha1(body) AS h, max(page_id) OVER (PARTITION BY body) AS first FROM p)
+hashed AS (SELECT page_id, strlen(body)::BIGINT AS payload_bytes, sha1(body) AS h, max(page_id) OVER (PARTITION BY body) AS first,
+  row_number() OVER (PARTITION BY body ORDER BY page_id DESC NULLS LAST) AS place FROM p)
 SELECT page_id, payload_bytes,
   translate(list_aggregate(list_transform(range(8), lambda i: lpad(to_base(('0x' || substr(h, 1 + 5 * i::INT, 5))::BIGINT, 32), 4, '0')),
                            'string_agg', ''), '0123456789ABCDEFGHIJKLMNOPQRSTUV', 'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567') AS payload_digest,
-  CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
-  CASE WHEN page_id <> first THEN first END AS refers_to
+  CASE WHEN place = 1 THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN place > 1 THEN first END AS refers_to
 FROM hashed
 """
 

@@ -46,6 +46,26 @@ def test_round_trip(spark, pages, least):
         assert (bytes(r.payload) == bodies[i]) if r.record_type == "response" else r.payload is None
 
 
+@pytest.mark.parametrize("largest", [True, False])
+def test_repeated_ids_have_records_of_their_own(spark, largest):
+    pages = [(7, "u", "z"), (7, "u", "z"), (7, "v", "z"), (7, "u", "y"), (3, "u", "z"), (9, "u", "y"), (9, None, ""), (9, None, None),
+             (None, "u", "q"), (None, "u", "q"), (None, None, "q"), (None, "u", "z"), (5, "w", "only")]
+    path = written(spark, pages, keep_largest=largest)
+    got = warc.read_warc(spark, path).withColumns({"id": warc.page_id("record_id"), "to": warc.page_id("refers_to")}).collect()
+    names = {r.record_id: r for r in got}
+    assert len(names) == len(got) == len(pages)
+    digest = {html or "": base64.b32encode(hashlib.sha1((html or "").encode()).digest()).decode() for _, _, html in pages}
+    assert sorted((r.id or 0, r.payload_digest) for r in got) == sorted((i or 0, digest[html or ""]) for i, _, html in pages)
+    for body in digest:
+        rows = [r for r in got if r.payload_digest == digest[body]]
+        response, = [r for r in rows if r.record_type == "response"]
+        assert bytes(response.payload).decode() == body
+        ids = [i for i, _, html in pages if (html or "") == body and i is not None]
+        assert response.id == ((max if largest else min)(ids) if ids else None)
+        assert all(r.refers_to == response.record_id and r.to == response.id for r in rows if r is not response)
+    assert "<urn:page:5>" in names and "<urn:page:3>" in names
+
+
 def test_filters_are_pushed_and_payloads_skipped(spark):
     path = written(spark, PAGES)
     some = warc.read_warc(spark, path, payloads=False).where("record_type = 'response' AND target_uri = 'http://e.example'")
