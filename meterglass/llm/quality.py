@@ -9,13 +9,12 @@ Short documents have ragged histograms, so words are judged on a scale that depe
 sample of so many words is expected to have from its own reference, 1 that of a text without a single common word, and a
 document above ``word_excess`` goes. Below ``min_words`` words none is judged, and below ``min_common`` words common words aren't.
 
-The common words are found in two passes. A word that makes up a share of a language's words makes up at least that
-share in one of the batches, so batches name the words above it, which is a bounded number, and the second pass counts the chosen
-words in all documents.
+The common words of a tag are the COMMON_WORDS most frequent of those that make up NAMED_SHARE of its words. All words are counted, in one
+pass with the characters: tasks count what they hold, hand on counts when they hold much, and a shuffle adds them up. The references of the MAX_LANGS
+largest tags, a bounded number, judge any document; a document of another tag meets its tag's reference as well, which a join brings to it.
 
-Defined cases: a null text has no words and fails the base rule; a null language counts as the empty tag; languages beyond
-MAX_LANGS, the rarest, and tags of fewer than MIN_REFERENCE_WORDS words have no reference of their own, and their documents are judged by
-the others'; a tag of enough words whose list isn't full (a script without blanks, say) or can't tell texts of a document's length
+Defined cases: a null text has no words and fails the base rule; a null language counts as the empty tag; tags of
+fewer than MIN_REFERENCE_WORDS words have no reference of their own, and their documents are judged by the others'; a tag of enough words whose list isn't full (a script without blanks, say) or can't tell texts of a document's length
 serves its own documents only, by character classes, and without a full list only those whose classes no other language has; without any reference the base rules decide alone; repeated rows are judged each; an empty table has no references and
 gives no rows; other columns are ignored.
 """
@@ -31,7 +30,7 @@ import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from meterglass.llm.common import U64, Words, mix, register, table, window_hashes, word_hashes
+from meterglass.llm.common import U64, Words, mix, register, stored, table, window_hashes, word_hashes
 
 #: Bytes by class: lower, upper, digit, beyond ASCII, white space, sentence marks, other marks; 7: not the first byte of a character.
 CLASSES = np.full(256, 6, np.uint8)
@@ -49,7 +48,7 @@ MARKS = np.zeros(256, bool)
 MARKS[list(b".,;:!?'\"-()")] = True
 
 COMMON_WORDS, MAX_LANGS = 64, 256
-#: A batch names the words above this share of a language's words in it.
+#: Share of a tag's words that a common word makes up at least.
 NAMED_SHARE = 1e-3
 #: Words of a tag that has a reference.
 MIN_REFERENCE_WORDS = 5000
@@ -63,6 +62,10 @@ WORD_EXCESS = 0.8
 MOST_NOISE = 0.72
 #: Numbers of words for which the noise is computed; it is interpolated between them, and beyond falls with the number.
 NOISE_AT = 1 << np.arange(4, 12)
+#: Counts that a task holds before it hands them on.
+HELD_COUNTS = 1 << 20
+#: Kinds of counts of a tag: of a word (by its hash), of a character class, of all words, of words that aren't only marks.
+WORD, CLASS, ALL, BARE = range(4)
 #: Bytes of text looked at together.
 GROUP_BYTES = 1 << 20
 
@@ -180,65 +183,84 @@ def sample_divergence(reference: np.ndarray) -> np.ndarray:
     return np.array(out)
 
 
-def references(docs: DataFrame) -> dict[str, Reference]:
-    """By language."""
-    def named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in groups(batch):
-                langs, at = np.unique(np.array([x or "" for x in part.column("lang").to_pylist()], object).astype(str), return_inverse=True)
-                words = Bare(part.column("text").to_pylist())
-                hashes = word_hashes(words.data, words.starts, words.ends) if len(words.starts) else np.empty(0, U64)
-                out = []
-                for i, lang in enumerate(langs):
-                    own = np.flatnonzero((at[words.of] == i) & (words.ends > words.starts)) if len(hashes) else np.empty(0, int)
-                    if not len(own):
-                        continue
-                    _, first, counts = np.unique(hashes[own], return_index=True, return_counts=True)
-                    for k in np.flatnonzero(counts >= max(2, NAMED_SHARE * len(own))):
-                        w = own[first[k]]
-                        out.append((lang, words.data[words.starts[w]:words.ends[w]].tobytes().decode("utf-8", "replace"), int(counts[k])))
-                    out.append((lang, "", len(own)))
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out) if out else ([], [], []), (pa.string(), pa.string(), pa.int64()))],
-                                                 ["lang", "word", "n"])
-
-    found = docs.mapInArrow(named, "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n"))
-    top = Window.partitionBy("lang").orderBy(F.desc("n"), "word")
-    # MAX_LANGS * (COMMON_WORDS + 1) rows at most reach the driver.
-    sizes = {r["lang"]: r["n"] for r in found.where("word = ''").where(F.col("n") >= MIN_REFERENCE_WORDS).orderBy(F.desc("n"), "lang").limit(MAX_LANGS).collect()}
-    chosen: dict[str, list[str]] = {lang: [] for lang in sizes}
-    rows = (found.where("word <> ''").where(F.col("lang").isin(list(sizes))).withColumn("rank", F.row_number().over(top))
-            .where(F.col("rank") <= COMMON_WORDS).orderBy("lang", "rank").collect() if sizes else [])
-    for r in rows:
-        chosen[r["lang"]].append(r["word"])
-    known = {lang: sorted_hashes(words) for lang, words in chosen.items()}
-
-    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        totals: dict[tuple[str, int, int], int] = {}
-        for batch in batches:
-            for part in groups(batch):
-                langs = np.array([x or "" for x in part.column("lang").to_pylist()], object).astype(str)
-                words = Bare(part.column("text").to_pylist())
-                by_class = class_counts(words, len(langs))
-                for lang in set(langs.tolist()) & set(known):
-                    own = langs == lang
-                    sums = by_class[own].sum(axis=0), common_counts(words, len(langs), known[lang])[own].sum(axis=0)
-                    for kind, values in enumerate(sums):
-                        for i, n in enumerate(values.tolist()):
-                            totals[lang, kind, i] = totals.get((lang, kind, i), 0) + n
-        keys = list(totals)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([k[0] for k in keys], pa.string()), pa.array([k[1] for k in keys], pa.int32()), pa.array([k[2] for k in keys], pa.int32()),
-             pa.array(list(totals.values()), pa.int64())], ["lang", "kind", "place", "n"])
-
-    out = {lang: (np.zeros(N_CLASSES), known[lang], np.zeros(len(known[lang]) + 1)) for lang in known}
-    for r in docs.mapInArrow(counted, "lang string, kind int, place int, n long").groupBy("lang", "kind", "place").agg(F.sum("n").alias("n")).collect():
-        out[r["lang"]][0 if r["kind"] == 0 else 2][r["place"]] = r["n"]
-    return {lang: Reference(c / max(c.sum(), 1), hashes, w / max(w.sum(), 1)) for lang, (c, hashes, w) in out.items()}
-
-
-def sorted_hashes(words: list[str]) -> np.ndarray:
-    found = Words(words)
-    return np.sort(found.hashes())
+def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(lang, kind, key, n): all counts of a task's texts, a key once or more."""
+    held: dict[tuple[str, int], list[tuple[np.ndarray, np.ndarray]]] = {}
+    size = 0
+
+    def merged() -> int:
+        """How many counts are held once each key is."""
+        for at, parts in held.items():
+            keys, which = np.unique(np.concatenate([k for k, _ in parts]), return_inverse=True)
+            # Sums of integers below 2 ** 53 are exact in doubles.
+            held[at] = [(keys, np.bincount(which, np.concatenate([n for _, n in parts])).astype(np.int64))]
+        return sum(len(parts[0][0]) for parts in held.values())
+
+    def told() -> Iterator[pa.RecordBatch]:
+        for (lang, kind), [(keys, n)] in held.items():
+            yield pa.RecordBatch.from_arrays([pa.repeat(lang, len(keys)), pa.repeat(pa.scalar(kind, pa.int32()), len(keys)),
+                                              pa.array(keys.view(np.int64)), pa.array(n)], ["lang", "kind", "key", "n"])
+        held.clear()
+
+    for batch in batches:
+        for part in groups(batch):
+            langs, at = np.unique(np.array([x or "" for x in part.column("lang").to_pylist()], object).astype(str), return_inverse=True)
+            words = Bare(part.column("text").to_pylist())
+            hashes = word_hashes(words.data, words.starts, words.ends) if len(words.starts) else np.empty(0, U64)
+            by_class, bare, of_lang = class_counts(words, len(at)), words.ends > words.starts, at[words.of]
+            for i, lang in enumerate(langs.tolist()):
+                own = of_lang == i
+                classes, n_bare = by_class[at == i].sum(axis=0), int((own & bare).sum())
+                found = {WORD: np.unique(hashes[own & bare], return_counts=True), CLASS: (np.arange(N_CLASSES, dtype=U64), classes),
+                         ALL: (np.zeros(1, U64), np.array([own.sum()])), BARE: (np.zeros(1, U64), np.array([n_bare]))}
+                for kind, (keys, n) in found.items():
+                    held.setdefault((lang, kind), []).append((keys, n))
+                    size += len(keys)
+            if size > HELD_COUNTS:
+                size = merged()
+                if 2 * size > HELD_COUNTS:
+                    yield from told()
+                    size = 0
+    merged()
+    yield from told()
+
+
+def reference(rows: list[tuple[int, int, int]]) -> Reference:
+    """From a tag's (kind, key, n)."""
+    classes, n_all, n_bare = np.zeros(N_CLASSES), 0, 0
+    for kind, key, n in rows:
+        if kind == CLASS:
+            classes[key] = n
+        elif kind == ALL:
+            n_all = n
+        elif kind == BARE:
+            n_bare = n
+    words = [(key, n) for kind, key, n in rows if kind == WORD and n >= NAMED_SHARE * n_bare]
+    known, n = np.array([k for k, _ in words], np.int64).view(U64), np.array([n for _, n in words], float)
+    order = np.argsort(known)
+    shares = np.append(n[order], n_all - n.sum())
+    return Reference(classes / max(classes.sum(), 1), known[order], shares / max(n_all, 1))
+
+
+def references(docs: DataFrame) -> tuple[dict[str, Reference], DataFrame | None]:
+    """The largest tags' references, and (own_lang, own) with the counts of all other tags that have one; None if there are none."""
+    counts = docs.mapInArrow(counted, "lang string, kind int, key long, n long").groupBy("lang", "kind", "key").agg(F.sum("n").alias("n"))
+    rank = F.row_number().over(Window.partitionBy("lang", "kind").orderBy(F.desc("n"), "key"))
+    # A bounded number of rows for each tag.
+    top = stored(counts.withColumn("rank", rank).where(F.col("rank") <= COMMON_WORDS).drop("rank"), "counts")
+    sizes = top.where((F.col("kind") == BARE) & (F.col("n") >= MIN_REFERENCE_WORDS)).select("lang", "n")
+    # MAX_LANGS tags with COMMON_WORDS + N_CLASSES + 2 rows each at most reach the driver.
+    first = sizes.orderBy(F.desc("n"), "lang").limit(MAX_LANGS + 1).collect()
+    large = [r["lang"] for r in first[:MAX_LANGS]]
+    rows: dict[str, list[tuple[int, int, int]]] = {lang: [] for lang in large}
+    for r in top.where(F.col("lang").isin(large)).collect() if large else []:
+        rows[r["lang"]].append((r["kind"], r["key"], r["n"]))
+    rare = None
+    if len(first) > MAX_LANGS:
+        others = sizes.where(~F.col("lang").isin(large)).select(F.col("lang").alias("own_lang"))
+        rare = stored(top.join(others, F.col("lang") == F.col("own_lang")).groupBy("own_lang")
+                      .agg(F.collect_list(F.struct("kind", "key", "n")).alias("own")), "rare_references")
+    return {lang: reference(rows[lang]) for lang in large}, rare
 
 
 def nearest(refs: list[Reference], by_class: np.ndarray, words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -264,12 +286,33 @@ def nearest(refs: list[Reference], by_class: np.ndarray, words: Words) -> tuple[
     return class_gap, word_gap, np.where(np.isinf(least), 0.0, least), any_class
 
 
-def judged(docs: DataFrame, refs: dict[str, Reference], min_words: int = MIN_WORDS, min_common: int = MIN_COMMON,
+def with_own(part: pa.RecordBatch, refs: dict[str, Reference], cache: dict[str, Reference]) -> Iterator[tuple[pa.RecordBatch, dict[str, Reference]]]:
+    """The rows by the references that they meet: those of the largest tags, and where a join brought one their own tag's."""
+    if "own" not in part.schema.names or part.column("own").null_count == len(part):
+        yield part, refs
+        return
+    here = np.array([x or "" for x in part.column("lang").to_pylist()], object).astype(str)
+    has = part.column("own").is_valid().to_numpy(zero_copy_only=False)
+    if not has.all():
+        yield part.take(pa.array(np.flatnonzero(~has))), refs
+    for lang in np.unique(here[has]).tolist():
+        rows = np.flatnonzero(has & (here == lang))
+        if lang not in cache:
+            if len(cache) >= MAX_LANGS:
+                cache.clear()
+            cache[lang] = reference([(r["kind"], r["key"], r["n"]) for r in part.column("own")[int(rows[0])].as_py()])
+        yield part.take(pa.array(rows)), {**refs, lang: cache[lang]}
+
+
+def judged(docs: DataFrame, known: tuple[dict[str, Reference], DataFrame | None], min_words: int = MIN_WORDS, min_common: int = MIN_COMMON,
            class_limit: float = CLASS_LIMIT, word_excess: float = WORD_EXCESS, also: tuple[str, ...] = ()) -> DataFrame:
     """(doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept, class_distance, word_distance, *also)."""
+    largest, rare = known
+
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cache: dict[str, Reference] = {}
         for batch in batches:
-            for part in groups(batch):
+            for part, refs in (x for g in groups(batch) for x in with_own(g, largest, cache)):
                 texts = part.column("text").to_pylist()
                 n = len(texts)
                 words, bare = Words(texts), Bare(texts)
@@ -303,6 +346,8 @@ def judged(docs: DataFrame, refs: dict[str, Reference], min_words: int = MIN_WOR
     kinds = {f.name: f.dataType.simpleString() for f in docs.schema}
     schema = (f"doc_id {kinds['doc_id']}, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, "
               "base_failed boolean, kept boolean, class_distance double, word_distance double" + "".join(f", `{c}` {kinds[c]}" for c in also))
+    if rare is not None:
+        docs = docs.join(rare, F.coalesce("lang", F.lit("")) == F.col("own_lang"), "left").drop("own_lang")
     return docs.mapInArrow(judge, schema)
 
 

@@ -210,6 +210,101 @@ def test_gibberish_goes_at_any_length_and_short_prose_stays(spark, lengths, weig
     assert all(r[0] in got and not got[r[0]].kept for r in odd)
 
 
+def plain_kept(rows, max_langs):
+    """The verdict of each text that passes the base rules, text by text."""
+    marks = ".,;:!?'\"-()"
+
+    def bare(word):
+        word = lowered(word)
+        for _ in range(4):
+            word = word[:-1] if word and word[-1] in marks else word
+        return word[1:] if word and word[0] in marks else word
+
+    def classes(text):
+        kinds = [0 if "a" <= c <= "z" else 1 if "A" <= c <= "Z" else 2 if "0" <= c <= "9" else 3 if c > "\x7f" else 4 if c in " \t\n\r\x0b\x0c"
+                 else 5 if c in marks else 6 for c in (text or "") + " "]
+        return np.bincount(kinds, minlength=7)
+
+    tags = {}
+    for _, text, lang, *_ in rows:
+        tags.setdefault(lang or "", []).append(text)
+    refs, sizes = {}, {}
+    for lang, texts in tags.items():
+        words = [bare(w) for t in texts for w in words_of(t)]
+        counts = Counter(w for w in words if w)
+        sizes[lang] = sum(counts.values())
+        if sizes[lang] < quality.MIN_REFERENCE_WORDS:
+            continue
+        key = {w: int(quality.Words([w]).hashes().view(np.int64)[0]) for w in counts}
+        common = [w for w in sorted(counts, key=lambda w: (-counts[w], key[w]))[:64] if counts[w] * 1000 >= sizes[lang]]
+        shares = np.array([counts[w] for w in common] + [len(words) - sum(counts[w] for w in common)]) / len(words)
+        total = sum(classes(lowered(t)) for t in texts)
+        refs[lang] = common, shares, total / total.sum(), quality.Reference(None, np.zeros(len(common)), shares)
+    largest = sorted(refs, key=lambda x: (-sizes[x], x))[:max_langs]
+
+    def gap(counts, shares):
+        return plain_distance((counts / counts.sum()).tolist(), shares.tolist())
+
+    for i, text, lang, *_ in rows:
+        if plain_rules(text)[-1]:
+            continue
+        lang, n, words, own = lang or "", len(words_of(text)), Counter(bare(w) for w in words_of(text)), classes(text)
+        excess, class_gap, nearest_class = math.inf, 0.0, math.inf
+        for name in dict.fromkeys([*largest, *([lang] if lang in refs else [])]):
+            common, shares, by_class, ref = refs[name]
+            if len(common) < 64:
+                continue
+            nearest_class = min(nearest_class, gap(own, by_class))
+            noise = ref.expected(np.array([n]))[0]
+            if noise <= quality.MOST_NOISE * ref.bare:
+                found = np.array([words[w] for w in common] + [n - sum(words[w] for w in common)])
+                here = (gap(found, shares) ** 2 - noise) / (ref.bare - noise)
+                if here < excess:
+                    excess, class_gap = here, gap(own, by_class)
+        kept = class_gap <= quality.CLASS_LIMIT and (math.isinf(excess) or excess <= quality.WORD_EXCESS)
+        if not kept and lang in refs:
+            common, _, by_class, ref = refs[lang]
+            is_open = len(common) == 64 and ref.expected(np.array([n]))[0] <= quality.MOST_NOISE * ref.bare
+            kept = not is_open and (len(common) == 64 or nearest_class > quality.CLASS_LIMIT) and gap(own, by_class) <= quality.CLASS_LIMIT
+        yield i, kept
+
+
+@pytest.mark.parametrize("max_langs", [256, 2, 1])
+def test_verdicts_are_the_plain_ones(spark, monkeypatch, max_langs):
+    """Also with tags beyond the largest."""
+    monkeypatch.setattr(quality, "MAX_LANGS", max_langs)
+    pick = random.Random(11)
+    rows = []
+    for lang, n in (("en", 60), ("de", 50), (None, 45), ("zz", 40), ("tiny", 3)):
+        words = vocabulary(pick)
+        rows += [(len(rows) + i, "(" + prose(pick, words, pick.randint(45, 300)).replace(" a", " A") + "!).", lang, "s", 1) for i in range(n)]
+        rows += [(len(rows) + i, " ".join(pick.choices(words[20:40], k=300)), lang, "s", 1) for i in range(2)]
+    rows += [(900 + i, " ".join("".join(pick.choices("漢字仮名交文章言語学習", k=12)) for _ in range(150)), "ja", "s", 1) for i in range(40)]
+    rows += [(950 + i, "#### $$$ 123 " * 30 + prose(pick, words, 60), lang, "s", 1) for i, lang in enumerate(("en", "zz", "ja", "none"))]
+    got = {r.doc_id: r.kept for r in quality.quality(documents(spark, rows)).where("NOT base_failed").collect()}
+    expected = dict(plain_kept(rows, max_langs))
+    assert got == expected and len(set(expected.values())) == 2
+
+
+def test_counts_are_merged_and_handed_on(monkeypatch):
+    """Small holds tell a key more than once; the sums are those of one hold."""
+    import pyarrow as pa
+    batch = pa.RecordBatch.from_pydict({"lang": ["a", "b", None, "a"] * 20, "text": ["x y, x", None, "y 9", "z %d" % 7] * 20})
+
+    def sums():
+        out = Counter()
+        for found in quality.counted(iter([batch, batch])):
+            for r in found.to_pylist():
+                out[r["lang"], r["kind"], r["key"]] += r["n"]
+        return out
+
+    expected = sums()
+    monkeypatch.setattr(quality, "HELD_COUNTS", 10)
+    monkeypatch.setattr(quality, "GROUP_BYTES", 20)
+    assert sums() == expected
+    assert expected["a", quality.ALL, 0] == 200 and expected["b", quality.ALL, 0] == 0 and expected["", quality.BARE, 0] == 80
+
+
 def test_expected_divergence_of_samples():
     reference = np.array([.3, .05, .001, .649])
     drawn = np.random.default_rng(4)
