@@ -18,6 +18,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from meterglass.llm.common import ship
 from meterglass.session import scratch_path
 
 #: Bytes of text in a block; a longer text is a block of its own.
@@ -33,6 +34,7 @@ def stage(docs: DataFrame, id_col: str, text_col: str, block_bytes: int = BLOCK_
     ``row`` numbers the texts of a block, so equal ids stay apart.
     """
     spark = docs.sparkSession
+    ship(spark)
     kind = docs.schema[id_col].dataType.simpleString()
     chosen = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
 

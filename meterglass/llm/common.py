@@ -72,6 +72,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def stored(frame: DataFrame, name: str) -> DataFrame:
     """The frame written to the shared folder and read back: its lineage ends there."""
     spark = frame.sparkSession
+    ship(spark)
     path = scratch_path(spark, name)
     frame.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(frame.schema).parquet(path)

@@ -9,8 +9,8 @@ budget: each block holds the same share of every source's quota, in an order of
 Running sums never pass one task: a source is cut into slices by the hash of its ids, as many as its rows need.
 
 Defined cases: a null text has no words and counts as one token, so that it can be placed; a null source is a source of its own; repeated rows
-are mixed as rows of their own; one source, or an empty table, is left as it is; a quota below one
-token takes nothing; other columns are kept by ``mixed``.
+are mixed as rows of their own; one source, or an empty table, is left as it is; limits that no
+exponent up to 1 meets (shares nearly equal already, say) leave the shares as they are; a quota below one token takes nothing; other columns are kept by ``mixed``.
 """
 
 from __future__ import annotations
@@ -117,9 +117,12 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def mixed(docs: DataFrame, **options: object) -> DataFrame:
-    """The documents as they appear in the mixed stream: all their columns, a row for each appearance."""
+    """The mixed stream: all columns of the documents, a row for each appearance, in the order of the stream.
+
+    Written, the files' names follow the order, so a reader of the files one after the other gets each block's permutation.
+    """
     whole = docs.withColumn("whole", F.struct(*docs.columns))
-    return mix_sources(whole, also=("whole",), **options).select("whole.*")
+    return mix_sources(whole, also=("whole",), **options).orderBy("block", "block_key", "doc_id", "epoch").select("whole.*")
 
 
 @register("op4_mix_sources")

@@ -2,6 +2,7 @@ import math
 import zlib
 from collections import Counter, defaultdict
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 from small import corpus, documents, edges, words_of
@@ -70,6 +71,20 @@ def test_repetition_limit(spark):
     assert sum(r.weight for r in got.values()) == pytest.approx(1)
 
 
+def test_limits_that_nothing_meets_leave_the_shares(spark):
+    shares = spark.createDataFrame([("a", 100), ("b", 100), ("c", 101)], "source string, tokens long")
+    got = {r.source: r for r in mixing.source_weights(shares, 0.95).collect()}
+    assert all(r.exponent == 1 and r.weight == pytest.approx(r.tokens / 301) for r in got.values())
+
+
+def test_mixed_is_in_stream_order(spark, tmp_path):
+    docs = documents(spark, corpus(n=200), clashes=False)
+    stream = [r.doc_id for r in mixing.mix_sources(docs, blocks=8).orderBy("block", "block_key", "doc_id", "epoch").collect()]
+    mixing.mixed(docs, blocks=8).write.parquet(str(tmp_path / "out"))
+    files = sorted((tmp_path / "out").glob("*.parquet"))
+    assert [i for f in files for i in pq.read_table(f).column("doc_id").to_pylist()] == stream != sorted(stream)
+
+
 def test_small_sources_repeat_up_to_the_limit(spark):
     rows = [(i, "a b c d", "en", "big", 7) for i in range(200)] + [(1000, "a b c d", "en", "small", 7)]
     times = Counter(r.source for r in mixing.mix_sources(documents(spark, rows)).collect())

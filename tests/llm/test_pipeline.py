@@ -1,9 +1,27 @@
+import math
+from collections import Counter
+
 import corpus_pipeline
-from small import CLASHES, corpus, documents, edges
+import public_tokenizers
+from small import CLASHES, corpus, documents, edges, words_of
+from tokenizers import Tokenizer
 
-from meterglass.llm import mixing, quality
 from meterglass.llm.common import stored
 from test_dedup import plain_components
+from test_text_models import plain_kept
+
+
+def plain_weights(tokens, target=0.95, repeats=4.0):
+    """By the smallest exponent, on a fine grid, with which both limits hold; 1 if none does."""
+    whole = sum(tokens.values())
+    shares = {s: t / whole for s, t in tokens.items()}
+    for step in range(20_001):
+        powers = {s: p ** (step / 20_000) for s, p in shares.items()}
+        weights = {s: p / sum(powers.values()) for s, p in powers.items()}
+        entropy = -sum(w * math.log(w) for w in weights.values())
+        if entropy <= target * math.log(len(shares)) and max(weights[s] / shares[s] for s in shares) <= repeats:
+            break
+    return weights
 
 
 def prose(n=80):
@@ -14,7 +32,8 @@ def prose(n=80):
 def test_stages_against_plain_code(spark):
     rows = prose()
     docs = documents(spark, rows)
-    kept = {r.doc_id for r in quality.quality(docs).where("kept").collect()}
+    kept = {i for i, is_kept in plain_kept(rows, 256) if is_kept}
+    assert kept
     stage = dict(corpus_pipeline.STAGES)
     out = stored(stage["quality"](spark, docs, ""), "t")
     assert out.columns == docs.columns and {r.doc_id for r in out.collect()} == kept
@@ -28,11 +47,26 @@ def test_stages_against_plain_code(spark):
     out = stored(stage["near_duplicates"](spark, out, ""), "t")
     one = sorted(i for i, n, c in plain_components(left, 5, 80) if n == 0 or i == c)
     assert sorted(r.doc_id for r in out.collect()) == one
-    shown = sorted(r.doc_id for r in mixing.mix_sources(out).collect())
+    by_id = {r[0]: r for r in left if r[0] in set(one)}
     out = stored(stage["mixing"](spark, out, ""), "t")
-    assert out.columns == docs.columns and sorted(r.doc_id for r in out.collect()) == shown
+    shown = out.collect()
+    assert out.columns == docs.columns and all(tuple(r)[:5] == by_id[r.doc_id] for r in shown)
+    # Quotas are filled to within the longest text; a document appears as often as the others of its source, or once more or less.
+    size = {i: max(1, len(words_of(r[1]))) for i, r in by_id.items()}
+    tokens, mixed, times = Counter(), Counter(), {}
+    for i, r in by_id.items():
+        tokens[r[3]] += size[i]
+        times.setdefault(r[3], Counter())[i] = 0
+    for r in shown:
+        mixed[r.source] += size[r.doc_id]
+        times[r.source][r.doc_id] += 1
+    for source, weight in plain_weights(tokens).items():
+        assert abs(mixed[source] - weight * sum(tokens.values())) <= max(size.values()) + 1
+        assert max(times[source].values()) - min(times[source].values()) <= 1
     final = stage["encoding"](spark, out, "").collect()
-    assert sorted(r.doc_id for r in final) == shown and all(len(r.ids) == r.n_tokens for r in final)
+    library = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    expected = Counter((r.doc_id, *library.encode(r.text, add_special_tokens=False).ids) for r in shown)
+    assert Counter((r.doc_id, *r.ids) for r in final) == expected and all(len(r.ids) == r.n_tokens for r in final)
 
 
 def test_stages_on_edges(spark):
