@@ -84,27 +84,29 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     whole = sums.agg(F.sum("tokens")).first()[0] or 0
     budget = int(whole * budget_share)
     weights = source_weights(sums.select("source", "tokens"), target_entropy, max_repeats, budget_share)
-    plan = sums.select("source", "n").withColumnRenamed("source", "w_source").join(
+    # Written, so that its size is known when the join is planned: a small one moves no row of the documents.
+    plan = stored(sums.select("source", "n").withColumnRenamed("source", "w_source").join(
         weights, F.col("w_source").eqNullSafe(F.col("source"))).select(
         "w_source", F.col("tokens").alias("source_tokens"), "weight",
         F.floor(F.col("weight") * F.lit(budget)).cast("long").alias("quota"),
-        (F.expr("n div %d" % ROWS_PER_SLICE) + 1).alias("slices"))
+        (F.expr("n div %d" % ROWS_PER_SLICE) + 1).alias("slices")), "plan")
 
     def draw(*columns: object) -> Column:
         """A pseudo-random number from 0 to 2 ** 62 - 1."""
         return F.xxhash64(F.lit(seed), *columns).bitwiseAND((1 << 62) - 1)
 
     known = counted.join(plan, F.col("source").eqNullSafe(F.col("w_source"))).drop("w_source")
+    # Never null, so that the join with the slices finds the rows where the window has put them and moves none.
+    known = known.withColumn("source_key", F.coalesce(F.concat(F.lit("="), F.col("source").cast("string")), F.lit("")))
     known = known.withColumn("place", draw("doc_id", "n_tokens")).withColumn(
         "slice", F.floor(F.col("place") / F.lit(float(1 << 62)) * F.col("slices")))
     before = (Window.unboundedPreceding, -1)
-    slices = known.groupBy("source", "slice").agg(F.sum("n_tokens").alias("t"))
-    slices = slices.select(F.col("source").alias("x_source"), F.col("slice").alias("x_slice"), F.coalesce(
-        F.sum("t").over(Window.partitionBy("source").orderBy("slice").rowsBetween(*before)), F.lit(0)).alias("slice_at"))
-    order = Window.partitionBy("source", "slice").orderBy("place", "doc_id", "n_tokens").rowsBetween(*before)
+    slices = known.groupBy("source_key", "slice").agg(F.sum("n_tokens").alias("t"))
+    slices = slices.select("source_key", "slice", F.coalesce(
+        F.sum("t").over(Window.partitionBy("source_key").orderBy("slice").rowsBetween(*before)), F.lit(0)).alias("slice_at"))
+    order = Window.partitionBy("source_key", "slice").orderBy("place", "doc_id", "n_tokens").rowsBetween(*before)
     at = (known.withColumn("inside", F.coalesce(F.sum("n_tokens").over(order), F.lit(0)))
-          .join(slices, F.col("source").eqNullSafe(F.col("x_source")) & (F.col("slice") == F.col("x_slice")))
-          .withColumn("at", F.col("slice_at") + F.col("inside")))
+          .join(slices, ["source_key", "slice"]).withColumn("at", F.col("slice_at") + F.col("inside")))
     # Appearances: epoch e begins e * source_tokens into the source's quota.
     left = F.col("quota") - F.col("at") - F.expr("n_tokens div 2")
     times = F.when(left > 0, F.expr("(quota - at - n_tokens div 2 - 1) div source_tokens") + 1).otherwise(F.lit(0))
