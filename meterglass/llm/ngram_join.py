@@ -9,9 +9,11 @@ pivots are sets of one n-gram, all there are, ordered from rare to frequent:
   the threshold once k > (1 - t)|A|. So a class is replicated to the regions of its first floor((1 - t)|A|) + 1 n-grams, and no link is lost.
 * Where these n-grams occur in no other class the text has no partner. Most texts end here.
 * Regions that share classes are joined into groups (components of the classes that meet in a region). A link never leaves its group.
-* Inside a group texts are near and pivot texts do divide it: a large group is cut into the Voronoi cells of pivot texts. A boundary class x, in the
-  cell of p, is replicated to the cell of q where d(x, q) - d(x, p) <= 2 r. Cells are cut again while they shrink. A cell that doesn't (all
-  its members are about equally far from each other) is dealt out as pairs of chunks. What fits a task is joined exactly, with integer counts.
+* Inside a group texts are near and pivot texts do divide it. Each class of a large group meets the pivots and its own share of the group once; the links found there
+  merge most of a group of near copies, and only classes of different parts have still to meet. Who meets whom is one of three covers, the one that
+  moves the fewest n-grams: the Voronoi cells of the pivots (a boundary class x, in the cell of p, also stands in the cell of q where d(x, q) - d(x, p) <= 2 r),
+  the regions (n-grams of windows, which a chain of shared passages leaves small), or the group as it is. Covers hold numbers of classes, no sets; a part that holds
+  one label is done, and one beyond a task is dealt out as pairs of chunks of the classes outside the group's largest label and of all. What fits a task is joined exactly, with integer counts.
 
 Every join returns a forest of the links it found, a row for each text at most; no group is expanded into pairs.
 
@@ -24,7 +26,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meterglass.llm import blocks as B
@@ -33,8 +35,10 @@ from meterglass.llm.components import components
 
 #: Classes that one task joins, and n-grams in them where the classes are more than a few.
 GROUP_CLASSES, GROUP_GRAMS, FEW = 512, 4_000_000, 64
-#: Rounds of Voronoi cells; a cell counts as smaller below this share of what it was cut from.
-DEPTH, SHRUNK = 3, 0.7
+#: Pivot texts of a large group, and classes of a chunk in shares of GROUP_CLASSES.
+PIVOTS, CHUNK = 32, 2
+#: What a row of a large group's first meeting tells: a link, a class of the same part, or a class's own cell, one below it or one above it in its reach.
+LINK, PART, OWN, BELOW, ABOVE = range(5)
 
 
 def gram_sets(texts: list[str | None], n: int) -> list[np.ndarray]:
@@ -117,89 +121,152 @@ def unpacked(rows: pa.Table) -> tuple[np.ndarray, list[np.ndarray]]:
     return np.array(rows["class"].to_pylist(), np.int64), [np.frombuffer(s.as_buffer(), U64) for s in rows["grams"]]
 
 
-def group_links(rows: DataFrame, percent: int, group_classes: int = GROUP_CLASSES) -> DataFrame:
-    """Links (a, b) of the groups in rows (group, class, n, grams, inner); a forest for each cell."""
+def local_links(rows: DataFrame, by: str, percent: int) -> DataFrame:
+    """Links (a, b) of what shares ``by`` in rows (by, class, grams, inner); a forest for each."""
     def local(group: pa.Table) -> pa.Table:
         ids, sets = unpacked(group)
         links = forest(ids, sets, np.array(group["inner"].to_pylist(), bool), percent)
         return pa.table([pa.array(c, pa.int64()) for c in (zip(*links) if links else ([], []))], ["a", "b"])
+    return stored(rows.select(by, "class", "grams", "inner").groupBy(by).applyInArrow(local, "a long, b long"), "links")
 
-    def cells(texts: pa.Table, pivots: pa.Table) -> pa.Table | None:
-        ids, sets = unpacked(texts)
-        p_ids, p_sets = unpacked(pivots)
-        if not len(ids):
-            return None
-        if not len(p_ids):
-            # No pivot was drawn: the group stays whole and counts as not shrunk.
-            return texts.select(["class", "n", "grams", "inner"]).append_column("cell", pa.array([0] * len(ids), pa.int64()))
-        inner = texts["inner"].to_pylist()
-        order = np.argsort(p_ids)
-        p_ids, postings = p_ids[order], Postings([p_sets[i] for i in order])
-        take, cell, role = [], [], []
-        for i, one in enumerate(sets):
-            common = postings.overlaps(one)
-            gaps = 1 - common / (postings.sizes + len(one) - common)
-            near = int(np.argmin(gaps))
-            # The window is widened by what rounding may take.
-            reach = np.flatnonzero(gaps - gaps[near] <= 2 * (1 - percent / 100) + 1e-9)
-            for q in reach:
-                if q == near or q < near or not inner[i]:
-                    take.append(i)
-                    cell.append(int(p_ids[q]))
-                    role.append(bool(inner[i] and q == near))
-        part = texts.take(pa.array(take, pa.int64()))
-        return pa.table({"class": part["class"], "n": part["n"], "grams": part["grams"], "inner": pa.array(role),
-                         "cell": pa.array(cell, pa.int64())})
-
-    links = None
-    for depth in range(DEPTH + 1):
-        sizes = rows.groupBy("group").agg(F.count("*").alias("classes"), F.sum("n").alias("total"), F.max("was").alias("was"),
-                                          F.max(F.col("inner").cast("int")).alias("any_inner"))
-        big = (F.col("classes") > group_classes) | (F.col("total") > GROUP_GRAMS) & (F.col("classes") > FEW)
-        sizes = stored(sizes.where("classes > 1 AND any_inner = 1").withColumn("big", big), "sizes")
-        named = sizes.select(F.col("group").alias("s_group"), "classes", "total", "big", F.col("was").alias("s_was"))
-        # Written, so that this join may split a large group: what follows it wants whole groups, but small ones only.
-        sized = stored(rows.drop("was").join(named, F.col("group") == F.col("s_group")).drop("s_group"), "sized")
-        found = sized.where("NOT big").groupBy("group").applyInArrow(local, "a long, b long")
-        found = stored(found, "links")
-        links = found if links is None else links.unionByName(found)
-        if sizes.where("big").isEmpty():
-            break
-        # Shares of the classes that one task takes.
-        shares = F.ceil(F.greatest(F.col("classes") / group_classes, F.col("total") / GROUP_GRAMS)).cast("long")
-        left = sized.where("big").withColumn("shares", shares)
-        stuck = (F.col("s_was").isNotNull() & (F.col("classes") > SHRUNK * F.col("s_was"))) | F.lit(depth == DEPTH)
-        left = stored(left.withColumn("stuck", stuck), "large")
-        # Pairs of chunks of half a task's classes.
-        chunks = F.col("shares") * 2
-        own = F.pmod(F.xxhash64("class", F.lit("chunk")), chunks)
-        dealt = (left.where("stuck").withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), chunks - 1)))
-                 .select(F.xxhash64("group", F.least("own", "other"), F.greatest("own", "other")).alias("group"), "class", "n", "grams", "inner"))
-        found = stored(dealt.groupBy("group").applyInArrow(local, "a long, b long"), "links")
-        links = links.unionByName(found)
-        open_rows = left.where("NOT stuck")
-        if depth == DEPTH or open_rows.isEmpty():
-            break
-        salted = open_rows.withColumn("salt", F.pmod(F.xxhash64("class", F.lit("salt")), F.col("shares")))
-        pivots = (open_rows.where(F.col("inner") & (F.pmod(F.xxhash64("class", F.lit(depth)), F.col("classes")) < 4 * F.col("shares")))
-                  .withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.col("shares") - 1))))
-        cut = (salted.select("group", "salt", "class", "n", "grams", "inner").groupBy("group", "salt")
-               .cogroup(pivots.select("group", "salt", "class", "grams").groupBy("group", "salt"))
-               .applyInArrow(lambda key, texts, pivots: with_group(key, cells(texts, pivots)),
-                             "parent long, class long, n long, grams binary, inner boolean, cell long"))
-        was = named.select("s_group", "classes")
-        rows = stored(cut.join(was, F.col("parent") == F.col("s_group"))
-                      .select(F.xxhash64("parent", "cell").alias("group"), "class", "n", "grams", "inner", F.col("classes").alias("was")), "cells")
-    return links
 
+def shares(classes: Column, total: Column, group_classes: int, grams: int) -> Column:
+    return F.ceil(F.greatest(classes / group_classes, total / grams)).cast("long")
 
-_CELLS = pa.schema([("parent", pa.int64()), ("class", pa.int64()), ("n", pa.int64()), ("grams", pa.binary()), ("inner", pa.bool_()), ("cell", pa.int64())])
 
+def group_links(rows: DataFrame, percent: int, group_classes: int = GROUP_CLASSES) -> DataFrame:
+    """Links (a, b) of the groups in rows (group, class, n, grams, pivots): forests that connect what the links of a group connect."""
+    big = (F.col("classes") > group_classes) | (F.col("total") > GROUP_GRAMS) & (F.col("classes") > FEW)
+    found = local_links(rows.where(~big).withColumn("inner", F.lit(True)), "group", percent)
+    large = rows.where(big)
+    if large.isEmpty():
+        return found
+    large = stored(large.withColumn("shares", shares(F.col("classes"), F.col("total"), group_classes, GROUP_GRAMS))
+                   .withColumn("is_pivot", F.pmod(F.xxhash64("class"), F.col("classes")) < F.least(4 * F.col("shares"), F.expr("classes div 4"), F.lit(PIVOTS))), "large")
+    met = stored(first_meeting(large, percent), "met")
+    links = met.where(F.col("kind") == LINK).select("a", "b")
+    dealt = dealt_out(large.select("group", "class", "n", "pivots", "is_pivot"), met, CHUNK * group_classes)
+    sets = large.select(F.col("class").alias("s_class"), "grams")
+    return found.unionByName(links).unionByName(local_links(dealt.join(sets, F.col("class") == F.col("s_class")), "task", percent))
+
+
+def named_parts(links: list[tuple[int, int]], first: list[int]) -> list[tuple[int, int]]:
+    """(a, name) of all in the links; the name of what they connect: the smallest of ``first`` in it, else the smallest of all."""
+    root: dict[int, int] = {}
+    firsts = set(first)
 
-def with_group(key: tuple, rows: pa.Table | None) -> pa.Table:
-    if rows is None:
-        return _CELLS.empty_table()
-    return rows.add_column(0, "parent", pa.array([key[0].as_py()] * rows.num_rows, pa.int64()))
+    def find(x: int) -> int:
+        while (y := root.setdefault(x, x)) != x:
+            root[x] = root[y]
+            x = y
+        return x
+
+    for a, b in links:
+        a, b = sorted((find(a), find(b)), key=lambda x: (x not in firsts, x))
+        root[b] = a
+    return [(x, find(x)) for x in list(root)]
+
+
+def first_meeting(large: DataFrame, percent: int) -> DataFrame:
+    """(group, a, b, kind): links of each share of a large group in itself and with all pivots of the group, the parts these make
+    (named by their smallest pivot, else by their smallest class), then the cells in each class's reach."""
+    def meet(key: tuple, texts: pa.Table, pivots: pa.Table) -> pa.Table:
+        ids, sets = unpacked(texts)
+        p_ids, p_sets = unpacked(pivots)
+        out = []
+        if len(ids):
+            inner = np.repeat([True, False], [len(ids), len(p_ids)])
+            out = [(a, b, LINK) for a, b in forest(np.concatenate((ids, p_ids)), sets + p_sets, inner, percent) if a != b]
+            out += [(a, b, PART) for a, b in named_parts([(a, b) for a, b, _ in out], p_ids.tolist())]
+        if len(ids) and len(p_ids):
+            order, known = np.argsort(p_ids), set(p_ids.tolist())
+            p_ids, postings = p_ids[order], Postings([p_sets[i] for i in order])
+            for c, one in zip(ids.tolist(), sets):
+                if c in known:
+                    continue
+                common = postings.overlaps(one)
+                gaps = 1 - common / (postings.sizes + len(one) - common)
+                near = int(np.argmin(gaps))
+                # The window is widened by what rounding may take.
+                reach = np.flatnonzero(gaps - gaps[near] <= 2 * (1 - percent / 100) + 1e-9)
+                out += [(c, int(p_ids[q]), OWN if q == near else BELOW if q < near else ABOVE) for q in reach]
+        columns = list(zip(*out)) if out else [[]] * 3
+        return pa.table([pa.array([key[0].as_py()] * len(out), pa.int64()), pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.int64()),
+                         pa.array(columns[2], pa.int32())], ["group", "a", "b", "kind"])
+
+    salted = large.withColumn("salt", F.pmod(F.xxhash64("class", F.lit("salt")), F.col("shares")))
+    pivots = large.where("is_pivot").withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.col("shares") - 1)))
+    return (salted.select("group", "salt", "class", "grams").groupBy("group", "salt")
+            .cogroup(pivots.select("group", "salt", "class", "grams").groupBy("group", "salt"))
+            .applyInArrow(meet, "group long, a long, b long, kind int"))
+
+
+def dealt_out(large: DataFrame, met: DataFrame, chunk: int) -> DataFrame:
+    """(task, class, inner): who has still to meet, by the cheapest cover of each group.
+
+    A link that no earlier one implies joins classes of two labels, so one of them is outside the group's largest label: these
+    are inner. Pivots have met all. Parts without an inner class or with one label only are done; of parts of the same classes one stays.
+    """
+    def merged(rows: pa.Table) -> pa.Table:
+        names = named_parts(list(zip(rows["a"].to_pylist(), rows["b"].to_pylist())), [])
+        return pa.table([pa.array(c, pa.int64()) for c in (zip(*names) if names else ([], []))], ["pivot", "pivot_label"])
+
+    # Shares name one part by several pivots; a pivot is in as many parts as the group has shares, and a group has few pivots.
+    parts = met.where(F.col("kind") == PART).select("group", "a", "b")
+    pivots = large.where("is_pivot").select(F.col("class").alias("p_class"))
+    by_pivots = parts.join(pivots, F.col("a") == F.col("p_class")).groupBy("group").applyInArrow(merged, "pivot long, pivot_label long")
+    parts = parts.groupBy("a").agg(F.min("b").alias("name")).join(by_pivots, F.col("name") == F.col("pivot"), "left")
+    named = stored(large.join(parts, F.col("class") == F.col("a"), "left").select(
+        "group", "class", "n", "pivots", "is_pivot", F.coalesce("pivot_label", "name", "class").alias("label")), "named")
+    tops = (named.groupBy("group", "label").agg(F.count("*").alias("members"), F.max("is_pivot").alias("has_pivots")).groupBy(F.col("group").alias("t_group"))
+            .agg(F.max(F.struct("members", "label"))["label"].alias("top"), F.count("*").alias("labels"), F.max("has_pivots").alias("has_pivots")))
+    left = stored(named.where("NOT is_pivot").join(tops.where("labels > 1"), F.col("group") == F.col("t_group"))
+                  .select("group", "class", "n", "pivots", "label", (F.col("label") != F.col("top")).alias("inner"), "has_pivots"), "open")
+    columns = ["group", "cover", "part", "class", "n", "label", "inner", "has_pivots"]
+    whole = left.withColumns({"cover": F.lit(0), "part": F.col("group")}).select(columns)
+    regions = left.withColumns({"cover": F.lit(1), "part": F.explode("pivots")}).select(columns)
+    reach = met.where(F.col("kind") >= OWN).select(F.col("a").alias("r_class"), F.col("b").alias("part"), "kind")
+    # Of two inner classes the one in the lower cell looks for the other; an outer class is looked for in all its reach.
+    cells = (left.join(reach, F.col("class") == F.col("r_class")).where((F.col("kind") != ABOVE) | ~F.col("inner"))
+             .withColumns({"cover": F.lit(2), "inner": F.col("inner") & (F.col("kind") == OWN)}).select(columns))
+    covers = stored(whole.unionByName(regions).unionByName(cells), "covers")
+
+    inner = F.col("inner").cast("long")
+    sums = (covers.groupBy("group", "cover", "part").agg(
+        F.sum(inner).alias("m"), F.count("*").alias("c"), F.sum(inner * F.col("n")).alias("m_n"), F.sum("n").alias("c_n"),
+        F.min("label").alias("low"), F.max("label").alias("high"), F.max("has_pivots").alias("has_pivots"),
+        F.bit_xor(F.xxhash64("class", "inner")).alias("x1"), F.bit_xor(F.xxhash64("class", "inner", F.lit("again"))).alias("x2"))
+        .where("m > 0 AND low <> high"))
+    key = ["group", "cover", "m", "c", "m_n", "c_n"]
+    sums = sums.groupBy(*key, "x1", "x2").agg(F.min("part").alias("part"), F.max("has_pivots").alias("has_pivots"))
+    sums = stored(sums.withColumns({"m_chunks": shares(F.col("m"), F.col("m_n"), chunk, GROUP_GRAMS // 2),
+                                    "c_chunks": shares(F.col("c"), F.col("c_n"), chunk, GROUP_GRAMS // 2)}), "sums")
+
+    # N-grams that each cover moves. A group without pivots has no cells; without open parts regions and cells cost nothing.
+    moved = F.when(F.col("c_chunks") == 1, F.col("c_n")).otherwise(F.col("m_n") * F.col("c_chunks") + F.col("c_n") * F.col("m_chunks"))
+    cost = [F.coalesce(F.sum(F.when(F.col("cover") == i, moved)), F.lit(0)).alias(f"cost{i}") for i in range(3)]
+    best = sums.groupBy(F.col("group").alias("b_group")).agg(*cost, F.max("has_pivots").alias("any_pivots")).select("b_group", F.when(
+        F.col("any_pivots") & (F.col("cost2") < F.least("cost0", "cost1")), 2).when(F.col("cost1") < F.col("cost0"), 1).otherwise(0).alias("best"))
+    chosen = stored(sums.join(best, (F.col("group") == F.col("b_group")) & (F.col("cover") == F.col("best"))).select(
+        F.col("group").alias("k_group"), F.col("cover").alias("k_cover"), F.col("part").alias("k_part"), "m_chunks", "c_chunks"), "chosen")
+
+    rows = covers.join(chosen, (F.col("group") == F.col("k_group")) & (F.col("cover") == F.col("k_cover")) & (F.col("part") == F.col("k_part")))
+    rows = stored(rows.select("group", "cover", "part", "class", "inner", "m_chunks", "c_chunks"), "dealt")
+
+    def task(*places: Column) -> Column:
+        return F.xxhash64("group", "cover", "part", *places).alias("task")
+
+    def own(chunks: str) -> Column:
+        return F.pmod(F.xxhash64("class", F.lit("chunk")), F.col(chunks))
+
+    def each(chunks: str) -> Column:
+        return F.explode(F.sequence(F.lit(0).cast("long"), F.col(chunks) - 1))
+
+    many = F.col("c_chunks") > 1
+    whole = rows.where(~many).select(task(), "class", "inner")
+    looking = rows.where(many & F.col("inner")).withColumns({"i": own("m_chunks"), "j": each("c_chunks")})
+    looked_for = rows.where(many).withColumns({"i": each("m_chunks"), "j": own("c_chunks")}).withColumn("inner", F.lit(False))
+    return whole.unionByName(looking.unionByName(looked_for).select(task(F.col("i"), F.col("j")), "class", "inner"))
 
 
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 4, percent: int = 85,
@@ -278,8 +345,11 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     windows = near.select("class", F.explode("pivots").alias("pivot"))
     regions = stored(windows.groupBy(F.col("pivot").alias("r_pivot")).agg(F.min("class").alias("first")), "regions")
     groups = components(windows.join(regions, F.col("pivot") == F.col("r_pivot")).select(F.col("class").alias("a"), F.col("first").alias("b")))
-    rows = stored(near.join(groups, F.col("class") == F.col("node")).select(
-        F.col("label").alias("group"), "class", "n", "grams", F.lit(True).alias("inner"), F.lit(None).cast("long").alias("was")), "groups")
+    members = stored(near.select("class", "n").join(groups, F.col("class") == F.col("node")).select("class", "n", F.col("label").alias("group")), "members")
+    sizes = members.groupBy(F.col("group").alias("s_group")).agg(F.count("*").alias("classes"), F.sum("n").alias("total"))
+    placed = members.drop("n").join(sizes, F.col("group") == F.col("s_group")).select(F.col("class").alias("m_class"), "group", "classes", "total")
+    # Sets move here once, by class; a group's size has come to its classes before.
+    rows = stored(near.join(placed, F.col("class") == F.col("m_class")).drop("m_class"), "groups")
     labels = components(group_links(rows, percent, group_classes))
 
     known = classes.join(labels, F.col("class") == F.col("node"), "left").select(

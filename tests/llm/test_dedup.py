@@ -1,4 +1,5 @@
 import hashlib
+import random
 from collections import defaultdict
 
 import pytest
@@ -106,6 +107,42 @@ def test_jaccard_components(spark, rows, n, percent, group):
     same(rows_of(got, "doc_id", "n_shingles", "component_id"), plain_components(rows, n, percent))
 
 
+def near_copies():
+    """Copies of one text with edits of their own: the base links most, others are too far from it and from each other."""
+    pick = random.Random(8)
+    base = ["w%d" % i for i in range(80)]
+    out = [(0, " ".join(base), "en", "a", 0)]
+    for i in range(1, 150):
+        words = base[:]
+        for j in pick.sample(range(80), pick.choice((1, 1, 2, 3))):
+            words[j] = "e%d" % pick.randrange(40)
+        out.append((i, " ".join(words), "en", "a", i))
+    return out
+
+
+def chained_passages():
+    """Texts of eight passages, each passage in about three texts: one chain of regions, and no two texts linked."""
+    pick = random.Random(9)
+    passages = [" ".join("p%d.%d" % (i, j) for j in range(30)) for i in range(400)]
+    return [(i, "\n".join(pick.sample(passages, 8)), "en", "a", i) for i in range(150)]
+
+
+@pytest.mark.parametrize("rows,percent", [(near_copies(), 85), (chained_passages(), 40)], ids=["near", "chained"])
+def test_large_groups_move_no_copies_of_sets(spark, monkeypatch, rows, percent):
+    moved, kept = [], ngram_join.stored
+
+    def counted(frame, name):
+        out = kept(frame, name)
+        if "grams" in out.columns:
+            moved.append(out.count())
+        return out
+
+    monkeypatch.setattr(ngram_join, "stored", counted)
+    got = ngram_join.jaccard_components(documents(spark, rows), n=4, percent=percent, group_classes=8)
+    same(rows_of(got, "doc_id", "n_shingles", "component_id"), plain_components(rows, 4, percent))
+    assert sum(moved) <= 3 * len(rows)
+
+
 def test_components(spark):
     links = [(1, 2), (3, 2), (4, 5), (9, 9)] + [(100 + i, 101 + i) for i in range(40)]
     got = rows_of(components(spark.createDataFrame(links, "a long, b long")), "node", "label")
